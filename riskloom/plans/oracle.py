@@ -227,3 +227,48 @@ def finish_sql(inner: str, doubles: list[str]) -> str:
         return inner
     repl = ", ".join(f"{rnd(q(c), digits_for(c))} AS {q(c)}" for c in doubles)
     return f"SELECT * REPLACE ({repl}) FROM (\n{inner}\n) AS t_out"
+
+
+def spark_round(expr: str, digits: int) -> str:
+    """Spark's ``round`` on a double: half-up on the shortest decimal text."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 12)), {digits}) AS DOUBLE)"
+
+
+# Schemas of the derived tables, as (name, is_numeric) in column order.
+_APP_COLS = [("SK_ID_CURR", 1), ("TARGET", 1), ("CODE_GENDER", 0), ("NAME_CONTRACT_TYPE", 0),
+             ("FLAG_OWN_CAR", 0), ("CNT_CHILDREN", 1), ("DAYS_BIRTH", 1), ("DAYS_EMPLOYED", 1),
+             ("AMT_INCOME_TOTAL", 1), ("AMT_CREDIT", 1), ("AMT_ANNUITY", 1), ("CNT_FAM_MEMBERS", 1)]
+DERIVED = {
+    "application_train": ("app_train", _APP_COLS),
+    "application_test": ("app_test", [c for c in _APP_COLS if c[0] != "TARGET"]),
+    "bureau": ("bur", [("SK_ID_CURR", 1), ("SK_ID_BUREAU", 1), ("CREDIT_ACTIVE", 0), ("CREDIT_CURRENCY", 0),
+                       ("DAYS_CREDIT", 1), ("CREDIT_DAY_OVERDUE", 1), ("DAYS_CREDIT_ENDDATE", 1),
+                       ("DAYS_ENDDATE_FACT", 1), ("AMT_CREDIT_MAX_OVERDUE", 1), ("CNT_CREDIT_PROLONG", 1),
+                       ("AMT_CREDIT_SUM", 1), ("AMT_CREDIT_SUM_DEBT", 1), ("AMT_CREDIT_SUM_LIMIT", 1),
+                       ("AMT_CREDIT_SUM_OVERDUE", 1), ("CREDIT_TYPE", 0), ("DAYS_CREDIT_UPDATE", 1),
+                       ("AMT_ANNUITY", 1)]),
+    "bureau_balance": ("bb", [("SK_ID_BUREAU", 1), ("MONTHS_BALANCE", 1), ("STATUS", 0)]),
+    "previous_application": ("prev", [
+        ("SK_ID_PREV", 1), ("SK_ID_CURR", 1), ("NAME_CONTRACT_TYPE", 0), ("AMT_ANNUITY", 1),
+        ("AMT_APPLICATION", 1), ("AMT_CREDIT", 1), ("AMT_DOWN_PAYMENT", 1), ("AMT_GOODS_PRICE", 1),
+        ("HOUR_APPR_PROCESS_START", 1), ("RATE_DOWN_PAYMENT", 1), ("NAME_CONTRACT_STATUS", 0),
+        ("DAYS_DECISION", 1), ("CNT_PAYMENT", 1), ("NAME_YIELD_GROUP", 0), ("DAYS_FIRST_DUE", 1),
+        ("DAYS_LAST_DUE", 1), ("DAYS_TERMINATION", 1)]),
+    "pos_cash_balance": ("pos", [("SK_ID_PREV", 1), ("SK_ID_CURR", 1), ("MONTHS_BALANCE", 1),
+                                 ("CNT_INSTALMENT", 1), ("CNT_INSTALMENT_FUTURE", 1),
+                                 ("NAME_CONTRACT_STATUS", 0), ("SK_DPD", 1), ("SK_DPD_DEF", 1)]),
+    "installments_payments": ("inst", [("SK_ID_PREV", 1), ("SK_ID_CURR", 1), ("NUM_INSTALMENT_VERSION", 1),
+                                       ("NUM_INSTALMENT_NUMBER", 1), ("DAYS_INSTALMENT", 1),
+                                       ("DAYS_ENTRY_PAYMENT", 1), ("AMT_INSTALMENT", 1), ("AMT_PAYMENT", 1)]),
+    "credit_card_balance": ("cc", [("SK_ID_PREV", 1), ("SK_ID_CURR", 1), ("MONTHS_BALANCE", 1),
+                                   ("AMT_BALANCE", 1), ("AMT_DRAWINGS_CURRENT", 1), ("CNT_DRAWINGS_CURRENT", 1),
+                                   ("AMT_PAYMENT_CURRENT", 1), ("AMT_INST_MIN_REGULARITY", 1),
+                                   ("AMT_RECIVABLE", 1), ("SK_DPD", 1), ("NAME_CONTRACT_STATUS", 0)]),
+}
+CTE["app_train"] = "app_train AS (SELECT * EXCLUDE (dataset_type) FROM app WHERE dataset_type = 'train')"
+CTE["app_test"] = "app_test AS (SELECT * EXCLUDE (dataset_type, TARGET) FROM app WHERE dataset_type = 'test')"
+DERIVED_CTES = ("app", "app_train", "app_test", "bur", "bb", "prev", "pos", "inst", "cc")
+
+
+def missing_cells_sql(cols: list[tuple[str, int]]) -> str:
+    return "CAST(sum(" + " + ".join(f"CAST({q(c)} IS NULL AS BIGINT)" for c, _ in cols) + ") AS BIGINT)"
