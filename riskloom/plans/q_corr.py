@@ -1 +1,104 @@
-"""(filled in below)"""
+"""Correlation queries on the final train table."""
+
+from __future__ import annotations
+
+from riskloom.operators import corr
+from riskloom.plans import features as fx
+from riskloom.plans import modeling
+from riskloom.plans.catalog import finish, register
+from riskloom.plans.oracle import finish_sql
+from riskloom.plans.q_prep import final_dataset_parts
+
+ID, TARGET = "SK_ID_CURR", "TARGET"
+# Decimals kept before correlating (see ``corr.numeric_prepare``).
+SNAP = 9
+
+
+def prepared_train(spark, sf):
+    train, _ = fx.split_train_test(modeling.final_dataset(spark, sf))
+    return corr.numeric_prepare(train, snap_digits=SNAP)
+
+
+def _ft_sql() -> str:
+    """final train as doubles with inf/NaN -> NULL (ftd)."""
+    sql, _ = final_dataset_parts()
+    return (sql + ", ft AS (SELECT * EXCLUDE (dataset_type) FROM final WHERE dataset_type = 'train'),\n"
+            "ftn AS (SELECT COLUMNS(* EXCLUDE (SK_ID_CURR, TARGET))::DOUBLE, SK_ID_CURR, TARGET FROM ft),\n"
+            f"lng AS (SELECT SK_ID_CURR, TARGET, \"column\", CASE WHEN isinf(v) OR isnan(v) THEN NULL "
+            f"ELSE round(v + {0.0033 * 10.0 ** -SNAP!r}, {SNAP}) + 0.0e0 END AS v "
+            "FROM ftn UNPIVOT INCLUDE NULLS (v FOR \"column\" IN (COLUMNS(* EXCLUDE (SK_ID_CURR, TARGET)))))\n")
+
+
+def _numeric_prepare_sql() -> str:
+    sql, items = final_dataset_parts()
+    return finish_sql(sql + "SELECT * EXCLUDE (dataset_type) FROM final WHERE dataset_type = 'train'",
+                      [n for n, d in items if d])
+
+
+@register("numeric_prepare", _numeric_prepare_sql)
+def numeric_prepare(spark, sf):
+    """Numeric/bool columns of the final train, bool -> int, inf -> NULL."""
+    return finish(prepared_train(spark, sf))
+
+
+PEARSON_SQL = """pr AS (SELECT "column", corr(v, TARGET) AS pearson FROM lng GROUP BY "column"),
+prr AS (SELECT "column", pearson, abs(pearson) AS abs_pearson FROM pr WHERE pearson IS NOT NULL AND NOT isnan(pearson))
+"""
+
+
+@register("pearson_target", lambda: finish_sql(_ft_sql() + ", " + PEARSON_SQL + "SELECT * FROM prr",
+                                               ["pearson", "abs_pearson"]))
+def pearson_target(spark, sf):
+    """Pearson r of every feature with TARGET, constants dropped, by |r|."""
+    df = prepared_train(spark, sf)
+    return finish(corr.pearson_with_target(df, TARGET, [c for c in df.columns if c not in (ID, TARGET)]))
+
+
+@register("spearman_target", lambda: finish_sql(_ft_sql() + """,
+rk AS (SELECT "column", TARGET, rank() OVER (PARTITION BY "column" ORDER BY v)
+          + (count(*) OVER (PARTITION BY "column", v) - 1) / 2.0e0 AS r FROM lng WHERE v IS NOT NULL),
+sp AS (SELECT "column", corr(r, TARGET) AS spearman FROM rk GROUP BY "column")
+SELECT "column", spearman, abs(spearman) AS abs_spearman FROM sp WHERE spearman IS NOT NULL AND NOT isnan(spearman)""",
+    ["spearman", "abs_spearman"]))
+def spearman_target(spark, sf):
+    """Spearman r (average ranks, pairwise complete) of every feature with TARGET."""
+    df = prepared_train(spark, sf)
+    return finish(corr.spearman_with_binary_target(df, TARGET, [c for c in df.columns if c not in (ID, TARGET)]))
+
+
+@register("topk_corr", lambda: finish_sql(_ft_sql() + ", " + PEARSON_SQL
+                                          + "SELECT * FROM prr ORDER BY abs_pearson DESC, \"column\" LIMIT 20",
+                                          ["pearson", "abs_pearson"]))
+def topk_corr(spark, sf):
+    """The 20 features most correlated with TARGET (top-k report)."""
+    df = prepared_train(spark, sf)
+    rep = corr.pearson_with_target(df, TARGET, [c for c in df.columns if c not in (ID, TARGET)])
+    return finish(corr.top_k(rep, "abs_pearson", 20))
+
+
+@register("correlated_pairs", lambda: finish_sql(_ft_sql() + """,
+pairs AS (SELECT a."column" AS col_a, b."column" AS col_b, corr(a.v, b.v) AS r
+          FROM lng a JOIN lng b ON a.SK_ID_CURR = b.SK_ID_CURR AND a."column" < b."column"
+          GROUP BY 1, 2)
+SELECT col_a, col_b, r, abs(r) AS abs_r FROM pairs WHERE NOT isnan(r) AND abs(r) > 0.9""", ["r", "abs_r"]))
+def correlated_pairs(spark, sf):
+    """Feature pairs with |r| > 0.90 (pairwise complete), from per-task Gram blocks."""
+    df = prepared_train(spark, sf)
+    return finish(corr.correlated_pairs(df, [c for c in df.columns if c not in (ID, TARGET)]))
+
+
+MATRIX_COLUMNS = ["TARGET", "DAYS_EMPLOYED_PERC", "INCOME_CREDIT_PERC", "PAYMENT_RATE", "BURO_DAYS_CREDIT_MEAN",
+                  "BURO_AMT_CREDIT_SUM_SUM", "PREV_APP_CREDIT_PERC_MEAN", "APPROVED_AMT_CREDIT_MEAN",
+                  "POS_CNT_INSTALMENT_MEAN", "INSTAL_DPD_MEAN", "INSTAL_PAYMENT_PERC_MEAN", "CC_AMT_BALANCE_MEAN",
+                  "CC_COUNT"]
+
+
+@register("corr_matrix", lambda: finish_sql(_ft_sql() + """,
+lt AS (SELECT SK_ID_CURR, "column", v FROM lng UNION ALL SELECT SK_ID_CURR, 'TARGET', TARGET FROM ft),
+sel AS (SELECT * FROM lt WHERE "column" IN (""" + ", ".join(f"'{c}'" for c in MATRIX_COLUMNS) + """))
+SELECT a."column" AS col_a, b."column" AS col_b,
+       CASE WHEN isnan(corr(a.v, b.v)) THEN NULL ELSE greatest(least(corr(a.v, b.v), 1.0e0), -1.0e0) END AS r
+FROM sel a JOIN sel b ON a.SK_ID_CURR = b.SK_ID_CURR GROUP BY 1, 2""", ["r"]))
+def corr_matrix(spark, sf):
+    """Full Pearson matrix (long form) of selected features and TARGET."""
+    return finish(corr.pearson_matrix(prepared_train(spark, sf), MATRIX_COLUMNS, upper_only=False))
