@@ -33,17 +33,26 @@ def vocabulary_frame(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def fit_vocabulary(df: DataFrame, columns: list[str] | None = None,
                    exclude: tuple[str, ...] = (), max_values: int = MAX_VOCABULARY) -> Vocabulary:
-    """Distinct sorted values per text column (the dynamic part of the schema)."""
+    """Distinct sorted values per text column (the dynamic part of the schema).
+
+    One job: the distinct (column, value) pairs are numbered per column and
+    at most ``max_values + 1`` per column reach the driver, so the collected
+    size is bounded even when a column is far too wide (which then raises).
+    """
     columns = text_columns(df, exclude) if columns is None else list(columns)
     if not columns:
         return {}
+    from pyspark.sql import Window
+
     vocab_df = vocabulary_frame(df, columns)
-    sizes = vocab_df.groupBy("column_name").count().filter(F.col("count") > max_values).collect()
-    if sizes:
-        raise ValueError(f"vocabulary too wide for dense one-hot: {[(r[0], r[1]) for r in sizes]}")
+    w = Window.partitionBy("column_name").orderBy("value")
+    capped = vocab_df.withColumn("__i", F.row_number().over(w)).filter(F.col("__i") <= max_values + 1)
     vocab: Vocabulary = {c: [] for c in columns}
-    for row in vocab_df.collect():
+    for row in capped.collect():
         vocab[row["column_name"]].append(row["value"])
+    wide = [(c, len(v)) for c, v in vocab.items() if len(v) > max_values]
+    if wide:
+        raise ValueError(f"vocabulary too wide for dense one-hot: {wide}")
     return {c: sorted(v) for c, v in vocab.items()}
 
 
