@@ -50,20 +50,20 @@ def numeric_prepare(df: DataFrame, keep: tuple[str, ...] = (), snap_digits: int
 
 def pearson_with_target(df: DataFrame, target: str, columns: list[str] | None = None) -> DataFrame:
     """(column, pearson, abs_pearson) over pairwise-complete rows; constant
-    columns (NULL r) are dropped; ranked by |r| desc, then column."""
+    columns (NULL r) are dropped; ranked by |r| desc, then column.
+
+    Long form (column, x, y) grouped by column: a fixed handful of aggregate
+    expressions whatever the number of columns.
+    """
     columns = [c for c in (columns or df.columns) if c != target]
-    y = F.col(f"`{target}`").cast("double")
-    exprs = []
-    for i, c in enumerate(columns):
-        x = F.col(f"`{c}`").cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        r = F.try_divide(F.covar_samp(x, y),
-                         F.stddev_samp(F.when(both, x)) * F.stddev_samp(F.when(both, y)))
-        exprs.append(r.alias(f"r{i}"))
-    wide = df.agg(*exprs)
-    long = wide.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"r{i}").alias("pearson")) for i, c in enumerate(columns)])))
-    return (long.filter(F.col("pearson").isNotNull() & ~F.isnan("pearson"))
+    long = (df.select(F.col(f"`{target}`").cast("double").alias("__y"),
+                      *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+            .unpivot(["__y"], columns, "column", "__x")
+            .filter(F.col("__x").isNotNull() & F.col("__y").isNotNull()))
+    x, y = F.col("__x"), F.col("__y")
+    r = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+    rep = long.groupBy("column").agg(r.alias("pearson"))
+    return (rep.filter(F.col("pearson").isNotNull() & ~F.isnan("pearson"))
             .select("column", "pearson", F.abs("pearson").alias("abs_pearson"))
             .orderBy(F.desc("abs_pearson"), "column"))
 

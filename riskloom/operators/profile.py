@@ -33,6 +33,38 @@ def _is_missing(f: T.StructField) -> Column:
     return c.isNull()
 
 
+def column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """(column, rows, n_missing, lo, hi) for every column in one aggregate.
+
+    The table is unpivoted to (column, value) (doubles and strings
+    separately) and grouped by column: a handful of aggregate expressions
+    whatever the width, so the plan stays code-generated; partial aggregation
+    keeps the shuffle at one row per column and task. ``lo``/``hi`` are the
+    non-missing min and max as text for string columns.
+    """
+    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
+    num = [f.name for f in fields if not isinstance(f.dataType, T.StringType)]
+    txt = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
+    parts = []
+    if num:
+        long = df.select(*[_c(c).cast("double").alias(c) for c in num]).unpivot([], num, "column", "v")
+        miss = F.col("v").isNull() | F.isnan("v")
+        parts.append(long.groupBy("column").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(miss).alias("n_missing"),
+            F.min(F.when(~miss, F.col("v"))).cast("string").alias("lo"),
+            F.max(F.when(~miss, F.col("v"))).cast("string").alias("hi")))
+    if txt:
+        long = df.select(*[_c(c).alias(c) for c in txt]).unpivot([], txt, "column", "v")
+        parts.append(long.groupBy("column").agg(
+            F.count(F.lit(1)).alias("rows"), F.count_if(F.col("v").isNull()).alias("n_missing"),
+            F.min("v").alias("lo"), F.max("v").alias("hi")))
+    return _union(parts)
+
+
+def _is_constant() -> Column:
+    return (F.col("n_missing") == F.col("rows")) | ((F.col("n_missing") == 0) & (F.col("lo") == F.col("hi")))
+
+
 def table_summary(df: DataFrame, name: str) -> DataFrame:
     """rows, columns, full-row duplicates, missing cells and rate (4 dp),
     numeric and text column counts.
@@ -63,16 +95,10 @@ def table_summary(df: DataFrame, name: str) -> DataFrame:
 
 def missing_report(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
     """(column, missing_count, missing_rate), rate descending, then column name."""
-    fields = [f for f in df.schema.fields if f.name not in exclude]
-    wide = df.agg(F.count(F.lit(1)).alias("__rows"),
-                  *[F.count_if(_is_missing(f)).alias(f"m{i}") for i, f in enumerate(fields)])
-    stack = F.inline(F.array(*[
-        F.struct(F.lit(f.name).alias("column"), F.col(f"m{i}").alias("missing_count"))
-        for i, f in enumerate(fields)
-    ]))
-    long = wide.select("__rows", stack)
-    return (long.select("column", F.col("missing_count").cast("long").alias("missing_count"),
-                        F.try_divide(F.col("missing_count").cast("double"), F.col("__rows")).alias("missing_rate"))
+    cols = [c for c in df.columns if c not in exclude]
+    st = column_stats(df, cols)
+    return (st.select("column", F.col("n_missing").cast("long").alias("missing_count"),
+                      F.try_divide(F.col("n_missing").cast("double"), F.col("rows")).alias("missing_rate"))
             .orderBy(F.desc("missing_rate"), F.asc("column")))
 
 
@@ -119,34 +145,14 @@ def _total_window():
 
 
 def constant_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
-    """Columns with at most one distinct value, missing counted as a value.
-
-    Constant iff all missing, or no missing and min = max: one aggregate pass,
-    cheaper than counting distinct values.
-    """
-    fields = [f for f in df.schema.fields if f.name not in exclude]
-    row = constant_flags(df, fields).collect()[0]
-    return [f.name for i, f in enumerate(fields) if row[f"k{i}"]]
-
-
-def constant_flags(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
-    exprs = []
-    for i, f in enumerate(fields):
-        c = _c(f.name)
-        n_missing = F.count_if(_is_missing(f))
-        value = F.when(~_is_missing(f), c)
-        exprs.append(((n_missing == F.count(F.lit(1))) |
-                      ((n_missing == 0) & (F.min(value) == F.max(value)))).alias(f"k{i}"))
-    return df.agg(*exprs)
+    """Columns with at most one distinct value, missing counted as a value
+    (all missing, or no missing and min = max): one aggregate pass."""
+    return [r["column"] for r in constant_report(df, exclude).collect()]
 
 
 def constant_report(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
-    fields = [f for f in df.schema.fields if f.name not in exclude]
-    wide = constant_flags(df, fields)
-    long = wide.select(F.inline(F.array(*[
-        F.struct(F.lit(f.name).alias("column"), F.col(f"k{i}").alias("is_constant"))
-        for i, f in enumerate(fields)])))
-    return long.filter("is_constant").select("column").orderBy("column")
+    cols = [c for c in df.columns if c not in exclude]
+    return column_stats(df, cols).filter(_is_constant()).select("column").orderBy("column")
 
 
 def high_missing_columns(df: DataFrame, threshold: float = 0.80,
@@ -163,21 +169,13 @@ def drop_decision(train: DataFrame, threshold: float = 0.80,
     Both statistics come from one pass over the table. ``reason`` is
     ``high_missing``, ``constant`` or ``high_missing_and_constant``.
     """
-    fields = [f for f in train.schema.fields if f.name not in protected]
-    exprs = [F.count(F.lit(1)).alias("__rows")]
-    for i, f in enumerate(fields):
-        miss = F.count_if(_is_missing(f))
-        value = F.when(~_is_missing(f), _c(f.name))
-        exprs.append(miss.alias(f"m{i}"))
-        exprs.append(((miss == F.count(F.lit(1))) | ((miss == 0) & (F.min(value) == F.max(value)))).alias(f"k{i}"))
-    wide = train.agg(*exprs)
-    long = wide.select("__rows", F.inline(F.array(*[
-        F.struct(F.lit(f.name).alias("column"), F.col(f"m{i}").alias("n_missing"),
-                 F.col(f"k{i}").alias("is_constant")) for i, f in enumerate(fields)])))
-    high = F.try_divide(F.col("n_missing").cast("double"), F.col("__rows")) >= threshold
-    reason = (F.when(high & F.col("is_constant"), "high_missing_and_constant")
-              .when(high, "high_missing").when(F.col("is_constant"), "constant"))
-    return long.select("column", reason.alias("reason")).filter(F.col("reason").isNotNull()).orderBy("column")
+    cols = [c for c in train.columns if c not in protected]
+    st = column_stats(train, cols)
+    high = F.try_divide(F.col("n_missing").cast("double"), F.col("rows")) >= threshold
+    konst = _is_constant()
+    reason = (F.when(high & konst, "high_missing_and_constant")
+              .when(high, "high_missing").when(konst, "constant"))
+    return st.select("column", reason.alias("reason")).filter(F.col("reason").isNotNull()).orderBy("column")
 
 
 def key_profile(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:

@@ -62,7 +62,7 @@ def hash_rank(df: DataFrame, id_col: str, seed: int = 42, group_cols: list[str]
 
 def cumulative_below(df: DataFrame, value_col: str, measures: dict[str, Column],
                      group_cols: list[str] | None = None,
-                     n_buckets: int = DEFAULT_VALUE_BUCKETS) -> DataFrame:
+                     n_buckets: int | None = None) -> DataFrame:
     """For each distinct (group, value): the sum of each measure at that value
     and the sum over all strictly smaller values (``below_<name>``).
 
@@ -78,13 +78,19 @@ def cumulative_below(df: DataFrame, value_col: str, measures: dict[str, Column],
     vc = (df.filter(F.col(value_col).isNotNull())
           .groupBy(*group_cols, F.col(value_col).alias("__v"))
           .agg(*[F.sum(e).alias(n) for n, e in measures.items()]))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = vc.groupBy(*group_cols).agg(
-        F.percentile_approx(F.col("__v").cast("double"), F.array(*[F.lit(p) for p in probs]), 10000)
-        .alias("__bounds"))
-    v = F.col("__v").cast("double")
-    x = vc.join(F.broadcast(bounds), group_cols)
-    x = x.withColumn("__b", F.size(F.filter(F.array_distinct("__bounds"), lambda b: b < v))).drop("__bounds")
+    if n_buckets is None:
+        # sized from the distinct-value table (one count job on the grouped rows)
+        n_buckets = min(DEFAULT_VALUE_BUCKETS, max(1, math.ceil(vc.count() / TARGET_ROWS_PER_BUCKET)))
+    if n_buckets <= 1:
+        x = vc.withColumn("__b", F.lit(0))
+    else:
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        bounds = vc.groupBy(*group_cols).agg(
+            F.percentile_approx(F.col("__v").cast("double"), F.array(*[F.lit(p) for p in probs]), 10000)
+            .alias("__bounds"))
+        v = F.col("__v").cast("double")
+        x = vc.join(F.broadcast(bounds), group_cols)
+        x = x.withColumn("__b", F.size(F.filter(F.array_distinct("__bounds"), lambda b: b < v))).drop("__bounds")
     counts = x.groupBy(*group_cols, "__b").agg(*[F.sum(n).alias(n) for n in names])
     offsets = _offsets(counts, group_cols, names)
     w = Window.partitionBy(*group_cols, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
@@ -95,7 +101,7 @@ def cumulative_below(df: DataFrame, value_col: str, measures: dict[str, Column],
 
 
 def average_rank(df: DataFrame, value_col: str, group_cols: list[str] | None = None,
-                 n_buckets: int = DEFAULT_VALUE_BUCKETS) -> DataFrame:
+                 n_buckets: int | None = None) -> DataFrame:
     """Average (tie-aware) 1-based rank per distinct (group, value), with its count."""
     cb = cumulative_below(df, value_col, {"n": F.lit(1)}, group_cols, n_buckets)
     return cb.select(*(group_cols or []), value_col, "n",
