@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch only (no streams, watermarks or state), so
+there is no streaming operator to rebuild. Batch plans in ``riskloom.plans``
+are the whole surface.
+"""
