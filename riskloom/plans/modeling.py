@@ -7,6 +7,8 @@ projection to train and test.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,20 +21,33 @@ from riskloom.sources import testbed as tb
 ID, TARGET = "SK_ID_CURR", "TARGET"
 
 
-def feature_tables(spark: SparkSession, sf: str) -> list[DataFrame]:
-    """The five per-client rollups, in the reference's join order."""
+def _builders(spark: SparkSession, sf: str):
     return [
-        fx.bureau_features(tb.bureau(spark, sf), tb.bureau_balance(spark, sf)),
-        fx.previous_features(tb.previous_application(spark, sf)),
-        fx.pos_features(tb.pos_cash_balance(spark, sf)),
-        fx.installments_features(tb.installments_payments(spark, sf)),
-        fx.credit_card_features(tb.credit_card_balance(spark, sf)),
+        lambda: fx.bureau_features(tb.bureau(spark, sf), tb.bureau_balance(spark, sf)),
+        lambda: fx.previous_features(tb.previous_application(spark, sf)),
+        lambda: fx.pos_features(tb.pos_cash_balance(spark, sf)),
+        lambda: fx.installments_features(tb.installments_payments(spark, sf)),
+        lambda: fx.credit_card_features(tb.credit_card_balance(spark, sf)),
     ]
 
 
+def feature_tables(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The five per-client rollups, in the reference's join order.
+
+    Building a rollup runs its small vocabulary job; the five builders are
+    independent, so driver threads submit them concurrently.
+    """
+    with ThreadPoolExecutor(max_workers=5) as pool:
+        return list(pool.map(lambda b: b(), _builders(spark, sf)))
+
+
 def final_dataset(spark: SparkSession, sf: str) -> DataFrame:
-    base, _ = fx.application_base(tb.application_train(spark, sf), tb.application_test(spark, sf))
-    return fx.star_join(base, feature_tables(spark, sf))
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        base_future = pool.submit(fx.application_base, tb.application_train(spark, sf),
+                                  tb.application_test(spark, sf))
+        feats = feature_tables(spark, sf)
+        base, _ = base_future.result()
+    return fx.star_join(base, feats)
 
 
 def prepare_modeling(train: DataFrame, test: DataFrame, threshold: float = 0.80
