@@ -140,6 +140,11 @@ def pearson_matrix(df: DataFrame, columns: list[str], upper_only: bool = True) -
     means = df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]).collect()[0]
     centred = df.select(*[(x - F.lit(means[f"m{i}"] if means[f"m{i}"] is not None else 0.0)).alias(f"c{i}")
                           for i, x in enumerate(xs)])
+    # Every task emits one p x p block set, so the shuffle is tasks x p^2:
+    # merge input partitions (no shuffle) down to the cluster's parallelism.
+    cap = max(1, centred.sparkSession.sparkContext.defaultParallelism)
+    if centred.rdd.getNumPartitions() > cap:
+        centred = centred.coalesce(cap)
     sums = (centred.mapInPandas(_gram_blocks(p, upper_only), _GRAM_SCHEMA)
             .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]))
     vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")

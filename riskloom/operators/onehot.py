@@ -35,24 +35,21 @@ def fit_vocabulary(df: DataFrame, columns: list[str] | None = None,
                    exclude: tuple[str, ...] = (), max_values: int = MAX_VOCABULARY) -> Vocabulary:
     """Distinct sorted values per text column (the dynamic part of the schema).
 
-    One job: the distinct (column, value) pairs are numbered per column and
-    at most ``max_values + 1`` per column reach the driver, so the collected
-    size is bounded even when a column is far too wide (which then raises).
+    A HyperLogLog guard (one pass, fixed memory per column) rejects columns
+    too wide for dense one-hot before any value is collected; the distinct
+    (column, value) pairs then reach the driver, bounded by the guard.
     """
     columns = text_columns(df, exclude) if columns is None else list(columns)
     if not columns:
         return {}
-    from pyspark.sql import Window
-
-    vocab_df = vocabulary_frame(df, columns)
-    w = Window.partitionBy("column_name").orderBy("value")
-    capped = vocab_df.withColumn("__i", F.row_number().over(w)).filter(F.col("__i") <= max_values + 1)
-    vocab: Vocabulary = {c: [] for c in columns}
-    for row in capped.collect():
-        vocab[row["column_name"]].append(row["value"])
-    wide = [(c, len(v)) for c, v in vocab.items() if len(v) > max_values]
+    approx = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias(f"d{i}")
+                      for i, c in enumerate(columns)]).collect()[0]
+    wide = [(c, approx[f"d{i}"]) for i, c in enumerate(columns) if approx[f"d{i}"] > max_values]
     if wide:
         raise ValueError(f"vocabulary too wide for dense one-hot: {wide}")
+    vocab: Vocabulary = {c: [] for c in columns}
+    for row in vocabulary_frame(df, columns).collect():
+        vocab[row["column_name"]].append(row["value"])
     return {c: sorted(v) for c, v in vocab.items()}
 
 

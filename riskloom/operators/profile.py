@@ -122,26 +122,25 @@ def dataset_summary(tables: dict[str, DataFrame], target: str = "TARGET") -> Dat
     return _union(parts)
 
 
+def _with_total(counts: DataFrame, col: str) -> DataFrame:
+    """Attach the column total (a one-row aggregate) through a constant-key join."""
+    total = counts.agg(F.sum(col).alias("__total")).withColumn("__k", F.lit(0))
+    return counts.withColumn("__k", F.lit(0)).join(F.broadcast(total), "__k").drop("__k")
+
+
 def target_distribution(df: DataFrame, target: str = "TARGET") -> DataFrame:
     """(target_value, count, rate); a missing target is its own group."""
     counts = df.groupBy(_c(target).alias("target_value")).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(_total_window())
-    return counts.select("target_value", "count", (F.col("count") / total).alias("rate"))
+    return _with_total(counts, "count").select("target_value", "count",
+                                               (F.col("count") / F.col("__total")).alias("rate"))
 
 
 def target_percent(df: DataFrame, target: str = "TARGET") -> DataFrame:
     """(target, percentage) over non-missing targets, rounded to 2 places."""
     counts = df.filter(_c(target).isNotNull()).groupBy(_c(target).alias("target")).agg(
         F.count(F.lit(1)).alias("n"))
-    return counts.select("target", F.round(F.col("n") * 100.0 / F.sum("n").over(_total_window()), 2)
-                         .alias("percentage"))
-
-
-def _total_window():
-    # Window over the tiny grouped result only (one row per class).
-    from pyspark.sql import Window
-
-    return Window.partitionBy()
+    return _with_total(counts, "n").select(
+        "target", F.round(F.col("n") * 100.0 / F.col("__total"), 2).alias("percentage"))
 
 
 def constant_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
