@@ -166,3 +166,41 @@ def correlated_pairs(df: DataFrame, columns: list[str], threshold: float = 0.90)
             .select(F.least("col_a", "col_b").alias("col_a"), F.greatest("col_a", "col_b").alias("col_b"),
                     "r", F.abs("r").alias("abs_r"))
             .orderBy(F.desc("abs_r"), "col_a", "col_b"))
+
+
+def spearman_matrix(df: DataFrame, columns: list[str], id_col: str) -> DataFrame:
+    """Pairwise-complete Spearman r for all ordered column pairs (col_a, col_b, r).
+
+    For each pair, ranks are recomputed on the rows where both values are
+    present (pandas semantics): the rows are expanded once per pair with
+    both values present, average ranks come from the bucketed prefix counts
+    grouped by (pair, side), and r is the Pearson r of the two rank columns.
+    Meant for a selected set of columns (the expansion is rows x pairs).
+    ``id_col`` must be unique: it pairs each row's two ranks again.
+    """
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    xs = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    base = df.select(F.col(id_col).alias("__rid"), *[xs[c].alias(c) for c in columns])
+    exploded = base.select("__rid", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("pair"), F.col(f"`{a}`").alias("x"), F.col(f"`{b}`").alias("y"))
+        for k, (a, b) in enumerate(pairs)])).alias("p")).select("__rid", "p.*")
+    complete = exploded.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
+    sides = complete.select("__rid", "pair", F.lit("x").alias("side"), F.col("x").alias("v")).unionByName(
+        complete.select("__rid", "pair", F.lit("y").alias("side"), F.col("y").alias("v")))
+    cb = cumulative_below(sides, "v", {"n": F.lit(1)}, ["pair", "side"])
+    ranks = cb.select("pair", "side", "v", (F.col("below_n") + (F.col("n") + 1) / 2.0).alias("rk"))
+    ranked = sides.join(ranks, ["pair", "side", "v"])
+    wide = ranked.groupBy("pair", "__rid").agg(
+        F.max(F.when(F.col("side") == "x", F.col("rk"))).alias("rx"),
+        F.max(F.when(F.col("side") == "y", F.col("rk"))).alias("ry"))
+    r = F.try_divide(F.covar_samp("rx", "ry"), F.stddev_samp("rx") * F.stddev_samp("ry"))
+    per_pair = wide.groupBy("pair").agg(r.alias("r"))
+    names_a = F.array(*[F.lit(a) for a, _ in pairs])
+    names_b = F.array(*[F.lit(b) for _, b in pairs])
+    upper = per_pair.select(F.element_at(names_a, F.col("pair") + 1).alias("col_a"),
+                            F.element_at(names_b, F.col("pair") + 1).alias("col_b"),
+                            F.when(F.col("r").isNotNull() & ~F.isnan("r"),
+                                   F.least(F.greatest("r", F.lit(-1.0)), F.lit(1.0))).alias("r"))
+    lower = upper.filter(F.col("col_a") != F.col("col_b")).select(
+        F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r")
+    return upper.unionByName(lower)

@@ -102,3 +102,20 @@ FROM sel a JOIN sel b ON a.SK_ID_CURR = b.SK_ID_CURR GROUP BY 1, 2""", ["r"]))
 def corr_matrix(spark, sf):
     """Full Pearson matrix (long form) of selected features and TARGET."""
     return finish(corr.pearson_matrix(prepared_train(spark, sf), MATRIX_COLUMNS, upper_only=False))
+
+
+@register("spearman_matrix", lambda: finish_sql(_ft_sql() + """,
+lt AS (SELECT SK_ID_CURR, "column", v FROM lng UNION ALL SELECT SK_ID_CURR, 'TARGET', TARGET FROM ft),
+sel AS (SELECT * FROM lt WHERE "column" IN (""" + ", ".join(f"'{c}'" for c in MATRIX_COLUMNS) + """) AND v IS NOT NULL),
+pr AS (SELECT a."column" AS col_a, b."column" AS col_b, a.v AS x, b.v AS y
+       FROM sel a JOIN sel b ON a.SK_ID_CURR = b.SK_ID_CURR),
+rk AS (SELECT col_a, col_b,
+         rank() OVER (PARTITION BY col_a, col_b ORDER BY x) + (count(*) OVER (PARTITION BY col_a, col_b, x) - 1) / 2.0e0 AS rx,
+         rank() OVER (PARTITION BY col_a, col_b ORDER BY y) + (count(*) OVER (PARTITION BY col_a, col_b, y) - 1) / 2.0e0 AS ry
+       FROM pr)
+SELECT col_a, col_b, CASE WHEN isnan(corr(rx, ry)) THEN NULL
+                          ELSE greatest(least(corr(rx, ry), 1.0e0), -1.0e0) END AS r
+FROM rk GROUP BY 1, 2""", ["r"]))
+def spearman_matrix(spark, sf):
+    """Pairwise-complete Spearman matrix (long form) of selected features and TARGET."""
+    return finish(corr.spearman_matrix(prepared_train(spark, sf), MATRIX_COLUMNS, ID))

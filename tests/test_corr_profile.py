@@ -68,3 +68,16 @@ def test_key_and_relation_profile(spark):
     assert [r for r in kp if r["key"] == "absent"][0]["key_exists"] is False
     rp = profile.relation_profile([("p", parent, "c", child, "k")]).collect()[0]
     assert (rp["common_keys"], rp["parent_only_keys"], rp["child_only_keys"]) == (1, 2, 1)
+
+
+def test_spearman_matrix_pairwise(spark):
+    df, pdf = _frame(spark)
+    pdf = pdf.assign(id=range(len(pdf)))
+    sdf = spark.createDataFrame(pdf)
+    cols = ["a", "b", "c"]
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in corr.spearman_matrix(sdf, cols, "id").collect()}
+    for a in cols:
+        for b in cols:
+            pair = pdf[[a, b]].dropna()
+            ra, rb = pair[a].rank(), pair[b].rank()
+            assert abs(got[(a, b)] - ra.corr(rb)) < 1e-10
