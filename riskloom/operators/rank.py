@@ -29,7 +29,8 @@ MAX_BUCKET_BITS = 20
 DEFAULT_VALUE_BUCKETS = 256
 
 
-def bucket_bits(n_rows: int, target: int = TARGET_ROWS_PER_BUCKET) -> int:
+def bucket_bits(n_rows: int, target: int | None = None) -> int:
+    target = TARGET_ROWS_PER_BUCKET if target is None else target
     if n_rows <= target:
         return 0
     return min(MAX_BUCKET_BITS, math.ceil(math.log2(n_rows / target)))
