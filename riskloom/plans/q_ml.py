@@ -78,15 +78,11 @@ FROM c""", ["balanced_weight", "positive_weight"]))
 def class_weights(spark, sf):
     """Per class: rows, balanced weight n/(2 n_c), and the neg/pos positive weight."""
     train, _ = modeling.fx.split_train_test(modeling.final_dataset(spark, sf))
-    df = train.select(F.col(TARGET).alias("label"))
-    bw = ml.balanced_weights(df, "label")
-    pw = ml.positive_weight(bw, "label")
-    return finish(pw.groupBy("label").agg(F.count(F.lit(1)).alias("rows"),
-                                          F.first("weight", ignorenulls=True).alias("positive_weight"),
-                                          F.first(F.col("weight") * 0 + F.lit(None).cast("double"))
-                                          .alias("__drop"))
-                  .drop("__drop")
-                  .join(bw.groupBy("label").agg(F.first("weight").alias("balanced_weight")), "label"))
+    df = ml.positive_weight(train.select(F.col(TARGET).alias("label")), "label")
+    per_class = df.groupBy("label").agg(F.count(F.lit(1)).alias("rows"),
+                                        F.first("weight").alias("positive_weight"))
+    bw = ml.balanced_weights(per_class, "label", count_col="rows")
+    return finish(bw.select("label", "rows", F.col("weight").alias("balanced_weight"), "positive_weight"))
 
 
 def _fit_and_evaluate(spark, sf, spec: ml.ModelSpec):
@@ -203,13 +199,7 @@ def hp_trials(spark, sf):
 
 @register("feature_importance")
 def feature_importance(spark, sf):
-    """Normalised gain importance of the boosted model, ranked."""
+    """Mean split gain per feature of the boosted model, normalised, ranked."""
     _, fit, _ = holdout(spark, sf)
     model = ml.fit_model(fit, feature_names(fit), ml.gbt_spec(), "label", seed=42)
-    rows = ml.gain_importance(model)
-    df = spark.createDataFrame(rows, "feature string, importance_gain double")
-    total = df.agg(F.sum("importance_gain").alias("t")).withColumn("__k", F.lit(0))
-    return (df.withColumn("__k", F.lit(0)).join(total, "__k")
-            .select("feature", "importance_gain",
-                    F.try_divide(F.col("importance_gain"), F.col("t")).alias("importance_normalized"))
-            .orderBy(F.desc("importance_gain"), "feature"))
+    return ml.gain_importance_table(model, spark)
