@@ -35,21 +35,22 @@ def fit_vocabulary(df: DataFrame, columns: list[str] | None = None,
                    exclude: tuple[str, ...] = (), max_values: int = MAX_VOCABULARY) -> Vocabulary:
     """Distinct sorted values per text column (the dynamic part of the schema).
 
-    A HyperLogLog guard (one pass, fixed memory per column) rejects columns
-    too wide for dense one-hot before any value is collected; the distinct
-    (column, value) pairs then reach the driver, bounded by the guard.
+    One job: the distinct (column, value) pairs (a spillable hash aggregate)
+    are collected with ``limit(max_values * columns + 1)``, so at most that
+    many rows reach the driver; reaching the limit implies some column has
+    more than ``max_values`` values, which raises.
     """
     columns = text_columns(df, exclude) if columns is None else list(columns)
     if not columns:
         return {}
-    approx = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), 0.02).alias(f"d{i}")
-                      for i, c in enumerate(columns)]).collect()[0]
-    wide = [(c, approx[f"d{i}"]) for i, c in enumerate(columns) if approx[f"d{i}"] > max_values]
-    if wide:
-        raise ValueError(f"vocabulary too wide for dense one-hot: {wide}")
+    cap = max_values * len(columns) + 1
+    rows = vocabulary_frame(df, columns).limit(cap).collect()
     vocab: Vocabulary = {c: [] for c in columns}
-    for row in vocabulary_frame(df, columns).collect():
+    for row in rows:
         vocab[row["column_name"]].append(row["value"])
+    wide = [(c, len(v)) for c, v in vocab.items() if len(v) > max_values]
+    if wide or len(rows) >= cap:
+        raise ValueError(f"vocabulary too wide for dense one-hot: {wide}")
     return {c: sorted(v) for c, v in vocab.items()}
 
 
