@@ -20,16 +20,26 @@ from riskloom.plans.catalog import finish, register
 from riskloom.plans.oracle import finish_sql
 from riskloom.plans.q_corr import prepared_train
 from riskloom.plans.q_prep import final_dataset_parts
-from riskloom.session import materialize
+from riskloom.session import input_fingerprint, stage_table
 
 ID, TARGET = "SK_ID_CURR", "TARGET"
 
 
 def modeling_train(spark, sf):
-    """(SK_ID_CURR, label, features...) of the prepared train table, materialised."""
-    train, _, _ = modeling.modeling_tables(spark, sf)
-    df = train.withColumnRenamed(TARGET, "label")
-    return materialize(df, "modeling_train")
+    """(SK_ID_CURR, label, features...) of the prepared train table.
+
+    Written once per set of input files as a Parquet stage under the
+    checkpoint folder (the reference's processed-file hand-off) and scanned
+    back, which also cuts the lineage before iterative fits.
+    """
+    import os
+
+    def build():
+        train, _, _ = modeling.modeling_tables(spark, sf)
+        return train.withColumnRenamed(TARGET, "label")
+
+    inputs = [os.path.join(sf, f"{t}.parquet") for t in ("customer", "orders", "lineitem", "events")]
+    return stage_table(spark, "modeling_train", input_fingerprint(inputs), build)
 
 
 def feature_names(df) -> list[str]:

@@ -80,3 +80,40 @@ def materialize(df, name: str):
     path = os.path.join(stage_path(df.sparkSession, name), uuid.uuid4().hex[:12])
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def input_fingerprint(paths: list[str]) -> str:
+    """Short hash of (path, size, mtime) of the input files of a stage."""
+    import hashlib
+
+    h = hashlib.sha1()
+    for p in sorted(paths):
+        st = os.stat(p) if os.path.exists(p) else None
+        h.update(f"{p}|{st.st_size if st else -1}|{st.st_mtime_ns if st else -1}".encode())
+    return h.hexdigest()[:16]
+
+
+def stage_table(spark, name: str, fingerprint: str, build):
+    """Stage hand-off: reuse ``name`` written for the same inputs, else build,
+    write it (Parquet, under the checkpoint folder) and scan it back.
+
+    A ``_SUCCESS`` marker guards against half-written stages; concurrent
+    builders write to separate attempt folders and the last complete one wins.
+    """
+    import uuid
+
+    root = os.path.join(stage_path(spark, name), fingerprint)
+    done = os.path.join(root, "current")
+    if "://" not in root and os.path.exists(os.path.join(done, "_SUCCESS")):
+        return spark.read.parquet(done)
+    attempt = os.path.join(root, "attempt-" + uuid.uuid4().hex[:12])
+    build().write.mode("overwrite").parquet(attempt)
+    if "://" in root:
+        return spark.read.parquet(attempt)
+    if not os.path.exists(done):
+        try:
+            os.replace(attempt, done)
+        except OSError:            # another builder finished first
+            pass
+    target = done if os.path.exists(os.path.join(done, "_SUCCESS")) else attempt
+    return spark.read.parquet(target)
