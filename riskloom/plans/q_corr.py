@@ -15,7 +15,7 @@ SNAP = 9
 
 
 def prepared_train(spark, sf):
-    train, _ = fx.split_train_test(modeling.final_dataset(spark, sf))
+    train, _ = fx.split_train_test(modeling.processed(spark, sf))
     return corr.numeric_prepare(train, snap_digits=SNAP)
 
 

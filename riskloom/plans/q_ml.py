@@ -87,7 +87,7 @@ SELECT label, n AS rows, (SELECT sum(n) FROM c) / (2.0e0 * n) AS balanced_weight
 FROM c""", ["balanced_weight", "positive_weight"]))
 def class_weights(spark, sf):
     """Per class: rows, balanced weight n/(2 n_c), and the neg/pos positive weight."""
-    train, _ = modeling.fx.split_train_test(modeling.final_dataset(spark, sf))
+    train, _ = modeling.fx.split_train_test(modeling.processed(spark, sf))
     df = ml.positive_weight(train.select(F.col(TARGET).alias("label")), "label")
     per_class = df.groupBy("label").agg(F.count(F.lit(1)).alias("rows"),
                                         F.first("weight").alias("positive_weight"))

@@ -235,7 +235,7 @@ def final_dataset(spark, sf):
 SELECT 'train' AS part, SK_ID_CURR, TARGET FROM final WHERE dataset_type = 'train'
 UNION ALL SELECT 'test', SK_ID_CURR, NULL FROM final WHERE dataset_type = 'test'""")
 def split_train_test(spark, sf):
-    train, test = fx.split_train_test(modeling.final_dataset(spark, sf))
+    train, test = fx.split_train_test(modeling.processed(spark, sf))
     if "TARGET" in test.columns or "dataset_type" in train.columns:
         raise AssertionError("split left the target in test or the marker in train")
     return (train.select(F.lit("train").alias("part"), "SK_ID_CURR", "TARGET")
@@ -250,7 +250,7 @@ SELECT SK_ID_CURR, CAST(TARGET AS INTEGER) AS TARGET, DAYS_EMPLOYED_PERC IS NULL
 FROM final WHERE dataset_type = 'train'""")
 def features_target(spark, sf):
     """Feature list = all columns but target and id; label cast to int."""
-    train, _ = fx.split_train_test(modeling.final_dataset(spark, sf))
+    train, _ = fx.split_train_test(modeling.processed(spark, sf))
     feats, xy = modeling.features_and_label(train)
     if "TARGET" in feats or "SK_ID_CURR" in feats:
         raise AssertionError("target or id leaked into features")
@@ -261,7 +261,7 @@ def features_target(spark, sf):
 @register("clean_names")
 def clean_names_query(spark, sf):
     """Names of the final table (data-dependent: category text) in the three modes."""
-    cols = modeling.final_dataset(spark, sf).columns + ["a b", "a/b", "a_b", "[x]<y>", ""]
+    cols = modeling.processed(spark, sf).columns + ["a b", "a/b", "a_b", "[x]<y>", ""]
     rows = list(zip(cols, clean_names(cols, "light"), clean_names(cols, "strict"), clean_names(cols, "dedupe")))
     schema = T.StructType([T.StructField(n, T.StringType()) for n in ("original", "light", "strict", "dedupe")])
     return spark.createDataFrame(rows, schema)

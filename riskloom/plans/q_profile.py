@@ -98,7 +98,7 @@ SELECT "column", count(*) FILTER (WHERE v IS NULL OR isnan(v)) AS missing_count,
 FROM lng GROUP BY "column" """)
 def missing_report(spark, sf):
     """Missing count and rate of every column of the final train table."""
-    train, _ = fx.split_train_test(modeling.final_dataset(spark, sf))
+    train, _ = fx.split_train_test(modeling.processed(spark, sf))
     return finish(profile.missing_report(train))
 
 
@@ -123,7 +123,7 @@ def dataset_summary_sql() -> str:
 @register("dataset_summary", dataset_summary_sql)
 def dataset_summary(spark, sf):
     """Train/test summary of the final tables: rows, columns, missing, rate, has_target."""
-    train, test = fx.split_train_test(modeling.final_dataset(spark, sf))
+    train, test = fx.split_train_test(modeling.processed(spark, sf))
     return finish(profile.dataset_summary({"train": train, "test": test}))
 
 
@@ -150,7 +150,7 @@ SELECT "column" FROM lng WHERE "column" NOT IN ('TARGET', 'SK_ID_CURR') GROUP BY
 HAVING count(v) = 0 OR (count(v) = count(*) AND min(v) = max(v))""")
 def constant_columns(spark, sf):
     """Columns of the final train table with one value (missing counted as a value)."""
-    train, _ = fx.split_train_test(modeling.final_dataset(spark, sf))
+    train, _ = fx.split_train_test(modeling.processed(spark, sf))
     return profile.constant_report(train, exclude=("TARGET", "SK_ID_CURR"))
 
 
@@ -160,7 +160,7 @@ FROM lng WHERE "column" NOT IN ('TARGET', 'SK_ID_CURR') GROUP BY "column"
 HAVING count(*) FILTER (WHERE v IS NULL) / count(*)::DOUBLE >= 0.8""")
 def high_missing(spark, sf):
     """Columns with missing rate >= 0.80 after inf -> NULL; target and id protected."""
-    train, _ = fx.split_train_test(modeling.final_dataset(spark, sf))
+    train, _ = fx.split_train_test(modeling.processed(spark, sf))
     return finish(profile.high_missing_columns(replace_inf_all(train)))
 
 
@@ -173,7 +173,7 @@ SELECT "column", CASE WHEN high AND konst THEN 'high_missing_and_constant' WHEN
 FROM d WHERE high OR konst""")
 def dropped_columns(spark, sf):
     """Drop decision learned on train (after inf -> NULL, bool -> int), with reason."""
-    train, _ = fx.split_train_test(modeling.final_dataset(spark, sf))
+    train, _ = fx.split_train_test(modeling.processed(spark, sf))
     return profile.drop_decision(bools_to_int_all(replace_inf_all(train)))
 
 
@@ -252,7 +252,7 @@ def relation_profile(spark, sf):
 @register("hash_sample")
 def hash_sample(spark, sf):
     """Deterministic 500-row sample of the final train table (seed 42)."""
-    train, _ = fx.split_train_test(modeling.final_dataset(spark, sf))
+    train, _ = fx.split_train_test(modeling.processed(spark, sf))
     return finish(profile.hash_sample(train, 500, "SK_ID_CURR", seed=42))
 
 
@@ -266,5 +266,5 @@ SELECT """ + " || ".join(f"CASE WHEN {c} IS NULL OR isnan({c}) THEN '1' ELSE '0'
           + """ AS pattern, count(*) AS rows FROM ft GROUP BY 1""")
 def missing_pattern(spark, sf):
     """Co-missing structure of selected columns of the final train table."""
-    train, _ = fx.split_train_test(modeling.final_dataset(spark, sf))
+    train, _ = fx.split_train_test(modeling.processed(spark, sf))
     return profile.missing_pattern(train.select(*PATTERN_COLUMNS))
