@@ -97,10 +97,32 @@ class AggSpec:
         return exprs
 
 
+# Category columns with more values than this get their shares from pivot
+# counts (one extra aggregate on the same key) instead of one expression each.
+WIDE_VOCAB = 64
+
+
 def multi_agg(df: DataFrame, spec: AggSpec) -> DataFrame:
-    """One hash aggregate per spec; NULL keys are dropped like pandas groupby."""
+    """One hash aggregate per spec; NULL keys are dropped like pandas groupby.
+
+    Wide category columns are aggregated by ``category_share_wide`` and joined
+    on the key; both sides are grouped on the key, so the join needs no
+    further exchange.
+    """
+    from dataclasses import replace
+
+    from riskloom.operators.onehot import category_share_wide
+
     spec = spec.restrict(df.columns)
-    return df.filter(F.col(spec.key).isNotNull()).groupBy(spec.key).agg(*spec.expressions())
+    df = df.filter(F.col(spec.key).isNotNull())
+    wide = {c: v for c, v in spec.vocab.items() if len(v) > WIDE_VOCAB}
+    narrow = replace(spec, vocab={c: v for c, v in spec.vocab.items() if c not in wide})
+    exprs = narrow.expressions()
+    out = (df.groupBy(spec.key).agg(*exprs) if exprs
+           else df.select(spec.key).distinct())
+    for c, values in wide.items():
+        out = out.join(category_share_wide(df, spec.key, c, values, spec.prefix), spec.key, "left")
+    return out
 
 
 def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:

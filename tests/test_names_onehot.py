@@ -37,3 +37,31 @@ def test_vocabulary_guard(spark):
     df = spark.createDataFrame([(str(i),) for i in range(20)], "c string")
     with pytest.raises(ValueError):
         onehot.fit_vocabulary(df, max_values=10)
+
+
+def test_wide_share_equals_narrow(spark):
+    from riskloom.operators.aggspec import AggSpec, multi_agg
+
+    rows = [(1, "a"), (1, "b"), (1, None), (2, "a"), (3, "c"), (3, "c")]
+    df = spark.createDataFrame(rows, "k int, c string")
+    vocab = onehot.fit_vocabulary(df)
+    narrow = {r["k"]: r.asDict() for r in multi_agg(df, AggSpec(key="k", prefix="P", vocab=vocab)).collect()}
+    wide = {r["k"]: r.asDict() for r in onehot.category_share_wide(df, "k", "c", vocab["c"], "P").collect()}
+    assert narrow.keys() == wide.keys()
+    for k in narrow:
+        for name, v in narrow[k].items():
+            assert abs(wide[k][name] - v) < 1e-12, (k, name)
+
+
+def test_multi_agg_switches_to_wide(spark, monkeypatch):
+    from riskloom.operators import aggspec
+    from riskloom.operators.aggspec import AggSpec, multi_agg
+
+    rows = [(1, "a", 1.0), (1, "b", 2.0), (1, None, 3.0), (2, "a", 4.0), (3, "c", 5.0)]
+    df = spark.createDataFrame(rows, "k int, c string, x double")
+    vocab = onehot.fit_vocabulary(df)
+    spec = AggSpec(key="k", prefix="P", numeric={"x": ["sum"]}, vocab=vocab, count_name="P_COUNT")
+    narrow = {r["k"]: r.asDict() for r in multi_agg(df, spec).collect()}
+    monkeypatch.setattr(aggspec, "WIDE_VOCAB", 1)
+    wide = {r["k"]: r.asDict() for r in multi_agg(df, spec).collect()}
+    assert narrow == wide
