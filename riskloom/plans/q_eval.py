@@ -14,13 +14,19 @@ COUNTS = """count(*) FILTER (WHERE score < {t} AND label = 0) AS tn,
   count(*) FILTER (WHERE score >= {t} AND label = 0) AS fp,
   count(*) FILTER (WHERE score < {t} AND label = 1) AS fn,
   count(*) FILTER (WHERE score >= {t} AND label = 1) AS tp"""
-METRICS = """COALESCE(try_divide_d(tp + tn, tn + fp + fn + tp), 0.0e0) AS accuracy,
-  COALESCE(try_divide_d(tp, tp + fp), 0.0e0) AS precision,
-  COALESCE(try_divide_d(tp, tp + fn), 0.0e0) AS recall,
-  COALESCE(try_divide_d(2.0e0 * COALESCE(try_divide_d(tp, tp + fp), 0.0e0) * COALESCE(try_divide_d(tp, tp + fn), 0.0e0),
-           COALESCE(try_divide_d(tp, tp + fp), 0.0e0) + COALESCE(try_divide_d(tp, tp + fn), 0.0e0)), 0.0e0) AS f1_score,
+def sdiv(a: str, b: str) -> str:
+    """Division returning NULL for a zero denominator (SQL text)."""
+    return f"(CASE WHEN ({b}) = 0 THEN NULL ELSE CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) END)"
+
+
+_PREC = f"COALESCE({sdiv('tp', 'tp + fp')}, 0.0e0)"
+_REC = f"COALESCE({sdiv('tp', 'tp + fn')}, 0.0e0)"
+METRICS = f"""COALESCE({sdiv('tp + tn', 'tn + fp + fn + tp')}, 0.0e0) AS accuracy,
+  {_PREC} AS precision,
+  {_REC} AS recall,
+  COALESCE({sdiv(f'2.0e0 * {_PREC} * {_REC}', f'{_PREC} + {_REC}')}, 0.0e0) AS f1_score,
   CAST(fn * 10.0e0 + fp * 1.0e0 AS DOUBLE) AS business_cost,
-  COALESCE(try_divide_d(fn * 10.0e0 + fp * 1.0e0, tn + fp + fn + tp), 0.0e0) AS business_cost_per_client"""
+  COALESCE({sdiv('fn * 10.0e0 + fp * 1.0e0', 'tn + fp + fn + tp')}, 0.0e0) AS business_cost_per_client"""
 AUC = """auc_s AS (SELECT {g} score, sum(label) AS pos, sum(1 - label) AS neg FROM {src} GROUP BY {g} score),
 auc_c AS (SELECT *, COALESCE(sum(neg) OVER ({pg} ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
           AS nb FROM auc_s),
@@ -48,42 +54,12 @@ def _sql(body: str, doubles: list[str]) -> str:
 MDOUBLES = ["accuracy", "precision", "recall", "f1_score", "business_cost", "business_cost_per_client"]
 
 
-def _macro_free(sql: str) -> str:
-    """Inline the division helper (the oracle must be a single statement)."""
-    import re
-
-    pat = re.compile(r"try_divide_d\(")
-    out, i = [], 0
-    while True:
-        m = pat.search(sql, i)
-        if not m:
-            out.append(sql[i:])
-            return "".join(out)
-        out.append(sql[i:m.start()])
-        j, depth, args, start = m.end(), 1, [], m.end()
-        while depth:
-            ch = sql[j]
-            if ch == "(":
-                depth += 1
-            elif ch == ")":
-                depth -= 1
-                if depth == 0:
-                    args.append(sql[start:j])
-            elif ch == "," and depth == 1:
-                args.append(sql[start:j])
-                start = j + 1
-            j += 1
-        a, b = (_macro_free(x.strip()) for x in args)
-        out.append(f"(CASE WHEN ({b}) = 0 THEN NULL ELSE CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) END)")
-        i = j
-
-
 @register("confusion_matrix", with_ctes("scored") + f"SELECT fold, {COUNTS.format(t=T)} FROM scored GROUP BY fold")
 def confusion_matrix(spark, sf):
     return ev.confusion_counts(tb.scored_clients(spark, sf), T, group_cols=["fold"])
 
 
-@register("business_cost", lambda: _sql(with_ctes("scored") + _macro_free(
+@register("business_cost", lambda: _sql(with_ctes("scored") + (
     f"SELECT fold, business_cost, business_cost_per_client FROM ({metrics_sql('scored', T, ['fold'])}) m"),
     ["business_cost", "business_cost_per_client"]))
 def business_cost(spark, sf):
@@ -92,7 +68,7 @@ def business_cost(spark, sf):
     return finish(m.select("fold", "business_cost", "business_cost_per_client"))
 
 
-@register("classification_metrics", lambda: _sql(with_ctes("scored") + _macro_free(
+@register("classification_metrics", lambda: _sql(with_ctes("scored") + (
     f"SELECT fold, accuracy, precision, recall, f1_score FROM ({metrics_sql('scored', T, ['fold'])}) m"),
     ["accuracy", "precision", "recall", "f1_score"]))
 def classification_metrics(spark, sf):
@@ -108,7 +84,7 @@ def roc_auc(spark, sf):
     return finish(ev.roc_auc(tb.scored_clients(spark, sf), group_cols=["fold"]))
 
 
-@register("metrics_by_fold", lambda: _sql(with_ctes("scored") + ", " + auc_ctes("scored", ["fold"]) + _macro_free(
+@register("metrics_by_fold", lambda: _sql(with_ctes("scored") + ", " + auc_ctes("scored", ["fold"]) + (
     f", m AS ({metrics_sql('scored', T, ['fold'])}) SELECT * FROM m LEFT JOIN auc USING (fold)"),
     MDOUBLES + ["roc_auc"]))
 def metrics_by_fold(spark, sf):
@@ -128,7 +104,7 @@ def sweep_sql(src: str, group: list[str]) -> str:
 
 
 @register("threshold_sweep", lambda: _sql(with_ctes("scored") + ", " + auc_ctes("scored", ["fold"]) + ", "
-                                          + _macro_free(sweep_sql("scored", ["fold"]))
+                                          + (sweep_sql("scored", ["fold"]))
                                           + " SELECT * FROM sw LEFT JOIN auc USING (fold)",
                                           MDOUBLES + ["roc_auc", "threshold"]))
 def threshold_sweep(spark, sf):
@@ -138,7 +114,7 @@ def threshold_sweep(spark, sf):
 
 def curve_sql() -> str:
     aggs = ", ".join(f"avg({m}) AS mean_{m}, stddev_samp({m}) AS std_{m}" for m in ev.CURVE_METRICS)
-    return (with_ctes("scored") + ", " + auc_ctes("scored", ["fold"]) + ", " + _macro_free(sweep_sql("scored", ["fold"]))
+    return (with_ctes("scored") + ", " + auc_ctes("scored", ["fold"]) + ", " + (sweep_sql("scored", ["fold"]))
             + f", swa AS (SELECT * FROM sw LEFT JOIN auc USING (fold)), "
             f"curve AS (SELECT threshold, {aggs} FROM swa GROUP BY threshold)\n")
 
@@ -160,7 +136,7 @@ def best_threshold(spark, sf):
     return finish(ev.best_threshold(ev.threshold_curve(sweep)))
 
 
-@register("cost_gain", lambda: _sql(with_ctes("scored") + _macro_free(
+@register("cost_gain", lambda: _sql(with_ctes("scored") + (
     f", b AS ({metrics_sql('scored', T, [])}), " + sweep_sql("scored", [])
     + ", a AS (SELECT business_cost FROM sw ORDER BY business_cost, threshold LIMIT 1) "
     "SELECT b.business_cost AS cost_before, a.business_cost AS cost_after, "
@@ -186,7 +162,7 @@ def class_balance(spark, sf):
     return finish(ev.class_balance(tb.application_train(spark, sf), "TARGET"))
 
 
-@register("majority_baseline", lambda: _sql(with_ctes("scored") + _macro_free(
+@register("majority_baseline", lambda: _sql(with_ctes("scored") + (
     ", maj AS (SELECT label AS majority_label FROM scored GROUP BY label ORDER BY count(*) DESC, label LIMIT 1), "
     "pred AS (SELECT fold, label, CAST(majority_label AS DOUBLE) AS score FROM scored, maj), "
     + auc_ctes("pred", ["fold"]) + f", m AS ({metrics_sql('pred', T, ['fold'])}) "
@@ -203,7 +179,7 @@ def majority_baseline(spark, sf):
 
 
 @register("model_comparison", lambda: _sql(with_ctes("models") + ", " + auc_ctes("models", ["model", "fold"])
-    + _macro_free(f", m AS ({metrics_sql('models', T, ['model', 'fold'])}), mf AS (SELECT * FROM m LEFT JOIN auc "
+    + (f", m AS ({metrics_sql('models', T, ['model', 'fold'])}), mf AS (SELECT * FROM m LEFT JOIN auc "
                   "USING (model, fold)) SELECT model, " + ", ".join(
                       f"avg({x}) AS mean_{x}, stddev_samp({x}) AS std_{x}" for x in ["business_cost", "roc_auc", "recall"])
                   + " FROM mf GROUP BY model"),

@@ -13,7 +13,7 @@ from riskloom.operators import evaluate as ev
 from riskloom.operators import runs as rl
 from riskloom.plans.catalog import finish, register
 from riskloom.plans.oracle import finish_sql, with_ctes
-from riskloom.plans.q_eval import _macro_free, auc_ctes, curve_sql, metrics_sql
+from riskloom.plans.q_eval import auc_ctes, curve_sql, metrics_sql
 from riskloom.session import ensure_checkpoint_dir
 from riskloom.sources import testbed as tb
 
@@ -78,7 +78,7 @@ def _runs_sql() -> str:
     return (curve_sql().rstrip() + ",\n" + "models AS (" + with_ctes("models").split("models AS (", 1)[1].rstrip()
             + ",\n" + auc_ctes("models", ["model", "fold"]).replace("auc_s", "mauc_s").replace("auc_c", "mauc_c")
             .replace("auc AS", "mauc AS").replace("FROM auc_c", "FROM mauc_c") + ",\n"
-            + _macro_free(f"mm AS ({metrics_sql('models', 0.5, ['model', 'fold'])}),\n")
+            + (f"mm AS ({metrics_sql('models', 0.5, ['model', 'fold'])}),\n")
             + "mf AS (SELECT * FROM mm LEFT JOIN mauc USING (model, fold)),\n"
             "pm AS (SELECT model, 'cv-' || model AS run_id, model AS run_name, avg(business_cost) AS business_cost, "
             "avg(roc_auc) AS roc_auc, avg(recall) AS recall FROM mf GROUP BY model),\n"
