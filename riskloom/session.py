@@ -68,20 +68,6 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "stages", name)
 
 
-def materialize(df, name: str):
-    """Write ``df`` as Parquet under the checkpoint folder and scan it back.
-
-    Cuts long lineage before iterative jobs (model fits) with a table in the
-    shared folder, so a lost executor re-reads files instead of recomputing
-    the whole upstream plan.
-    """
-    import uuid
-
-    path = os.path.join(stage_path(df.sparkSession, name), uuid.uuid4().hex[:12])
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def input_fingerprint(paths: list[str]) -> str:
     """Short hash of (path, size, mtime) of the input files of a stage."""
     import hashlib
