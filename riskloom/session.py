@@ -68,11 +68,32 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "stages", name)
 
 
+def code_fingerprint() -> str:
+    """Hash of the library source: a stage written by other code is never reused."""
+    import hashlib
+
+    global _CODE_FP
+    if _CODE_FP is None:
+        root = os.path.dirname(os.path.abspath(__file__))
+        h = hashlib.sha1()
+        for dirpath, _, files in sorted(os.walk(root)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    with open(os.path.join(dirpath, f), "rb") as fh:
+                        h.update(f.encode() + b"\0" + fh.read())
+        _CODE_FP = h.hexdigest()[:16]
+    return _CODE_FP
+
+
+_CODE_FP: str | None = None
+
+
 def input_fingerprint(paths: list[str]) -> str:
-    """Short hash of (path, size, mtime) of the input files of a stage."""
+    """Short hash of (path, size, mtime) of the input files of a stage and of
+    the library source."""
     import hashlib
 
-    h = hashlib.sha1()
+    h = hashlib.sha1(code_fingerprint().encode())
     for p in sorted(paths):
         st = os.stat(p) if os.path.exists(p) else None
         h.update(f"{p}|{st.st_size if st else -1}|{st.st_mtime_ns if st else -1}".encode())

@@ -2,16 +2,19 @@ from riskloom.session import input_fingerprint, stage_table
 
 
 def test_stage_reuse_and_fingerprint(spark, tmp_path):
+    import uuid
+
+    name = f"t_stage_{uuid.uuid4().hex[:8]}"
     calls = []
 
     def build():
         calls.append(1)
         return spark.range(5).withColumnRenamed("id", "x")
 
-    a = stage_table(spark, "t_stage", "fp1", build)
-    b = stage_table(spark, "t_stage", "fp1", build)
+    a = stage_table(spark, name, "fp1", build)
+    b = stage_table(spark, name, "fp1", build)
     assert a.count() == b.count() == 5 and len(calls) == 1      # reused
-    stage_table(spark, "t_stage", "fp2", build)
+    stage_table(spark, name, "fp2", build)
     assert len(calls) == 2                                        # new inputs -> rebuilt
 
 
