@@ -181,12 +181,13 @@ def hp_trials(spark, sf):
     value = lowest mean cost over thresholds."""
     df = folds(spark, sf).cache()
     feats = feature_names(df)
+    medians = ml.fold_medians(df, feats)            # same folds in every trial
 
     def trial(p):
         t0 = time.time()
         spec = ml.gbt_spec(p["max_iter"], p["step"], p["depth"], p["min_rows"], p["subsample"], p["colsample"],
                            p["weight_multiplier"])
-        scored = ml.cross_validate(df, feats, spec, ID)
+        scored = ml.cross_validate(df, feats, spec, ID, medians_by_fold=medians)
         best = ev.best_threshold(ev.threshold_curve(ev.threshold_sweep(scored, group_cols=["fold"]))).collect()[0]
         return (p["trial"], float(best["mean_business_cost"]), float(best["threshold"]),
                 float(best["mean_roc_auc"] or 0.0), time.time() - t0, p["weight_multiplier"], p["max_iter"],
