@@ -84,3 +84,11 @@ def test_spearman_matrix_pairwise(spark):
             pair = pdf[[a, b]].dropna()
             ra, rb = pair[a].rank(), pair[b].rank()
             assert abs(got[(a, b)] - ra.corr(rb)) < 1e-10
+
+
+def test_hash_sample_deterministic(spark):
+    base = spark.range(1000).withColumnRenamed("id", "k")
+    a = profile.hash_sample(base.repartition(1), 50, "k", seed=42)
+    b = profile.hash_sample(base.repartition(6), 50, "k", seed=42)
+    assert a.count() == 50 and sorted(r[0] for r in a.collect()) == sorted(r[0] for r in b.collect())
+    assert profile.hash_sample(base, 5000, "k").count() == 1000      # all rows when fewer
