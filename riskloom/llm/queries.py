@@ -41,3 +41,20 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm import bpe
 
     return bpe.encode_decode(table(spark, sf_dir, "documents"), byte_bpe_path())
+
+
+@register("op3_quality_rules")
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import quality
+
+    docs = table(spark, sf_dir, "documents")
+    return quality.apply_rules(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    net = langid.train(docs.filter(~langid.held_out()))
+    return langid.predict(docs, net).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
