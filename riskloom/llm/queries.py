@@ -58,3 +58,38 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     net = langid.train(docs.filter(~langid.held_out()))
     return langid.predict(docs, net).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@register("op5_sharding")
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import sharding
+
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op8_warc_segments", sql="""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, h, sha1(h) AS hex, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((('0x' || substr(hex, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM d""")
+def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import warc
+
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register("op2_token_counts")
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import unigram
+
+    return unigram.token_counts(table(spark, sf_dir, "documents"), piece_model_path())
