@@ -4,8 +4,9 @@ An Aho-Corasick automaton enumerates the vocabulary's matches; dynamic programmi
 carries the best score and the piece count of each position, for as many positions
 back as the longest piece. Ties follow the ``tokenizers`` unigram model: a later
 start must score strictly more, so the longest last piece wins; a character
-without a piece of its own costs the lowest score less 10 and counts as its bytes
-(byte fallback) or, without byte pieces, with its neighbours as one unknown.
+without a piece of its own costs the lowest score less 10. A run of unknown
+characters (and unknown pieces, the first of the vocabulary) counts as its bytes
+(byte fallback) or, without byte pieces, as one token.
 
 A piece holds the word mark only at its front, so no piece crosses the start of a
 run of spaces and the best segmentation is that of its space-led chunks. Equal
@@ -42,9 +43,10 @@ def vocabulary(path: str) -> list[tuple[str, float]]:
 class Counter:
     def __init__(self, pieces: list[tuple[str, float]]):
         self.auto = ahocorasick.Automaton()
+        self.unk_piece = pieces[0][0] if pieces else ""
         for piece, score in pieces:
             if piece:
-                self.auto.add_word(piece, (len(piece), float(score)))
+                self.auto.add_word(piece, (len(piece), float(score), piece == self.unk_piece))
         self.auto.make_automaton()
         names = {p for p, _ in pieces}
         self.longest = max((len(p) for p in names), default=1)
@@ -56,29 +58,31 @@ class Counter:
     def count(self, text: str) -> int:
         """Pieces of the best segmentation of an already marked text."""
         ring = self.longest + 1
-        best, pieces, unk = [0.0] * ring, [0] * ring, [False] * ring
+        best, pieces = [0.0] * ring, [0] * ring
+        run, cost = [0] * ring, [0] * ring                     # bytes and tokens of the unknown run that ends here
         found = self.auto.iter(text)
         nxt = next(found, None)
         for end in range(1, len(text) + 1):
-            top, n, is_unk, single = None, 0, False, False
+            top, back, unknown, single = None, 0, False, False
             while nxt is not None and nxt[0] == end - 1:       # the longest match first
-                length, score = nxt[1]
-                at = (end - length) % ring
-                value = best[at] + score
+                length, score, is_unk = nxt[1]
+                value = best[(end - length) % ring] + score
                 if top is None or value > top:
-                    top, n = value, pieces[at] + 1
+                    top, back, unknown = value, length, is_unk
                 single = single or length == 1
                 nxt = next(found, None)
             if not single:
-                at = (end - 1) % ring
-                value = best[at] + self.unknown
+                value = best[(end - 1) % ring] + self.unknown
                 if top is None or value > top:
-                    if self.byte_pieces:
-                        top, n = value, pieces[at] + len(text[end - 1].encode())
-                    else:
-                        top, n, is_unk = value, pieces[at] + (not unk[at]), True
-            at = end % ring
-            best[at], pieces[at], unk[at] = top, n, is_unk
+                    top, back, unknown = value, 1, True
+            at, to = (end - back) % ring, end % ring
+            if unknown:
+                size = run[at] + len(text[end - back:end].encode())
+                named = run[at] == 0 and text[end - back:end] == self.unk_piece
+                n = 1 if named or not self.byte_pieces else size
+                best[to], pieces[to], run[to], cost[to] = top, pieces[at] - cost[at] + n, size, n
+            else:
+                best[to], pieces[to], run[to], cost[to] = top, pieces[at] + 1, 0, 0
         return pieces[len(text) % ring]
 
     def count_batch(self, column: pa.Array) -> np.ndarray:
