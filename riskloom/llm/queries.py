@@ -93,3 +93,41 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm import unigram
 
     return unigram.token_counts(table(spark, sf_dir, "documents"), piece_model_path())
+
+
+EMBEDDING_BITS = 64
+
+
+@register("op1_exact_topk", sql="""
+WITH v AS (SELECT vec_id, embedding FROM embeddings WHERE embedding IS NOT NULL),
+q AS (SELECT vec_id AS query_id, embedding AS e FROM v WHERE vec_id % 100 = 0),
+d AS (SELECT query_id, vec_id AS neighbour_id,
+             list_sum(list_transform(range(1, 65), lambda i: ((e[i] > 0) != (embedding[i] > 0))::INT))::INT AS distance
+      FROM q, v),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id)::INT AS rank FROM d)
+SELECT query_id, neighbour_id, distance, rank FROM r WHERE rank <= 10""")
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import topk
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.filter("vec_id % 100 = 0"), EMBEDDING_BITS)
+
+
+@register("op10_minhash_near_dedup", sql="""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+          JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+          GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(na.n) + any_value(nb.n) - count(*))),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.b FROM r JOIN links l ON l.a = r.y),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN c ON c.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""")
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import neardup
+
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
