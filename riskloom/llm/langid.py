@@ -29,6 +29,8 @@ TRAIN_WINDOWS = 4
 EPOCHS = 25
 BATCH = 64
 RATE = 0.01
+#: Least mean probability of a text that a filter keeps.
+MIN_SCORE = 0.4
 #: Windows classified at once in a task.
 WINDOWS_AT_ONCE = 1024
 UNDETERMINED = "und"
@@ -210,6 +212,23 @@ def predict(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str
             .mapInArrow(run, f"id {id_type}, lang_pred string, score double").withColumnRenamed("id", id_col))
 
 
+def filter_documents(docs: DataFrame, net: Network, text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language with at least
+    ``min_score``; null texts and texts without a letter go."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        model = shared.value
+        for batch in batches:
+            for part in tb.slices(batch, text_col):
+                if model.langs:
+                    p, letter = classify(part.column(at), model)
+                    yield part.filter(pa.array(letter & (p.max(axis=1) >= min_score)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     """Rows that no model learns from: crc32 of the id as text is 2 modulo 4."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))

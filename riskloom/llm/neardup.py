@@ -214,3 +214,17 @@ def _open_pairs(members: DataFrame, star: DataFrame, parts: DataFrame, min_perce
              & (100 * F.least("na", "n") >= min_percent * F.greatest("na", "n")))
     both = out.join(m.drop("main"), "key").filter(close)
     return both.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, without those that ``near_duplicates``
+    does not keep; of rows with one id and text one stays."""
+    marks = near_duplicates(docs, id_col, text_col, **options)
+    gone = written(marks.filter(~F.col("kept")).select(id_col).distinct(), "near-gone")
+    few = gone.count() <= BROADCAST_IDS
+    left = docs.join(F.broadcast(gone) if few else gone, id_col, "left_anti")
+    again = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1")
+    if not again.isEmpty():
+        left = (left.withColumn("__text", F.xxhash64(text_col)).withColumn("__null", F.when(F.col(id_col).isNull(), F.monotonically_increasing_id()))
+                .dropDuplicates([id_col, "__text", "__null"]).drop("__text", "__null"))
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -27,7 +27,7 @@ SYMBOLS = b"#*$%&|<>"
 #: A text is kept if its calibrated probability of good quality reaches this.
 THRESHOLD = 0.1
 #: Labelled rows of each class that the model is fitted on at most.
-TRAIN_ROWS_PER_CLASS = 2000
+TRAIN_ROWS_PER_CLASS = 1200
 #: One of so many training rows is kept for the calibration.
 CALIBRATION_SHARE = 4
 BUCKET_BITS = 18
@@ -294,6 +294,20 @@ def apply_rules(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
             .mapInArrow(run, schema).withColumnRenamed("id", id_col))
 
 
+def filter_documents(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``apply_rules`` would keep."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        mod = shared.value
+        for batch in batches:
+            for part in tb.slices(batch, text_col):
+                yield part.filter(verdict(part.column(at), mod, threshold)[-2])
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def verdict(texts: pa.Array, model: Model, threshold: float) -> list[pa.Array]:
     """Rule columns, base_failed, kept and probability of a slice of texts."""
     n = len(texts)

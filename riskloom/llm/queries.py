@@ -131,3 +131,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm import neardup
 
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+@register("op6_substring_dedup")
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import substring
+
+    return substring.repeated_spans(table(spark, sf_dir, "documents"))
