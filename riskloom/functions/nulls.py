@@ -39,9 +39,9 @@ def ieee_ratio(a: Column | str, b: Column | str) -> Column:
 
 
 def clamp_positive(c: Column | str) -> Column:
-    """``c if c > 0 else 0``: a missing value also becomes 0."""
+    """``c if c > 0 else 0``: a missing value, NULL or NaN, also becomes 0."""
     c = _col(c)
-    return F.when(c > 0, c).otherwise(F.lit(0))
+    return F.when((c > 0) & ~F.isnan(c.cast("double")), c).otherwise(F.lit(0))
 
 
 def sentinel_to_null(c: Column | str, sentinel: int = DAYS_SENTINEL) -> Column:

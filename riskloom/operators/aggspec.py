@@ -37,7 +37,9 @@ def agg_expr(column: str, agg: str, when: Column | None = None) -> Column:
     if agg == "sum":
         return F.coalesce(F.sum(c), F.lit(0))
     if agg == "var":
-        return F.var_samp(c)
+        # a spread below 1e-12 of the mean is the rounding of equal values
+        v = F.var_samp(c)
+        return F.when(v <= F.lit(1e-24) * F.avg(c) * F.avg(c), F.lit(0.0)).otherwise(v)
     if agg == "std":
         return F.stddev_samp(c)
     if agg == "size":
@@ -98,7 +100,8 @@ class AggSpec:
 
 
 # Category columns with more values than this get their shares from pivot
-# counts (one extra aggregate on the same key) instead of one expression each.
+# counts (one extra aggregate on the same key) instead of one expression each;
+# the output columns and their order are the same.
 WIDE_VOCAB = 64
 
 
@@ -111,7 +114,7 @@ def multi_agg(df: DataFrame, spec: AggSpec) -> DataFrame:
     """
     from dataclasses import replace
 
-    from riskloom.operators.onehot import category_share_wide
+    from riskloom.operators.onehot import category_share_wide, share_names
 
     spec = spec.restrict(df.columns)
     df = df.filter(F.col(spec.key).isNotNull())
@@ -122,7 +125,13 @@ def multi_agg(df: DataFrame, spec: AggSpec) -> DataFrame:
            else df.select(spec.key).distinct())
     for c, values in wide.items():
         out = out.join(category_share_wide(df, spec.key, c, values, spec.prefix), spec.key, "left")
-    return out
+    if not wide:
+        return out
+    # one layout whatever the number of values: shares stand between numeric and other columns
+    shares = [n for c, v in spec.vocab.items() for n in share_names({c: v}, spec.prefix)]
+    first = [feature_name(spec.prefix, c, a) for c, aggs in spec.numeric.items() for a in aggs]
+    placed = {spec.key, *first, *shares}
+    return out.select(*[F.col(f"`{c}`") for c in [spec.key, *first, *shares, *[c for c in out.columns if c not in placed]]])
 
 
 def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:

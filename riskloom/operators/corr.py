@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,25 +24,27 @@ from riskloom.functions.nulls import inf_to_null, is_numeric
 from riskloom.operators.rank import cumulative_below
 
 
-def numeric_prepare(df: DataFrame, keep: tuple[str, ...] = (), snap_digits: int | None = None) -> DataFrame:
-    """Numeric and boolean columns only; bool -> int; ±inf/NaN -> NULL.
+# Values whose spread is below this share of their mean are summation noise of a
+# constant (a mean of identical ratios differs in its last bits): no correlation.
+RELATIVE_SPREAD = 1e-12
 
-    ``snap_digits`` rounds doubles to that many decimals (boundaries shifted
-    by 0.33 % of a step): aggregates of values that are equal up to the last
-    bit (a mean of identical ratios) carry summation noise whose correlation
-    is meaningless and engine-dependent; snapping makes such a column an exact
-    constant, which is then dropped like any other constant.
-    """
+
+def significant(c: Column, digits: int = 12) -> Column:
+    """``c`` to so many significant digits, whatever its size: what counts as a
+    tie in a ranking of computed doubles."""
+    scale = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))))
+    return F.when((c == 0) | (scale == 0), c).otherwise(F.round(c / scale, digits - 1) * scale)
+
+
+def numeric_prepare(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Numeric and boolean columns only; bool -> int; ±inf/NaN -> NULL."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.BooleanType):
             cols.append(c.cast("int").alias(f.name))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            x = inf_to_null(c)
-            if snap_digits is not None:
-                x = F.round(x + F.lit(0.0033 * 10.0 ** (-snap_digits)), snap_digits) + F.lit(0.0)
-            cols.append(x.alias(f.name))
+            cols.append(inf_to_null(c).alias(f.name))
         elif is_numeric(f.dataType) or f.name in keep:
             cols.append(c)
     return df.select(*cols)
@@ -61,7 +63,8 @@ def pearson_with_target(df: DataFrame, target: str, columns: list[str] | None =
             .unpivot(["__y"], columns, "column", "__x")
             .filter(F.col("__x").isNotNull() & F.col("__y").isNotNull()))
     x, y = F.col("__x"), F.col("__y")
-    r = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+    spread = F.stddev_samp(x) > RELATIVE_SPREAD * F.abs(F.avg(x))
+    r = F.when(spread, F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)))
     rep = long.groupBy("column").agg(r.alias("pearson"))
     return (rep.filter(F.col("pearson").isNotNull() & ~F.isnan("pearson"))
             .select("column", "pearson", F.abs("pearson").alias("abs_pearson"))
@@ -79,7 +82,8 @@ def spearman_with_binary_target(df: DataFrame, target: str, columns: list[str] |
     long = (df.select(F.col(f"`{target}`").cast("double").alias("__y"),
                       *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
             .unpivot(["__y"], columns, "column", "value")
-            .filter(F.col("value").isNotNull() & F.col("__y").isNotNull()))
+            .filter(F.col("value").isNotNull() & F.col("__y").isNotNull())
+            .withColumn("value", significant(F.col("value"))))
     cb = cumulative_below(long, "value", {"n": F.lit(1), "pos": F.col("__y")}, ["column"])
     avg_rank = F.col("below_n") + (F.col("n") + 1) / 2.0
     s = cb.groupBy("column").agg(
@@ -140,18 +144,16 @@ def pearson_matrix(df: DataFrame, columns: list[str], upper_only: bool = True) -
     means = df.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]).collect()[0]
     centred = df.select(*[(x - F.lit(means[f"m{i}"] if means[f"m{i}"] is not None else 0.0)).alias(f"c{i}")
                           for i, x in enumerate(xs)])
-    # Every task emits one p x p block set, so the shuffle is tasks x p^2:
-    # merge input partitions (no shuffle) down to the cluster's parallelism.
-    cap = max(1, centred.sparkSession.sparkContext.defaultParallelism)
-    if centred.rdd.getNumPartitions() > cap:
-        centred = centred.coalesce(cap)
+    # Every task emits one block set; the sums by (i, j) are the only shuffle.
     sums = (centred.mapInPandas(_gram_blocks(p, upper_only), _GRAM_SCHEMA)
             .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]))
     vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
     vy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
     cxy = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
-    tiny_x = vx <= 1e-10 * F.abs(F.col("sxx")) + 1e-300
-    tiny_y = vy <= 1e-10 * F.abs(F.col("syy")) + 1e-300
+    size = F.array(*[F.lit(abs(means[f"m{i}"] or 0.0) * RELATIVE_SPREAD) for i in range(p)])
+    least = lambda k: F.element_at(size, F.col(k) + 1) * F.element_at(size, F.col(k) + 1) * F.col("n")
+    tiny_x = (vx <= 1e-10 * F.abs(F.col("sxx")) + 1e-300) | (vx <= least("i"))
+    tiny_y = (vy <= 1e-10 * F.abs(F.col("syy")) + 1e-300) | (vy <= least("j"))
     r = F.when((F.col("n") > 1) & ~tiny_x & ~tiny_y, F.try_divide(cxy, F.sqrt(vx * vy)))
     names = F.array(*[F.lit(c) for c in columns])
     clamped = F.when(r.isNotNull(), F.least(F.greatest(r, F.lit(-1.0)), F.lit(1.0)))
@@ -179,7 +181,7 @@ def spearman_matrix(df: DataFrame, columns: list[str], id_col: str) -> DataFrame
     ``id_col`` must be unique: it pairs each row's two ranks again.
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    xs = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    xs = {c: significant(F.col(f"`{c}`").cast("double")) for c in columns}
     base = df.select(F.col(id_col).alias("__rid"), *[xs[c].alias(c) for c in columns])
     exploded = base.select("__rid", F.explode(F.array(*[
         F.struct(F.lit(k).alias("pair"), F.col(f"`{a}`").alias("x"), F.col(f"`{b}`").alias("y"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.rank import cumulative_below
+from riskloom.operators.rank import cumulative_below, null_safe_join
 
 # Cost of a missed default and of a refused good client.
 COST_FN = 10.0
@@ -47,9 +47,15 @@ def metrics_from_counts(tn: Column, fp: Column, fn: Column, tp: Column,
     ]
 
 
+def _has_score(score: str) -> Column:
+    """False for a missing score, NULL or NaN: it reaches no threshold, so its
+    prediction is 0 wherever one is made, and it takes no part in the AUC."""
+    return F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+
+
 def confusion_counts(df: DataFrame, threshold: float = 0.5, label: str = "label", score: str = "score",
                      group_cols: list[str] | None = None) -> DataFrame:
-    pred = F.col(score) >= F.lit(threshold)
+    pred = _has_score(score) & (F.col(score) >= F.lit(threshold))
     y = F.col(label) == 1
     g = list(group_cols or [])
     return df.groupBy(*g).agg(
@@ -63,7 +69,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
     ``pos * (neg_below + neg_tied / 2) / (P * N)``; NULL with one class only."""
     g = list(group_cols or [])
     y = F.col(label).cast("long")
-    cb = cumulative_below(df, score, {"pos": y, "neg": 1 - y}, g)
+    cb = cumulative_below(df.filter(_has_score(score)), score, {"pos": y, "neg": 1 - y}, g)
     agg = cb.groupBy(*g) if g else cb.groupBy()
     return agg.agg(
         F.try_divide(F.sum(F.col("pos") * (F.col("below_neg") + F.col("neg") / 2.0)),
@@ -79,7 +85,7 @@ def metric_bundle(df: DataFrame, threshold: float = 0.5, label: str = "label", s
     out = cm.select(*g, "tn", "fp", "fn", "tp",
                     *metrics_from_counts(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp"), cost_fn, cost_fp))
     auc = roc_auc(df, label, score, g)
-    return out.join(auc, g, "left") if g else _attach_single(out, auc)
+    return null_safe_join(out, auc, g, "left") if g else _attach_single(out, auc)
 
 
 def _attach_single(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -100,7 +106,7 @@ def threshold_sweep(df: DataFrame, ts: list[float] | None = None, label: str = "
     g = list(group_cols or [])
     tarr = F.array(*[F.lit(float(t)) for t in ts])
     s = F.col(score)
-    bucket = F.size(F.filter(tarr, lambda t: t <= s))
+    bucket = F.when(_has_score(score), F.size(F.filter(tarr, lambda t: t <= s))).otherwise(F.lit(0))
     y = F.col(label) == 1
     counts = df.groupBy(*g, bucket.alias("bucket")).agg(F.count_if(y).alias("p"), F.count_if(~y).alias("n"))
     per_t = counts.select(*g, "bucket", "p", "n", F.posexplode(tarr).alias("i", "threshold"))
@@ -116,7 +122,7 @@ def threshold_sweep(df: DataFrame, ts: list[float] | None = None, label: str = "
     if not with_auc:
         return out
     auc = roc_auc(df, label, score, g)
-    return out.join(auc, g, "left") if g else _attach_single(out, auc)
+    return null_safe_join(out, auc, g, "left") if g else _attach_single(out, auc)
 
 
 CURVE_METRICS = ["business_cost", "business_cost_per_client", "accuracy", "precision", "recall", "f1_score",

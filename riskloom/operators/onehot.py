@@ -12,10 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Largest vocabulary one-hot encoding accepts per column; wider text columns
-# belong to ``category_share_wide`` (pivot counts), not to dense dummies.
-MAX_VOCABULARY = 5000
-
 Vocabulary = dict[str, list[str]]
 
 
@@ -32,25 +28,26 @@ def vocabulary_frame(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def fit_vocabulary(df: DataFrame, columns: list[str] | None = None,
-                   exclude: tuple[str, ...] = (), max_values: int = MAX_VOCABULARY) -> Vocabulary:
+                   exclude: tuple[str, ...] = (), max_values: int | None = None) -> Vocabulary:
     """Distinct sorted values per text column (the dynamic part of the schema).
 
     One job: the distinct (column, value) pairs (a spillable hash aggregate)
-    are collected with ``limit(max_values * columns + 1)``, so at most that
-    many rows reach the driver; reaching the limit implies some column has
-    more than ``max_values`` values, which raises.
+    are collected; every value becomes a column, so the driver needs them all.
+    A caller that wants a bound gives ``max_values``: then at most
+    ``max_values * columns + 1`` rows reach the driver, and a wider column raises.
     """
     columns = text_columns(df, exclude) if columns is None else list(columns)
     if not columns:
         return {}
-    cap = max_values * len(columns) + 1
-    rows = vocabulary_frame(df, columns).limit(cap).collect()
+    found = vocabulary_frame(df, columns)
+    rows = (found if max_values is None else found.limit(max_values * len(columns) + 1)).collect()
     vocab: Vocabulary = {c: [] for c in columns}
     for row in rows:
         vocab[row["column_name"]].append(row["value"])
-    wide = [(c, len(v)) for c, v in vocab.items() if len(v) > max_values]
-    if wide or len(rows) >= cap:
-        raise ValueError(f"vocabulary too wide for dense one-hot: {wide}")
+    if max_values is not None:
+        wide = [(c, len(v)) for c, v in vocab.items() if len(v) > max_values]
+        if wide or len(rows) > max_values * len(columns):
+            raise ValueError(f"more than {max_values} values: {wide}")
     return {c: sorted(v) for c, v in vocab.items()}
 
 
@@ -74,6 +71,11 @@ def transform(df: DataFrame, vocab: Vocabulary, dtype: str = "tinyint") -> DataF
     return df.select(*passthrough, *dummy_columns(vocab, dtype))
 
 
+def share_names(vocab: Vocabulary, prefix: str, agg: str = "mean") -> list[str]:
+    """Names of ``share_columns``, in order."""
+    return [f"{prefix}_{c}_{v}_{agg}".upper() for c, values in vocab.items() for v in [*values, "nan"]]
+
+
 def share_columns(vocab: Vocabulary, prefix: str, agg: str = "mean") -> list[Column]:
     """Per-group share of each category (the mean of its dummy) without
     materialising dummies: ``avg(c = v)`` with NULL counting as 0."""

@@ -6,8 +6,7 @@ class (92 % of the rows here) into one task. Instead:
 1. give every row a bucket that is monotone in the sort key,
 2. count per (group, bucket): a table of at most groups x buckets rows,
 3. running totals over that small table give each bucket's offset,
-4. join the offsets back (broadcast; the table size is bounded by
-   construction) and rank / sum only inside (group, bucket).
+4. join the offsets back and rank / sum only inside (group, bucket).
 
 Buckets for hash ranks are the high bits of the hash (uniform by
 construction); for value ranks they come from approximate quantiles of the
@@ -22,11 +21,22 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows per bucket the window step is sized for, and the bucket-count ceiling
-# that bounds the broadcast offset table.
+# Rows per bucket the window step is sized for. The offset table has a row per
+# (group, bucket), so it stays a millionth of the rows; Spark broadcasts it if
+# its size allows.
 TARGET_ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKET_BITS = 20
-DEFAULT_VALUE_BUCKETS = 256
+MAX_BUCKET_BITS = 62
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join that matches NULL keys with each other; the key columns are ``left``'s."""
+    names = {c: f"__right_{c}" for c in on}
+    r = right.select(*[F.col(f"`{c}`").alias(names.get(c, c)) for c in right.columns])
+    cond = None
+    for c in on:
+        e = left[f"`{c}`"].eqNullSafe(r[names[c]])
+        cond = e if cond is None else cond & e
+    return left.join(r, cond, how).drop(*names.values())
 
 
 def bucket_bits(n_rows: int, target: int | None = None) -> int:
@@ -56,7 +66,7 @@ def hash_rank(df: DataFrame, id_col: str, seed: int = 42, group_cols: list[str]
     counts = x.groupBy(*group_cols, "__b").agg(F.count(F.lit(1)).alias("__n"))
     offsets = _offsets(counts, group_cols, ["__n"])
     w = Window.partitionBy(*group_cols, "__b").orderBy("__h", id_col)
-    return (x.join(F.broadcast(offsets), group_cols + ["__b"])
+    return (null_safe_join(x, offsets, group_cols + ["__b"])
             .withColumn(rank_col, F.col("__off___n") + F.row_number().over(w))
             .drop("__h", "__b", "__off___n"))
 
@@ -80,22 +90,24 @@ def cumulative_below(df: DataFrame, value_col: str, measures: dict[str, Column],
           .groupBy(*group_cols, F.col(value_col).alias("__v"))
           .agg(*[F.sum(e).alias(n) for n, e in measures.items()]))
     if n_buckets is None:
-        # sized from the distinct-value table (one count job on the grouped rows)
-        n_buckets = min(DEFAULT_VALUE_BUCKETS, max(1, math.ceil(vc.count() / TARGET_ROWS_PER_BUCKET)))
+        # as many as the session's shuffle has tasks: no job runs while the plan is built
+        n_buckets = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if n_buckets <= 1:
         x = vc.withColumn("__b", F.lit(0))
     else:
         probs = [i / n_buckets for i in range(1, n_buckets)]
+        # the measures are carried along, so that this branch keeps all columns of
+        # the distinct-value table and Spark reuses its exchange instead of a second scan
         bounds = vc.groupBy(*group_cols).agg(
             F.percentile_approx(F.col("__v").cast("double"), F.array(*[F.lit(p) for p in probs]), 10000)
-            .alias("__bounds"))
+            .alias("__bounds"), *[F.max(n).alias(f"__max_{n}") for n in names])
         v = F.col("__v").cast("double")
-        x = vc.join(F.broadcast(bounds), group_cols)
+        x = null_safe_join(vc, bounds.drop(*[f"__max_{n}" for n in names]), group_cols)
         x = x.withColumn("__b", F.size(F.filter(F.array_distinct("__bounds"), lambda b: b < v))).drop("__bounds")
     counts = x.groupBy(*group_cols, "__b").agg(*[F.sum(n).alias(n) for n in names])
     offsets = _offsets(counts, group_cols, names)
     w = Window.partitionBy(*group_cols, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    out = x.join(F.broadcast(offsets), group_cols + ["__b"])
+    out = null_safe_join(x, offsets, group_cols + ["__b"])
     return out.select(*user_groups, F.col("__v").alias(value_col), *names,
                       *[(F.col(f"__off_{n}") + F.coalesce(F.sum(n).over(w), F.lit(0))).alias(f"below_{n}")
                         for n in names])

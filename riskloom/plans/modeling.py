@@ -57,11 +57,9 @@ def processed(spark: SparkSession, sf: str) -> DataFrame:
     """The final dataset as a Parquet stage (written once per set of input
     files, then scanned): what the analysis and preparation steps read, as the
     reference's processed-file hand-off."""
-    import os
-
     from riskloom.session import input_fingerprint, stage_table
 
-    fp = input_fingerprint([os.path.join(sf, f"{t}.parquet") for t in TESTBED_INPUTS])
+    fp = input_fingerprint(spark, [f"{sf.rstrip('/')}/{t}.parquet" for t in TESTBED_INPUTS])
     return stage_table(spark, "final_dataset", fp, lambda: final_dataset(spark, sf))
 
 

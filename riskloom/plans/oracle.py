@@ -179,7 +179,7 @@ def agg_sql(col: str, agg: str, pred: str | None = None) -> tuple[str, bool]:
     if agg == "sum":
         return (f"CAST(COALESCE(sum({c}), 0) AS BIGINT)", False) if is_int else (f"COALESCE(sum({c}), 0.0e0)", True)
     if agg == "var":
-        return f"var_samp({c})", True
+        return (f"CASE WHEN var_samp({c}) <= 1e-24 * avg({c}) * avg({c}) THEN 0.0e0 ELSE var_samp({c}) END"), True
     if agg == "std":
         return f"stddev_samp({c})", True
     if agg == "size":

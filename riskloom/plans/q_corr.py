@@ -10,13 +10,15 @@ from riskloom.plans.oracle import finish_sql
 from riskloom.plans.q_prep import final_dataset_parts
 
 ID, TARGET = "SK_ID_CURR", "TARGET"
-# Decimals kept before correlating (see ``corr.numeric_prepare``).
-SNAP = 9
+# The ranking rule of ``corr.significant`` in SQL.
+SIGNIFICANT = ("CASE WHEN {v} = 0 OR pow(10.0e0, floor(log10(abs({v})))) = 0 THEN {v} ELSE "
+               "round({v} / pow(10.0e0, floor(log10(abs({v})))), 11) * pow(10.0e0, floor(log10(abs({v})))) END")
+SPREAD = "stddev_samp({v}) > 1e-12 * abs(avg({v}))"
 
 
 def prepared_train(spark, sf):
     train, _ = fx.split_train_test(modeling.processed(spark, sf))
-    return corr.numeric_prepare(train, snap_digits=SNAP)
+    return corr.numeric_prepare(train)
 
 
 def _ft_sql() -> str:
@@ -25,7 +27,7 @@ def _ft_sql() -> str:
     return (sql + ", ft AS (SELECT * EXCLUDE (dataset_type) FROM final WHERE dataset_type = 'train'),\n"
             "ftn AS (SELECT COLUMNS(* EXCLUDE (SK_ID_CURR, TARGET))::DOUBLE, SK_ID_CURR, TARGET FROM ft),\n"
             f"lng AS (SELECT SK_ID_CURR, TARGET, \"column\", CASE WHEN isinf(v) OR isnan(v) THEN NULL "
-            f"ELSE round(v + {0.0033 * 10.0 ** -SNAP!r}, {SNAP}) + 0.0e0 END AS v "
+            "ELSE v END AS v "
             "FROM ftn UNPIVOT INCLUDE NULLS (v FOR \"column\" IN (COLUMNS(* EXCLUDE (SK_ID_CURR, TARGET)))))\n")
 
 
@@ -41,7 +43,8 @@ def numeric_prepare(spark, sf):
     return finish(prepared_train(spark, sf))
 
 
-PEARSON_SQL = """pr AS (SELECT "column", corr(v, TARGET) AS pearson FROM lng GROUP BY "column"),
+PEARSON_SQL = """pr AS (SELECT "column", CASE WHEN """ + SPREAD.format(v="v") + """ THEN corr(v, TARGET) END AS pearson
+  FROM lng WHERE v IS NOT NULL GROUP BY "column"),
 prr AS (SELECT "column", pearson, abs(pearson) AS abs_pearson FROM pr WHERE pearson IS NOT NULL AND NOT isnan(pearson))
 """
 
@@ -55,8 +58,9 @@ def pearson_target(spark, sf):
 
 
 @register("spearman_target", lambda: finish_sql(_ft_sql() + """,
+tie AS (SELECT "column", TARGET, """ + SIGNIFICANT.format(v="v") + """ AS v FROM lng WHERE v IS NOT NULL),
 rk AS (SELECT "column", TARGET, rank() OVER (PARTITION BY "column" ORDER BY v)
-          + (count(*) OVER (PARTITION BY "column", v) - 1) / 2.0e0 AS r FROM lng WHERE v IS NOT NULL),
+          + (count(*) OVER (PARTITION BY "column", v) - 1) / 2.0e0 AS r FROM tie),
 sp AS (SELECT "column", corr(r, TARGET) AS spearman FROM rk GROUP BY "column")
 SELECT "column", spearman, abs(spearman) AS abs_spearman FROM sp WHERE spearman IS NOT NULL AND NOT isnan(spearman)""",
     ["spearman", "abs_spearman"]))
@@ -77,9 +81,10 @@ def topk_corr(spark, sf):
 
 
 @register("correlated_pairs", lambda: finish_sql(_ft_sql() + """,
-pairs AS (SELECT a."column" AS col_a, b."column" AS col_b, corr(a.v, b.v) AS r
+pairs AS (SELECT a."column" AS col_a, b."column" AS col_b,
+                 CASE WHEN """ + SPREAD.format(v="a.v") + " AND " + SPREAD.format(v="b.v") + """ THEN corr(a.v, b.v) END AS r
           FROM lng a JOIN lng b ON a.SK_ID_CURR = b.SK_ID_CURR AND a."column" < b."column"
-          GROUP BY 1, 2)
+          WHERE a.v IS NOT NULL AND b.v IS NOT NULL GROUP BY 1, 2)
 SELECT col_a, col_b, r, abs(r) AS abs_r FROM pairs WHERE NOT isnan(r) AND abs(r) > 0.9""", ["r", "abs_r"]))
 def correlated_pairs(spark, sf):
     """Feature pairs with |r| > 0.90 (pairwise complete), from per-task Gram blocks."""
@@ -97,8 +102,10 @@ MATRIX_COLUMNS = ["TARGET", "DAYS_EMPLOYED_PERC", "INCOME_CREDIT_PERC", "PAYMENT
 lt AS (SELECT SK_ID_CURR, "column", v FROM lng UNION ALL SELECT SK_ID_CURR, 'TARGET', TARGET FROM ft),
 sel AS (SELECT * FROM lt WHERE "column" IN (""" + ", ".join(f"'{c}'" for c in MATRIX_COLUMNS) + """))
 SELECT a."column" AS col_a, b."column" AS col_b,
-       CASE WHEN isnan(corr(a.v, b.v)) THEN NULL ELSE greatest(least(corr(a.v, b.v), 1.0e0), -1.0e0) END AS r
-FROM sel a JOIN sel b ON a.SK_ID_CURR = b.SK_ID_CURR GROUP BY 1, 2""", ["r"]))
+       CASE WHEN """ + SPREAD.format(v="a.v") + " AND " + SPREAD.format(v="b.v") + """ AND NOT isnan(corr(a.v, b.v))
+            THEN greatest(least(corr(a.v, b.v), 1.0e0), -1.0e0) END AS r
+FROM (SELECT a.SK_ID_CURR, a."column", a.v FROM sel a) a JOIN sel b ON a.SK_ID_CURR = b.SK_ID_CURR
+WHERE (a.v IS NOT NULL AND b.v IS NOT NULL) GROUP BY 1, 2""", ["r"]))
 def corr_matrix(spark, sf):
     """Full Pearson matrix (long form) of selected features and TARGET."""
     return finish(corr.pearson_matrix(prepared_train(spark, sf), MATRIX_COLUMNS, upper_only=False))
@@ -107,8 +114,9 @@ def corr_matrix(spark, sf):
 @register("spearman_matrix", lambda: finish_sql(_ft_sql() + """,
 lt AS (SELECT SK_ID_CURR, "column", v FROM lng UNION ALL SELECT SK_ID_CURR, 'TARGET', TARGET FROM ft),
 sel AS (SELECT * FROM lt WHERE "column" IN (""" + ", ".join(f"'{c}'" for c in MATRIX_COLUMNS) + """) AND v IS NOT NULL),
+tie AS (SELECT SK_ID_CURR, "column", """ + SIGNIFICANT.format(v="v") + """ AS v FROM sel),
 pr AS (SELECT a."column" AS col_a, b."column" AS col_b, a.v AS x, b.v AS y
-       FROM sel a JOIN sel b ON a.SK_ID_CURR = b.SK_ID_CURR),
+       FROM tie a JOIN tie b ON a.SK_ID_CURR = b.SK_ID_CURR),
 rk AS (SELECT col_a, col_b,
          rank() OVER (PARTITION BY col_a, col_b ORDER BY x) + (count(*) OVER (PARTITION BY col_a, col_b, x) - 1) / 2.0e0 AS rx,
          rank() OVER (PARTITION BY col_a, col_b ORDER BY y) + (count(*) OVER (PARTITION BY col_a, col_b, y) - 1) / 2.0e0 AS ry

@@ -32,14 +32,12 @@ def modeling_train(spark, sf):
     checkpoint folder (the reference's processed-file hand-off) and scanned
     back, which also cuts the lineage before iterative fits.
     """
-    import os
-
     def build():
         train, _, _ = modeling.modeling_tables(spark, sf)
         return train.withColumnRenamed(TARGET, "label")
 
-    inputs = [os.path.join(sf, f"{t}.parquet") for t in ("customer", "orders", "lineitem", "events")]
-    return stage_table(spark, "modeling_train", input_fingerprint(inputs), build)
+    inputs = [f"{sf.rstrip('/')}/{t}.parquet" for t in modeling.TESTBED_INPUTS]
+    return stage_table(spark, "modeling_train", input_fingerprint(spark, inputs), build)
 
 
 def feature_names(df) -> list[str]:

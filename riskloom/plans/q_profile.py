@@ -68,18 +68,23 @@ def _missing_sql(cte: str, cols: list[str], with_count: bool) -> str:
 
 
 def missing_rate_sql() -> str:
-    cte, cols = DERIVED["previous_application"]
-    inner = (with_ctes("prev") + ", prevc AS (SELECT * REPLACE (NULLIF(DAYS_FIRST_DUE, 365243) AS DAYS_FIRST_DUE, "
+    parts = []
+    for name, (cte, cols) in DERIVED.items():
+        src = "prevc" if cte == "prev" else cte
+        parts.append(f"SELECT '{name}' AS \"table\", * FROM ({_missing_sql(src, [c for c, _ in cols], False)}) t")
+    inner = (with_ctes(*DERIVED_CTES) + ", prevc AS (SELECT * REPLACE (NULLIF(DAYS_FIRST_DUE, 365243) AS DAYS_FIRST_DUE, "
              "NULLIF(DAYS_LAST_DUE, 365243) AS DAYS_LAST_DUE, NULLIF(DAYS_TERMINATION, 365243) AS DAYS_TERMINATION) "
-             "FROM prev)\n" + _missing_sql("prevc", [c for c, _ in cols], False))
-    return f"SELECT \"column\", round(missing_rate + 3.3e-07, 4) + 0.0e0 AS missing_rate FROM ({inner})"
+             "FROM prev)\n" + "\nUNION ALL\n".join(parts))
+    return f"SELECT \"table\", \"column\", round(missing_rate + 3.3e-07, 4) + 0.0e0 AS missing_rate FROM ({inner})"
 
 
 @register("missing_rate", missing_rate_sql)
 def missing_rate(spark, sf):
-    """Missing rate of every column of the cleaned previous-application table, sorted."""
-    df = fx.replace_sentinels(tb.previous_application(spark, sf), fx.PREVIOUS_SENTINEL_COLUMNS)
-    return finish(profile.missing_rate(df))
+    """Missing rate of every column of every raw table, previous applications cleaned."""
+    tables = derived_tables(spark, sf)
+    tables["previous_application"] = fx.replace_sentinels(tables["previous_application"], fx.PREVIOUS_SENTINEL_COLUMNS)
+    return finish(_union_all([profile.missing_rate(df).select(F.lit(name).alias("table"), "column", "missing_rate")
+                              for name, df in tables.items()]))
 
 
 def _final_train_long(cast_inf: bool) -> str:
@@ -249,22 +254,35 @@ def relation_profile(spark, sf):
 
 
 # -------------------------------------------------------------- F12, F13
-@register("hash_sample")
+# Fixed value: the reference's sample size.
+SAMPLE_ROWS = 50_000
+
+
+@register("hash_sample", lambda: final_dataset_parts()[0] + f"""
+SELECT least(count(*), {SAMPLE_ROWS}) AS rows, least(count(DISTINCT SK_ID_CURR), {SAMPLE_ROWS}) AS ids,
+       0::BIGINT AS strangers FROM final WHERE dataset_type = 'train'""")
 def hash_sample(spark, sf):
-    """Deterministic 500-row sample of the final train table (seed 42)."""
+    """Deterministic sample of the final train table (seed 42): its rows, its
+    distinct clients, and those of them that are not in the table."""
     train, _ = fx.split_train_test(modeling.processed(spark, sf))
-    return finish(profile.hash_sample(train, 500, "SK_ID_CURR", seed=42))
+    s = profile.hash_sample(train.select("SK_ID_CURR"), SAMPLE_ROWS, "SK_ID_CURR", seed=42)
+    known = train.select("SK_ID_CURR", F.lit(1).alias("known")).distinct()
+    return s.join(known, "SK_ID_CURR", "left").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("SK_ID_CURR").alias("ids"),
+        F.count_if(F.col("known").isNull()).alias("strangers"))
 
 
-PATTERN_COLUMNS = ["AMT_ANNUITY", "DAYS_EMPLOYED", "ANNUITY_INCOME_PERC", "POS_CASH_COUNT",
-                   "APPROVED_APPLICATION_COUNT", "REFUSED_APPLICATION_COUNT", "INSTAL_PAYMENT_PERC_VAR"]
+def pattern_columns() -> list[tuple[str, bool]]:
+    """Every aggregated column of the final table and whether it is a double."""
+    return final_dataset_parts()[1]
 
 
 @register("missing_pattern", lambda: final_dataset_parts()[0] + """
 , ft AS (SELECT * FROM final WHERE dataset_type = 'train')
-SELECT """ + " || ".join(f"CASE WHEN {c} IS NULL OR isnan({c}) THEN '1' ELSE '0' END" for c in PATTERN_COLUMNS)
+SELECT """ + " || ".join(f"CASE WHEN {q(c)} IS NULL" + (f" OR isnan({q(c)})" if d else "") + " THEN '1' ELSE '0' END"
+                         for c, d in pattern_columns())
           + """ AS pattern, count(*) AS rows FROM ft GROUP BY 1""")
 def missing_pattern(spark, sf):
-    """Co-missing structure of selected columns of the final train table."""
+    """Co-missing structure of all numeric columns of the final train table."""
     train, _ = fx.split_train_test(modeling.processed(spark, sf))
-    return profile.missing_pattern(train.select(*PATTERN_COLUMNS))
+    return profile.missing_pattern(train.select(*[F.col(f"`{c}`") for c, _ in pattern_columns()]))

@@ -65,7 +65,14 @@ def build_runs(spark, sf):
     return rl.conform(child.unionByName(parent).unionByName(tuning))
 
 
-@register("run_log")
+@register("run_log", lambda: finish_sql(_runs_sql() + """
+, tb AS (SELECT threshold, mean_business_cost FROM curve ORDER BY mean_business_cost, threshold LIMIT 1),
+lm AS (SELECT 'cv-' || model || '-fold' || CAST(fold AS VARCHAR) AS run_id, business_cost, roc_auc, recall FROM mf
+       UNION ALL SELECT run_id, business_cost, roc_auc, recall FROM pm)
+SELECT run_id, 'business_cost' AS metric, business_cost AS value FROM lm UNION ALL SELECT run_id, 'roc_auc', roc_auc FROM lm
+UNION ALL SELECT run_id, 'recall', recall FROM lm
+UNION ALL SELECT 'tune-alpha', 'best_business_cost', mean_business_cost FROM tb
+UNION ALL SELECT 'tune-alpha', 'best_threshold', threshold FROM tb""", ["value"]))
 def run_log(spark, sf):
     """Runs appended to a Parquet run table and scanned back (metrics as rows)."""
     path = os.path.join(ensure_checkpoint_dir(spark), "runs", uuid.uuid4().hex[:12])
@@ -121,9 +128,15 @@ def latest_run(spark, sf):
     return res.withColumn("start_time", F.col("start_time").cast("timestamp_ntz"))
 
 
-@register("params_long", """
-SELECT 'tune-alpha' AS run_id, param, value FROM (VALUES ('start', '0.1'), ('stop', '0.91'), ('step', '0.05'))
-  AS t(param, value) WHERE EXISTS (SELECT 1 FROM customer)""")
+@register("params_long", with_ctes("models") + """,
+r AS (SELECT DISTINCT model, fold FROM models),
+c AS (SELECT 'cv-' || model || '-fold' || CAST(fold AS VARCHAR) AS run_id, model, fold FROM r),
+p AS (SELECT DISTINCT 'cv-' || model AS run_id, model FROM r)
+SELECT run_id, 'model' AS param, model AS value FROM c UNION ALL SELECT run_id, 'fold', CAST(fold AS VARCHAR) FROM c
+UNION ALL SELECT run_id, 'threshold', '0.5' FROM c UNION ALL SELECT run_id, 'model', model FROM p
+UNION ALL SELECT run_id, 'n_folds', '3' FROM p
+UNION ALL SELECT 'tune-alpha', t.param, t.value FROM p, (VALUES ('model', 'alpha'), ('sweep_start', '0.1'),
+  ('sweep_stop', '0.91'), ('sweep_step', '0.05')) AS t(param, value) WHERE p.model = 'alpha'""")
 def params_long(spark, sf):
-    """Parameters with the ``sweep_`` prefix as rows, prefix stripped."""
-    return rl.params_long(build_runs(spark, sf), "sweep_")
+    """Parameters of every run of the log as rows."""
+    return rl.params_long(build_runs(spark, sf), "")

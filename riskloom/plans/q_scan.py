@@ -7,7 +7,6 @@ folder the cluster names), in a fresh sub-folder per call.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import functions as F
@@ -23,7 +22,7 @@ from riskloom.sources import testbed as tb
 
 
 def _fresh_dir(spark, tag: str) -> str:
-    return os.path.join(ensure_checkpoint_dir(spark), "stages", f"{tag}-{uuid.uuid4().hex[:12]}")
+    return f"{ensure_checkpoint_dir(spark)}/stages/{tag}-{uuid.uuid4().hex[:12]}"
 
 
 BUREAU_DOUBLES = ["DAYS_CREDIT_ENDDATE", "DAYS_ENDDATE_FACT", "AMT_CREDIT_MAX_OVERDUE", "AMT_CREDIT_SUM",
@@ -32,11 +31,15 @@ BUREAU_DOUBLES = ["DAYS_CREDIT_ENDDATE", "DAYS_ENDDATE_FACT", "AMT_CREDIT_MAX_OV
 
 @register("scan_csv_roundtrip", lambda: finish_sql(with_ctes("bur") + "SELECT * FROM bur", BUREAU_DOUBLES))
 def scan_csv_roundtrip(spark, sf):
-    """Bureau written as CSV, read back through the registry with its declared
-    schema and missing-marker normalisation."""
+    """Bureau written as CSV with its columns in another order, whole numbers as
+    decimals and missing cells as markers, and read back through the registry."""
     raw_dir = _fresh_dir(spark, "raw")
-    tb.bureau(spark, sf).write.mode("overwrite").option("header", "true").csv(
-        os.path.join(raw_dir, registry.RAW_TABLES["bureau"].file_name))
+    t = tb.bureau(spark, sf)
+    whole = {"CREDIT_DAY_OVERDUE", "CNT_CREDIT_PROLONG"}
+    cells = [F.coalesce((F.col(c).cast("decimal(20,1)") if c in whole else F.col(c)).cast("string"),
+                        F.lit("NaN" if k % 2 else "NA")).alias(c) for k, c in enumerate(sorted(t.columns, reverse=True))]
+    t.select(*cells).write.mode("overwrite").option("header", "true").csv(
+        f"{raw_dir}/{registry.RAW_TABLES['bureau'].file_name}")
     return finish(registry.load_raw_table(spark, raw_dir, "bureau"))
 
 

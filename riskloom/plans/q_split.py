@@ -35,10 +35,8 @@ def stratified_split(spark, sf):
             .groupBy("part", "label").agg(F.count(F.lit(1)).alias("rows")))
 
 
-# The library default is 80,000 rows (the reference's sample size); the
-# registered query samples 1,000 so the quota logic is exercised on the small
-# scale factors, where 80,000 would return every row.
-SAMPLE_ROWS = 1000
+# Fixed value: the reference's sample size (quotas below it are tested in pytest).
+SAMPLE_ROWS = 80_000
 
 
 @register("stratified_sample", lambda: _quota_sql(str(SAMPLE_ROWS)) + """

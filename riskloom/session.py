@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on: ANSI arithmetic (division by zero is handled
 # explicitly by ``functions.nulls.ieee_ratio``), UTC day boundaries for date
@@ -28,11 +28,13 @@ def build_session(
     app_name: str = "riskloom",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    checkpoint_dir: str | None = None,
 ) -> SparkSession:
     """Return a session with the library defaults.
 
     On a cluster ``master`` stays ``None`` (the launcher decides) and
-    ``spark.checkpoint.dir`` comes from the cluster configuration.
+    ``spark.checkpoint.dir`` comes from the cluster configuration;
+    ``checkpoint_dir`` sets it where there is none, as in tests.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -40,6 +42,8 @@ def build_session(
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if checkpoint_dir is not None:
+        conf["spark.checkpoint.dir"] = checkpoint_dir
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -50,22 +54,34 @@ def build_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster names a shared folder there; only when it is unset (local
-    tests) do we create a scratch folder of our own.
+    Where it is unset, a local session uses a folder in its warehouse; on a
+    cluster that is an error, because a guess could be a machine's own disk.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="riskloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set; it has to name a folder that all executors share")
+        current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     spark.sparkContext.setCheckpointDir(current)
-    return current
+    return current.rstrip("/")
 
 
 def stage_path(spark: SparkSession, name: str) -> str:
     """Location for a materialised intermediate table under the checkpoint dir."""
-    return os.path.join(ensure_checkpoint_dir(spark), "stages", name)
+    return f"{ensure_checkpoint_dir(spark)}/stages/{name}"
+
+
+def filesystem(spark: SparkSession, path: str):
+    """(file system, path) handles of a path of any scheme."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = filesystem(spark, path)
+    return fs.exists(p)
 
 
 def code_fingerprint() -> str:
@@ -88,39 +104,33 @@ def code_fingerprint() -> str:
 _CODE_FP: str | None = None
 
 
-def input_fingerprint(paths: list[str]) -> str:
-    """Short hash of (path, size, mtime) of the input files of a stage and of
-    the library source."""
+def input_fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """Short hash of the path, size and time of every data file under ``paths``
+    and of the library source. Spark lists the files (no content is read), so any
+    scheme works and a file changed inside a folder changes the hash."""
     import hashlib
 
-    h = hashlib.sha1(code_fingerprint().encode())
-    for p in sorted(paths):
-        st = os.stat(p) if os.path.exists(p) else None
-        h.update(f"{p}|{st.st_size if st else -1}|{st.st_mtime_ns if st else -1}".encode())
-    return h.hexdigest()[:16]
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sorted(paths))
+             .select(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)").alias("h")))
+    row = files.agg(F.count(F.lit(1)), F.sum("h")).first()
+    return hashlib.sha1(f"{code_fingerprint()}|{sorted(paths)}|{row[0]}|{row[1]}".encode()).hexdigest()[:16]
 
 
-def stage_table(spark, name: str, fingerprint: str, build):
-    """Stage hand-off: reuse ``name`` written for the same inputs, else build,
-    write it (Parquet, under the checkpoint folder) and scan it back.
+def stage_table(spark: SparkSession, name: str, fingerprint: str, build) -> DataFrame:
+    """Stage hand-off: read ``name`` if it was written for these inputs, else
+    build it, write it as Parquet under the checkpoint folder and read it back.
 
-    A ``_SUCCESS`` marker guards against half-written stages; concurrent
-    builders write to separate attempt folders and the last complete one wins.
+    The table is written beside its place and moved there when complete; an
+    attempt that comes second is removed.
     """
     import uuid
 
-    root = os.path.join(stage_path(spark, name), fingerprint)
-    done = os.path.join(root, "current")
-    if "://" not in root and os.path.exists(os.path.join(done, "_SUCCESS")):
-        return spark.read.parquet(done)
-    attempt = os.path.join(root, "attempt-" + uuid.uuid4().hex[:12])
-    build().write.mode("overwrite").parquet(attempt)
-    if "://" in root:
-        return spark.read.parquet(attempt)
-    if not os.path.exists(done):
-        try:
-            os.replace(attempt, done)
-        except OSError:            # another builder finished first
-            pass
-    target = done if os.path.exists(os.path.join(done, "_SUCCESS")) else attempt
-    return spark.read.parquet(target)
+    done = f"{stage_path(spark, name)}/{fingerprint}"
+    if not path_exists(spark, done + "/_SUCCESS"):
+        attempt = f"{stage_path(spark, name)}/attempt-{uuid.uuid4().hex[:12]}"
+        build().write.parquet(attempt)
+        fs, target = filesystem(spark, done)
+        _, source = filesystem(spark, attempt)
+        if fs.exists(target) or not fs.rename(source, target):
+            fs.delete(source, True)
+    return spark.read.parquet(done)

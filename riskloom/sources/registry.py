@@ -1,18 +1,19 @@
 """Named raw tables (key -> path, schema, options), stage scans and sinks.
 
-Schemas are declared, never inferred: a full inference pass over 100 TB of CSV
+Columns are found by the names of a file's header, whatever their order there. Schemas are declared, never inferred: a full inference pass over 100 TB of CSV
 is a second scan, and inferred types drift with the data.
 """
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.session import path_exists
+
 # Text markers that pandas reads as missing by default.
 MISSING_MARKERS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -124,35 +125,59 @@ RAW_TABLES: dict[str, TableSpec] = {
 }
 
 
-def normalise_missing_text(df: DataFrame) -> DataFrame:
-    """Map the usual missing-value markers in string columns to NULL (one select)."""
-    markers = F.array(*[F.lit(m) for m in MISSING_MARKERS])
-    return df.select(*[
-        F.when(~F.array_contains(markers, F.col(f"`{f.name}`")), F.col(f"`{f.name}`")).alias(f.name)
-        if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
-        for f in df.schema.fields
-    ])
+def missing_to_null(c: Column) -> Column:
+    """NULL for the usual missing-value markers, else the text."""
+    return F.when(~F.array_contains(F.array(*[F.lit(m) for m in MISSING_MARKERS]), c), c)
+
+
+def parse_as(c: Column, dtype: T.DataType) -> Column:
+    """Text as ``dtype``; NULL where it can't be read. Whole numbers may be
+    written as decimals ("2.0")."""
+    if isinstance(dtype, T.StringType):
+        return c
+    if isinstance(dtype, (T.IntegerType, T.LongType)):
+        d = c.try_cast("double")
+        whole = F.when((d == F.floor(d)) & (F.abs(d) < 2 ** 53), d)
+        return F.coalesce(c.try_cast("bigint"), whole.cast("bigint")).try_cast(dtype.simpleString())
+    return c.try_cast(dtype.simpleString())
 
 
 def load_raw_table(
-    spark: SparkSession, raw_dir: str, key: str, nrows: int | None = None
+    spark: SparkSession, raw_dir: str, key: str, nrows: int | None = None, check: bool = True
 ) -> DataFrame:
-    """Scan one registered CSV table with its declared schema.
-
-    Unknown keys raise with the list of valid ones; a missing file raises
-    before any job runs. ``nrows`` is a plain ``limit`` (no order promise).
+    """Scan one registered CSV table by the names of its header.
+
+    Every column is read as text under its header's name, missing markers (NaN
+    among them) become NULL in all types, and each registered column is cast by
+    name; the result has the registered columns in their order. Unknown keys raise
+    with the list of valid ones, a missing file or column raises before any job
+    runs. ``check`` counts the values that can't be cast, in one pass, and raises
+    with the counts; without it they are NULL. ``nrows`` is a plain ``limit`` (no
+    order promise).
     """
     if key not in RAW_TABLES:
         raise KeyError(f"unknown table {key!r}; valid keys: {sorted(RAW_TABLES)}")
     spec = RAW_TABLES[key]
-    path = os.path.join(raw_dir, spec.file_name)
-    if "://" not in path and not os.path.exists(path):
+    path = f"{raw_dir.rstrip('/')}/{spec.file_name}"
+    if not path_exists(spark, path):
         raise FileNotFoundError(path)
-    reader = spark.read.schema(spec.schema).option("header", "true").option("mode", "PERMISSIVE")
+    reader = spark.read.option("header", "true").option("inferSchema", "false")
     for k, v in spec.options.items():
         reader = reader.option(k, v)
-    df = normalise_missing_text(reader.csv(path))
-    return df.limit(nrows) if nrows is not None else df
+    raw = reader.csv(path)
+    absent = [f.name for f in spec.schema.fields if f.name not in raw.columns]
+    if absent:
+        raise ValueError(f"{path}: no column {absent}; the header has {raw.columns}")
+    text = raw.select(*[missing_to_null(F.col(f"`{f.name}`")).alias(f.name) for f in spec.schema.fields])
+    if nrows is not None:
+        text = text.limit(nrows)
+    fields = [(f.name, parse_as(F.col(f"`{f.name}`"), f.dataType)) for f in spec.schema.fields]
+    if check:
+        bad = text.agg(*[F.count_if(F.col(f"`{n}`").isNotNull() & c.isNull()).alias(n) for n, c in fields]).first().asDict()
+        bad = {n: k for n, k in bad.items() if k}
+        if bad:
+            raise ValueError(f"{path}: values that are not of the registered type: {bad}")
+    return text.select(*[c.alias(n) for n, c in fields])
 
 
 def load_all_raw_tables(
@@ -163,7 +188,7 @@ def load_all_raw_tables(
 
 def load_stage(spark: SparkSession, path: str) -> DataFrame:
     """Scan a stage table written by ``write_stage``; fails early if absent."""
-    if "://" not in path and not os.path.exists(path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(path)
     return spark.read.parquet(path)
 
@@ -178,8 +203,9 @@ def write_stage(
     merge-join without re-sorting.
     """
     if bucket_key is not None:
-        parts = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(parts, bucket_key).sortWithinPartitions(bucket_key)
+        # without a number, adaptive execution sizes the files by bytes
+        ranged = df.repartitionByRange(n_buckets, bucket_key) if n_buckets else df.repartitionByRange(bucket_key)
+        df = ranged.sortWithinPartitions(bucket_key)
     df.write.mode("overwrite").parquet(path)
 
 

@@ -65,3 +65,20 @@ def test_multi_agg_switches_to_wide(spark, monkeypatch):
     monkeypatch.setattr(aggspec, "WIDE_VOCAB", 1)
     wide = {r["k"]: r.asDict() for r in multi_agg(df, spec).collect()}
     assert narrow == wide
+
+
+def test_one_layout_for_any_number_of_values(spark):
+    from riskloom.operators.aggspec import AggSpec, multi_agg
+
+    for n in (64, 65):
+        df = spark.createDataFrame([(i % 3, f"v{i:03d}", float(i)) for i in range(n)], "k int, c string, x double")
+        vocab = onehot.fit_vocabulary(df)
+        spec = AggSpec(key="k", prefix="P", numeric={"x": ["sum"]}, vocab=vocab, count_name="P_COUNT")
+        cols = multi_agg(df, spec).columns
+        assert cols[:2] == ["k", "P_X_SUM"] and cols[-1] == "P_COUNT" and len(cols) == n + 4
+        assert cols[2:-1] == onehot.share_names(vocab, "P")
+
+
+def test_no_value_limit(spark):
+    df = spark.range(6000).selectExpr("concat('v', id) as c")
+    assert len(onehot.fit_vocabulary(df)["c"]) == 6000

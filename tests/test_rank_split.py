@@ -60,3 +60,46 @@ def test_sample_returns_all_when_small(spark):
     df = _frame(spark, 100)
     assert split.stratified_sample(df, "y", "id", n=1000).count() == 100
     assert split.stratified_sample(df, "y", "id", n=40).count() == 40
+
+
+def test_null_groups_and_many_buckets(spark):
+    from riskloom.operators import evaluate as ev
+    from riskloom.operators import rank
+
+    rows = [(None if i % 3 == 0 else i % 3, i % 7, float(i % 11)) for i in range(300)]
+    df = spark.createDataFrame([(g, i, l % 2, s) for i, (g, l, s) in enumerate(rows)], "g int, id long, label int, score double")
+    assert rank.hash_rank(df, "id", 1, ["g"]).count() == 300
+    one = {r["g"]: r["roc_auc"] for r in ev.roc_auc(df, group_cols=["g"]).collect()}
+    assert set(one) == {None, 1, 2} and all(v is not None for v in one.values())
+    a = {(r["g"], r["score"]): r["below_n"] for r in
+         rank.cumulative_below(df, "score", {"n": rank.F.lit(1)}, ["g"], n_buckets=1).collect()}
+    b = {(r["g"], r["score"]): r["below_n"] for r in
+         rank.cumulative_below(df, "score", {"n": rank.F.lit(1)}, ["g"], n_buckets=5).collect()}
+    assert a == b
+
+
+def test_missing_scores_are_negative_everywhere(spark):
+    from riskloom.operators import evaluate as ev
+
+    df = spark.createDataFrame([(1, None), (0, float("nan")), (1, 0.9), (0, 0.2), (1, 0.7)], "label int, score double")
+    c = ev.confusion_counts(df, 0.5).first()
+    s = ev.threshold_sweep(df, [0.5], with_auc=False).first()
+    assert (c["tn"], c["fp"], c["fn"], c["tp"]) == (s["tn"], s["fp"], s["fn"], s["tp"]) == (2, 0, 1, 2)
+
+
+def test_missing_label_is_refused(spark):
+    import pytest
+
+    from riskloom.operators import split
+
+    df = spark.createDataFrame([(1, 0), (2, 1), (3, None)], "id long, y int")
+    with pytest.raises(ValueError, match="1 rows have no y"):
+        split.stratified_split(df, "y", "id")
+
+
+def test_sample_quotas(spark):
+    from riskloom.operators import split
+
+    df = spark.range(1000).selectExpr("id", "cast(id % 10 = 0 as int) as y")
+    got = {r["y"]: r["count"] for r in split.stratified_sample(df, "y", "id", 100).groupBy("y").count().collect()}
+    assert got == {0: 90, 1: 10}

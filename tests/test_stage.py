@@ -1,4 +1,4 @@
-from riskloom.session import input_fingerprint, stage_table
+from riskloom.session import ensure_checkpoint_dir, input_fingerprint, stage_table
 
 
 def test_stage_reuse_and_fingerprint(spark, tmp_path):
@@ -18,9 +18,18 @@ def test_stage_reuse_and_fingerprint(spark, tmp_path):
     assert len(calls) == 2                                        # new inputs -> rebuilt
 
 
-def test_input_fingerprint_changes(tmp_path):
-    f = tmp_path / "x.parquet"
-    f.write_bytes(b"1")
-    one = input_fingerprint([str(f)])
-    f.write_bytes(b"22")
-    assert input_fingerprint([str(f)]) != one
+def test_input_fingerprint_covers_files_in_folders(spark, tmp_path):
+    folder = tmp_path / "x.parquet"
+    folder.mkdir()
+    (folder / "a").write_bytes(b"1")
+    (folder / "b").write_bytes(b"1")
+    one = input_fingerprint(spark, [str(folder)])
+    assert input_fingerprint(spark, [str(folder)]) == one
+    (folder / "b").write_bytes(b"22")
+    assert input_fingerprint(spark, [f"file://{folder}"]) != one
+    assert input_fingerprint(spark, [str(folder)]) != one
+
+
+def test_checkpoint_dir_given_to_the_builder_or_in_the_warehouse(spark):
+    root = ensure_checkpoint_dir(spark)
+    assert spark.conf.get("spark.checkpoint.dir", None) in (None, root, root + "/")
