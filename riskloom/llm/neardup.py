@@ -178,7 +178,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     more = written(_open_pairs(members, star, parts, min_percent), "near-open")
     rest = verified(more, sets).filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    final = written(components(links.unionByName(rest).unionByName(id_links)), "near-parts")
+    final = written(components(_as_links(parts).unionByName(rest).unionByName(id_links)), "near-parts")
     for df in (centres, members, sets, star, parts, more):
         drop(df)
 
@@ -191,6 +191,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                            F.col("id").eqNullSafe(part).alias("kept"))
 
 
+def _as_links(parts: DataFrame) -> DataFrame:
+    """Found components as links to their roots."""
+    return parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
+
+
 def _open_pairs(members: DataFrame, star: DataFrame, parts: DataFrame, min_percent: int) -> DataFrame:
     """Pairs (a, b) of classes that share a bucket but no component and can still be linked.
 
