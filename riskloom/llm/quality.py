@@ -183,7 +183,10 @@ def fit_arrays(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, y: np.ndarr
     """Full-batch logistic regression by Adam on the rows outside ``held``, then
     Platt's sigmoid on the rows in it. ``cols`` counts through all families."""
     size = FAMILIES << BUCKET_BITS
-    used, cols = np.unique(cols, return_inverse=True)
+    used = np.flatnonzero(np.bincount(cols, minlength=size))
+    place = np.zeros(size, dtype=np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    cols = place[cols]
     fit = ~held
     if y[fit].size == 0 or y[fit].min() == y[fit].max():
         p = float(np.clip(y.mean() if y.size else 1.0, 0.01, 0.99))    # one class only: a constant
@@ -259,11 +262,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                  key=lambda r: (r["id"], r["cols"]))
     if not got:
         return Model(np.zeros((FAMILIES, 1 << BUCKET_BITS), np.float32), 5.0)
-    cols = [np.frombuffer(r["cols"], np.int32) for r in got]
-    row = np.repeat(np.arange(len(got)), [len(c) for c in cols])
-    held = np.arange(len(got)) % CALIBRATION_SHARE == 0
-    return fit_arrays(row, np.concatenate(cols), np.concatenate([np.frombuffer(r["vals"], np.float32) for r in got]),
-                      np.array([r["y"] for r in got]), held)
+    y = np.array([r["y"] for r in got])
+    row = np.repeat(np.arange(len(got), dtype=np.int32), [len(r["cols"]) // 4 for r in got])
+    cols = np.frombuffer(b"".join(r["cols"] for r in got), np.int32)
+    vals = np.frombuffer(b"".join(r["vals"] for r in got), np.float32)
+    del got
+    return fit_arrays(row, cols, vals, y, np.arange(len(y)) % CALIBRATION_SHARE == 0)
 
 
 def apply_rules(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
