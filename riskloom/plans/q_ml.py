@@ -20,7 +20,7 @@ from riskloom.plans.catalog import finish, register
 from riskloom.plans.oracle import finish_sql
 from riskloom.plans.q_corr import prepared_train
 from riskloom.plans.q_prep import final_dataset_parts
-from riskloom.session import input_fingerprint, stage_table
+from riskloom.session import input_fingerprint, stage_path, stage_table
 
 ID, TARGET = "SK_ID_CURR", "TARGET"
 
@@ -133,26 +133,25 @@ def ml_score(spark, sf):
 
 @register("ml_pipeline")
 def ml_pipeline(spark, sf):
-    """Leak-free pipeline: medians fitted on the fit rows, then a Spark ML
-    Pipeline (assembler -> StandardScaler -> logistic regression) fitted on the
-    same rows and applied to the validation rows."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
-    from pyspark.ml.functions import vector_to_array
+    """Leak-free pipeline with the logistic settings (balanced weights, C = 1,
+    population scaling): fitted on the fit rows, saved, loaded again and applied
+    to the validation rows."""
+    import uuid
 
     _, fit, valid = holdout(spark, sf)
-    feats = feature_names(fit)
-    med = ml.fit_medians(fit, feats)
-    feats = [c for c in feats if c in med]
-    prep = lambda d: ml.apply_medians(d.select(ID, "label", *feats), med).withColumn(
-        "label_d", F.col("label").cast("double"))
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="raw", handleInvalid="keep"),
-                            StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-                            LogisticRegression(featuresCol="features", labelCol="label_d", maxIter=200)])
-    model = pipe.fit(prep(fit))
-    pred = model.transform(prep(valid))
-    return pred.select(ID, "label", vector_to_array("probability")[1].alias("score"))
+    path = f"{stage_path(spark, 'models')}/{uuid.uuid4().hex[:12]}"
+    ml.fit_model(fit, feature_names(fit), ml.logistic_spec(), "label", seed=42).save(spark, path)
+    return ml.FittedModel.load(spark, path).score(valid, ID, "label")
+
+
+@register("tune_threshold")
+def tune_threshold(spark, sf):
+    """Threshold curve of the fitted logistic model over its validation rows,
+    lowest cost first."""
+    _, fit, valid = holdout(spark, sf)
+    model = ml.fit_model(fit, feature_names(fit), ml.logistic_spec(), "label", seed=42)
+    sweep = ev.threshold_sweep(model.score(valid, ID, "label"))
+    return finish(sweep.orderBy("business_cost", "threshold"))
 
 
 def folds(spark, sf):
