@@ -9,9 +9,9 @@ concentration of t independent draws.
 
 Equal sets form one class. Classes that share a band of the sketch are candidates.
 In each bucket every class is checked against the bucket's centre on the full
-sets; classes of a bucket that are still in different components are then checked
-against each other unless distances to the centre rule the link out (Jaccard
-distance is a metric). Components of the confirmed links are the result.
+sets; classes of a centre that are still in different components are then checked
+against each other, block by block, unless distances to the centre rule the link
+out (Jaccard distance is a metric). Components of the confirmed links are the result.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ SHINGLE_WORDS = 5
 MIN_PERCENT = 80
 #: 24 bands of 4 coordinates: a pair at similarity 0.8 shares none with probability 3e-6.
 BANDS, ROWS = 24, 4
+#: Sets on either side of a task that compares classes block by block.
+BLOCK = 1000
 #: Ids of candidate documents up to which their list is broadcast, not shuffled.
 BROADCAST_IDS = 1_000_000
 
@@ -176,10 +178,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = star.filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))
     parts = written(components(links), "near-parts")
 
-    more = written(_open_pairs(members, star, parts, min_percent), "near-open")
-    rest = verified(more, sets).filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    rest = open_links(star, parts, sets, min_percent)
     final = written(components(_as_links(parts).unionByName(rest).unionByName(id_links)), "near-parts")
-    for df in (centres, members, sets, star, parts, more):
+    for df in (centres, members, sets, star, parts):
         drop(df)
 
     by_class = classes.select("hi", "lo", "id").join(final.withColumnRenamed("node", "id"), "id", "left").select(
@@ -196,29 +197,68 @@ def _as_links(parts: DataFrame) -> DataFrame:
     return parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
 
 
-def _open_pairs(members: DataFrame, star: DataFrame, parts: DataFrame, min_percent: int) -> DataFrame:
-    """Pairs (a, b) of classes that share a bucket but no component and can still be linked.
+def open_links(star: DataFrame, parts: DataFrame, sets: DataFrame, min_percent: int) -> DataFrame:
+    """Links (u, v) between classes that a centre brought together and that are
+    still in different components.
 
-    ``d`` is a class's exact Jaccard distance to its bucket's centre. A link needs
-    a distance of at most 1 - min_percent / 100, so by the triangle inequality the
-    two ``d`` differ by no more than that, and the smaller set has at least
-    ``min_percent`` of the larger one's size. The centre has been checked against all.
+    ``star`` has the exact similarity of each class to its centre. A link needs a
+    Jaccard distance of at most 1 - min_percent / 100; by the triangle inequality
+    the distances of its two ends to the centre then differ by no more than that,
+    and the smaller set has at least ``min_percent`` of the larger one's size. What
+    is left is compared block against block in numpy: classes outside the centre's
+    component (probes) against all of the centre's classes, with at most some
+    ``BLOCK`` sets on either side of a task. Only links come out as rows.
     """
-    reach = 1.0 - min_percent / 100.0 + 1e-9
-    dist = star.select(F.col("a").alias("centre"), F.col("b").alias("id"),
-                       (1.0 - F.col("inter") / F.col("total")).alias("d"))
     part = parts.withColumnRenamed("node", "id")
-    m = (members.filter("id != centre").join(dist, ["centre", "id"]).join(part, "id", "left")
-         .select("key", "id", "n", "d", F.coalesce("component", "id").alias("part"), "centre"))
-    centre_part = part.select(F.col("id").alias("centre"), F.col("component").alias("main"))
-    m = written(m.join(centre_part, "centre", "left").withColumn("main", F.coalesce("main", "centre")).drop("centre"), "near-bucket")
-    # the centre's component is held together already: a pair needs a class outside of it
-    out = m.filter("part != main").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("d").alias("da"),
-                                          F.col("part").alias("pa"))
-    close = ((F.col("pa") != F.col("part")) & (F.abs(F.col("da") - F.col("d")) <= reach)
-             & (100 * F.least("na", "n") >= min_percent * F.greatest("na", "n")))
-    both = out.join(m.drop("main"), "key").filter(close)
-    return both.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+    near = (star.select(F.col("a").alias("centre"), F.col("b").alias("id"),
+                        (1.0 - F.col("inter") / F.col("total")).alias("d"))
+            .join(part, "id", "left").withColumn("part", F.coalesce("component", "id")).drop("component")
+            .join(parts.select(F.col("node").alias("centre"), F.col("component").alias("main")), "centre", "left")
+            .withColumn("outside", F.col("part") != F.coalesce("main", "centre")).drop("main"))
+    near = written(near, "near-around")
+    # a centre with one class has been compared with it
+    sizes = near.groupBy("centre").agg(F.count(F.lit(1)).alias("c"), F.count_if("outside").alias("o")).filter("o > 0 and c > 1")
+    some = near.join(sizes, "centre").withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int")).withColumn(
+        "probes", F.ceil(F.col("o") / BLOCK).cast("int"))
+    mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cols = ["centre", "id", "d", "part", "outside"]
+    base = some.withColumn("bb", mine("blocks")).select(*cols, "bb", every("probes").alias("pb"), F.lit(False).alias("probe"))
+    probe = some.filter("outside").withColumn("pb", mine("probes")).select(
+        *cols, every("blocks").alias("bb"), "pb", F.lit(True).alias("probe"))
+    rows = base.unionByName(probe.select(*base.columns)).join(sets, "id")
+    id_type = star.schema["a"].dataType.simpleString()
+    reach = 1.0 - min_percent / 100.0 + 1e-9
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids = table.column("id").to_pylist()
+        parts_ = table.column("part").to_pylist()
+        code = {p: k for k, p in enumerate(dict.fromkeys(parts_))}
+        part_ = np.array([code[p] for p in parts_])
+        d, outside = table.column("d").to_numpy(), np.array(table.column("outside").to_pylist())
+        is_probe = np.array(table.column("probe").to_pylist())
+        values = [np.asarray(x, dtype=np.int64) for x in table.column("s").to_numpy()]
+        size = np.array([len(x) for x in values])
+        base_at, found = np.flatnonzero(~is_probe), []
+        if len(base_at):
+            flat = np.concatenate([values[k] for k in base_at])
+            owner = np.repeat(np.arange(len(base_at)), size[base_at])
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            for k in np.flatnonzero(is_probe):
+                can = ((part_[base_at] != part_[k]) & (np.abs(d[base_at] - d[k]) <= reach)
+                       & (100 * np.minimum(size[base_at], size[k]) >= min_percent * np.maximum(size[base_at], size[k])))
+                if not can.any():
+                    continue
+                lo, hi = np.searchsorted(flat, values[k], "left"), np.searchsorted(flat, values[k], "right")
+                inter = np.bincount(owner[tb.ragged(lo, hi - lo)], minlength=len(base_at))
+                hit = can & (100 * inter >= min_percent * (size[base_at] + size[k] - inter))
+                # two classes outside meet twice; one of them reports the link
+                found += [(ids[k], ids[j]) for j in base_at[hit] if not outside[j] or ids[k] < ids[j]]
+        kind = table.schema.field("id").type
+        return pa.table({"u": pa.array([x[0] for x in found], kind), "v": pa.array([x[1] for x in found], kind)})
+
+    return rows.groupBy("centre", "bb", "pb").applyInArrow(compare, f"u {id_type}, v {id_type}")
 
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

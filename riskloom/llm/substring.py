@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import textbatch as tb
 from riskloom.llm.components import components
-from riskloom.llm.neardup import BROADCAST_IDS, _as_links, _open_pairs, band_keys, verified
+from riskloom.llm.neardup import BROADCAST_IDS, _as_links, band_keys, open_links, verified
 from riskloom.llm.store import drop, written
 
 SHINGLE_WORDS = 5
@@ -198,13 +198,12 @@ def _similar_lines(docs: DataFrame, min_words: int, min_percent: int, bands: int
     linked = 100 * F.col("inter") >= F.lit(min_percent) * F.col("total")
     links = star.filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))
     parts = written(components(links), "line-parts")
-    more = written(_open_pairs(members, star, parts, min_percent), "line-open")
-    rest = verified(more, sets).filter(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    rest = open_links(star, parts, sets, min_percent)
     final = components(_as_links(parts).unionByName(rest)).withColumnRenamed("node", "id")
     group = classes.join(final, "id", "left").select("hi", "lo", "m", "c", F.coalesce("component", "id").alias("part"))
     stays = group.groupBy("part").agg(F.min("m").alias("stay"), F.sum("c").alias("total")).filter("total > 1")
     repeated = written(group.join(stays, "part").select("hi", "lo", "stay"), "line-groups")
-    for df in (centres, members, sets, star, parts, more):
+    for df in (centres, members, sets, star, parts):
         drop(df)
     return _others(found, repeated)
 
