@@ -36,6 +36,7 @@ UNIT_WORDS = 30
 WINNOW = 21                        # 50 words: 46 shingles, 26 of a paragraph and 20 before it at most
 ROWS = 3
 RECALL = 0.999
+UNIT, LINE = 0, 1                  # kinds of paragraph
 
 
 def bands_for(similarity: float, rows: int, recall: float) -> int:
@@ -65,6 +66,18 @@ def anchors(h: np.ndarray, doc: np.ndarray, winnow: int) -> np.ndarray:
     return np.flatnonzero(h == most)
 
 
+def _tile_prints(sh: np.ndarray, at: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit fingerprint of the ``words`` words from each shingle index of
+    ``at``, made of the shingles that tile them."""
+    hi = np.full(len(at), tb.MIX_A)
+    lo = np.full(len(at), tb.MIX_B)
+    for j in [*range(0, words - SHINGLE_WORDS, SHINGLE_WORDS), words - SHINGLE_WORDS]:
+        x = sh[at + j]
+        hi = tb.mix(hi ^ x) + x
+        lo = tb.mix(lo + x)
+    return hi.view(np.int64), lo.view(np.int64)
+
+
 def _fingerprints(h: np.ndarray, first: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
     """128-bit fingerprint of ``count`` word hashes from each position of ``first``."""
     hi = np.full(len(first), tb.MIX_A)
@@ -93,68 +106,94 @@ def _line_groups(data, offs, s, doc) -> tuple[np.ndarray, np.ndarray]:
     return first, np.diff(np.append(first, len(s)))
 
 
-def units(docs: DataFrame, unit_words: int, winnow: int) -> DataFrame:
-    """(hi, lo, id, key, first, last): anchored paragraphs; first and last are byte offsets."""
-    id_type = docs.schema["id"].dataType.simpleString()
+def _unit_table(part: pa.RecordBatch, words, unit_words: int, winnow: int) -> pa.RecordBatch:
+    _, offs, s, e, doc, h = words
+    sh, pos = tb.shingle_hashes(h, doc, SHINGLE_WORDS)
+    at = anchors(sh, doc[pos], winnow)
+    span = unit_words - SHINGLE_WORDS                          # shingles of a document follow each other
+    at = at[at + span < len(sh)]
+    at = at[doc[pos[at]] == doc[pos[at + span]]]
+    hi, lo = _tile_prints(sh, at, unit_words)
+    first = pos[at]
+    return _occurrence(part, UNIT, hi, lo, doc[first], s[first] - offs[doc[first]],
+                       e[first + unit_words - 1] - offs[doc[first]])
+
+
+def _occurrence(part, kind, hi, lo, doc, first, last) -> pa.RecordBatch:
+    d = pa.array(doc)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(hi), kind, np.int32)), pa.array(hi), pa.array(lo), part.column(0).take(d),
+         part.column(1).take(d), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))],
+        names=["kind", "hi", "lo", "id", "key", "first", "last"])
+
+
+def _line_table(part: pa.RecordBatch, words, min_words: int):
+    """(occurrences, shingles of all lines, first shingle of each line) of the longer lines."""
+    data, offs, s, e, doc, h = words
+    first, count = _line_groups(data, offs, s, doc)
+    long = count >= max(min_words, SHINGLE_WORDS)
+    first, count = first[long], count[long]
+    line = np.full(len(s), -1)
+    line[tb.ragged(first, count)] = np.repeat(np.arange(len(first)), count)
+    sh, pos = tb.shingle_hashes(h, line, SHINGLE_WORDS)
+    inside = line[pos] >= 0
+    sh, owner = sh[inside], line[pos[inside]]
+    order = np.lexsort((sh, owner))                            # sets: distinct shingles of a line
+    sh, owner = sh[order], owner[order]
+    keep = np.ones(len(sh), dtype=bool)
+    keep[1:] = (sh[1:] != sh[:-1]) | (owner[1:] != owner[:-1])
+    sh, owner = sh[keep], owner[keep]
+    begin = np.searchsorted(owner, np.arange(len(first)))
+    if len(first):
+        hi = np.add.reduceat(tb.mix(sh), begin).view(np.int64)
+        lo = np.add.reduceat(tb.mix(sh ^ tb.MIX_A), begin).view(np.int64)
+    else:
+        hi = lo = np.zeros(0, np.int64)
+    d = doc[first]
+    return _occurrence(part, LINE, hi, lo, d, s[first] - offs[d], e[first + count - 1] - offs[d]), sh, begin
+
+
+_OCCURRENCE = "kind int, hi bigint, lo bigint, id {t}, key bigint, first int, last int"
+
+
+def occurrences(docs: DataFrame, unit_words: int, winnow: int, min_words: int, kinds: tuple = ()) -> DataFrame:
+    """(kind, hi, lo, id, key, first, last): anchored paragraphs and lines of
+    ``docs`` (id, key, text) by fingerprint; first and last are byte offsets."""
+    kinds = kinds or (UNIT, LINE)
 
     def run(batches):
         for batch in batches:
             for part in tb.slices(batch, "text"):
-                _, offs, s, e, doc, h = _words(part.column(2))
-                sh, pos = tb.shingle_hashes(h, doc, SHINGLE_WORDS)
-                at = pos[anchors(sh, doc[pos], winnow)]
-                at = at[at + unit_words <= len(s)]
-                at = at[doc[at] == doc[at + unit_words - 1]]
-                hi, lo = _fingerprints(h, at, unit_words)
-                d = pa.array(doc[at])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hi), pa.array(lo), part.column(0).take(d), part.column(1).take(d),
-                     pa.array((s[at] - offs[doc[at]]).astype(np.int32)),
-                     pa.array((e[at + unit_words - 1] - offs[doc[at]]).astype(np.int32))],
-                    names=["hi", "lo", "id", "key", "first", "last"])
+                words = _words(part.column(2))
+                if UNIT in kinds:
+                    yield _unit_table(part, words, unit_words, winnow)
+                if LINE in kinds:
+                    yield _line_table(part, words, min_words)[0]
 
-    return docs.mapInArrow(run, f"hi bigint, lo bigint, id {id_type}, key bigint, first int, last int")
+    return docs.mapInArrow(run, _OCCURRENCE.format(t=docs.schema["id"].dataType.simpleString()))
 
 
 def lines(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
-    """(hi, lo, id, key, first, last, n, keys): lines with their MinHash band keys."""
-    id_type = docs.schema["id"].dataType.simpleString()
+    """Lines as ``occurrences`` gives them, with set size ``n`` and MinHash band ``keys``.
+
+    The shingles are hashes already; a hash function of the signature is a xor
+    with a seed of its own and a multiplication.
+    """
     seeds = tb.mix(np.arange(1, bands * rows + 1, dtype=np.uint64))
 
     def run(batches):
         for batch in batches:
             for part in tb.slices(batch, "text"):
-                data, offs, s, e, doc, h = _words(part.column(2))
-                first, count = _line_groups(data, offs, s, doc)
-                long = count >= max(min_words, SHINGLE_WORDS)
-                first, count = first[long], count[long]
-                if len(first) == 0:
+                table, sh, begin = _line_table(part, _words(part.column(2)), min_words)
+                if table.num_rows == 0:
                     continue
-                line = np.full(len(s), -1)
-                line[tb.ragged(first, count)] = np.repeat(np.arange(len(first)), count)
-                sh, pos = tb.shingle_hashes(h, line, SHINGLE_WORDS)
-                inside = line[pos] >= 0
-                sh, owner = sh[inside], line[pos[inside]]
-                order = np.lexsort((sh, owner))                # sets: distinct shingles of a line
-                sh, owner = sh[order], owner[order]
-                keep = np.ones(len(sh), dtype=bool)
-                keep[1:] = (sh[1:] != sh[:-1]) | (owner[1:] != owner[:-1])
-                sh, owner = sh[keep], owner[keep]
-                begin = np.searchsorted(owner, np.arange(len(first)))
-                sig = np.stack([np.minimum.reduceat(tb.mix(sh ^ seed), begin) for seed in seeds], axis=1)
+                sig = np.stack([np.minimum.reduceat((sh ^ seed) * tb.MIX_A, begin) for seed in seeds], axis=1)
                 keys = [band_keys(x, bands, rows).view(np.int64) for x in sig]
-                d = doc[first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.add.reduceat(tb.mix(sh), begin).view(np.int64)),
-                     pa.array(np.add.reduceat(tb.mix(sh ^ tb.MIX_A), begin).view(np.int64)),
-                     part.column(0).take(pa.array(d)), part.column(1).take(pa.array(d)),
-                     pa.array((s[first] - offs[d]).astype(np.int32)),
-                     pa.array((e[first + count - 1] - offs[d]).astype(np.int32)),
-                     pa.array(np.diff(np.append(begin, len(sh)))), pa.array(keys, pa.list_(pa.int64()))],
-                    names=["hi", "lo", "id", "key", "first", "last", "n", "keys"])
+                    [*table.columns, pa.array(np.diff(np.append(begin, len(sh)))), pa.array(keys, pa.list_(pa.int64()))],
+                    names=[*table.schema.names, "n", "keys"])
 
-    return docs.mapInArrow(run, f"hi bigint, lo bigint, id {id_type}, key bigint, first int, last int, n bigint, "
-                                "keys array<bigint>")
+    return docs.mapInArrow(run, _OCCURRENCE.format(t=docs.schema["id"].dataType.simpleString()) + ", n bigint, keys array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -180,7 +219,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _similar_lines(docs: DataFrame, min_words: int, min_percent: int, bands: int, rows: int) -> DataFrame:
-    """(id, key, first, last, kept_id) of every line but the first of its group."""
+    """(kind, hi, lo, stay) of the lines that have a similar one; ``stay`` is the group's first."""
     found = lines(docs, min_words, bands, rows)
     mark = written(found.groupBy("hi", "lo").agg(F.min(F.struct("id", "key", "first", "last")).alias("m"),
                                                  F.count(F.lit(1)).alias("c"), F.min("n").alias("n"), F.min("keys").alias("keys")),
@@ -202,17 +241,18 @@ def _similar_lines(docs: DataFrame, min_words: int, min_percent: int, bands: int
     final = components(_as_links(parts).unionByName(rest)).withColumnRenamed("node", "id")
     group = classes.join(final, "id", "left").select("hi", "lo", "m", "c", F.coalesce("component", "id").alias("part"))
     stays = group.groupBy("part").agg(F.min("m").alias("stay"), F.sum("c").alias("total")).filter("total > 1")
-    repeated = written(group.join(stays, "part").select("hi", "lo", "stay"), "line-groups")
+    repeated = written(group.join(stays, "part").select(
+        F.lit(LINE).alias("kind"), "hi", "lo", F.struct("stay.id", "stay.key", "stay.first").alias("stay")), "line-groups")
     for df in (centres, members, sets, star, parts):
         drop(df)
-    return _others(found, repeated)
+    return repeated
 
 
 def _others(found: DataFrame, groups: DataFrame) -> DataFrame:
     """Occurrences in ``found`` that are not the one that stays of their group
-    (hi, lo, stay): (id, key, first, last, kept_id)."""
+    (kind, hi, lo, stay): (id, key, first, last, kept_id)."""
     few = groups.count() <= BROADCAST_IDS
-    occ = found.select("hi", "lo", "id", "key", "first", "last").join(F.broadcast(groups) if few else groups, ["hi", "lo"])
+    occ = found.join(F.broadcast(groups) if few else groups, ["kind", "hi", "lo"])
     return occ.filter((F.col("key") != F.col("stay.key")) | (F.col("first") != F.col("stay.first"))).select(
         "id", "key", "first", "last", F.col("stay.id").alias("kept_id"))
 
@@ -231,13 +271,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     not read. ``text_key`` identifies the row: xxhash64 of id and text.
     """
     src = _keyed(docs, id_col, text_col)
-    plain = units(src, unit_words, winnow)
+    plain = occurrences(src, unit_words, winnow, min_line_words, (UNIT,))
     first = plain.groupBy("hi", "lo").agg(F.min(F.struct("id", "key", "first")).alias("stay"),
                                           F.count(F.lit(1)).alias("c"))
-    groups = written(first.filter("c > 1").select("hi", "lo", "stay"), "unit-groups")
-    inside = _others(plain, groups)
+    groups = written(first.filter("c > 1").select(F.lit(UNIT).alias("kind"), "hi", "lo", "stay"), "unit-groups")
     near = _similar_lines(src, min_line_words, min_percent, bands_for(min_percent / 100, rows, recall), rows)
-    spans = inside.unionByName(near).distinct().groupBy("id", "key").agg(
+    # one more pass over the texts finds the occurrences of both kinds
+    again = _others(occurrences(src, unit_words, winnow, min_line_words), groups.unionByName(near))
+    spans = again.groupBy("id", "key").agg(
         F.sort_array(F.collect_set(F.struct("first", "last", "kept_id"))).alias("spans"))
     id_type = docs.schema[id_col].dataType
 
