@@ -38,9 +38,9 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Texts of more bytes are encoded as leaves of this size.
 LEAF_BYTES = 16 << 10
 #: Distinct chunks a Python worker remembers before it starts afresh.
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 250_000
 #: Text bytes encoded at once.
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 2 << 20
 #: A chunk of more bytes is encoded as a tree of halves.
 LONG_CHUNK = 4096
 #: Tokens on either side of a join in the first window.
