@@ -78,17 +78,6 @@ def _tile_prints(sh: np.ndarray, at: np.ndarray, words: int) -> tuple[np.ndarray
     return hi.view(np.int64), lo.view(np.int64)
 
 
-def _fingerprints(h: np.ndarray, first: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """128-bit fingerprint of ``count`` word hashes from each position of ``first``."""
-    hi = np.full(len(first), tb.MIX_A)
-    lo = np.full(len(first), tb.MIX_B)
-    for j in range(count):
-        x = h[first + j]
-        hi = tb.mix(hi ^ x) + x
-        lo = tb.mix(lo + x)
-    return hi.view(np.int64), lo.view(np.int64)
-
-
 def _words(column: pa.Array):
     data, offs = tb.text_bytes(column)
     s, e, doc = tb.word_spans(tb.LOWER[data], offs)
