@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import langid, neardup, packing, quality, substring
 from riskloom.llm.queries import byte_bpe_path, table
-from riskloom.llm.store import written
+from riskloom.llm.store import bounded_batches, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language the network knows; null texts, texts without a
     letter and texts of no clear language go."""
+    bounded_batches(spark)
     return langid.filter_documents(docs, langid.train(docs))
 
 

@@ -32,7 +32,7 @@ RATE = 0.01
 #: Least mean probability of a text that a filter keeps.
 MIN_SCORE = 0.4
 #: Windows classified at once in a task.
-WINDOWS_AT_ONCE = 1024
+WINDOWS_AT_ONCE = 256
 UNDETERMINED = "und"
 
 _LETTER = regex.compile(r"\p{L}")

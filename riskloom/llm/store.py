@@ -14,6 +14,18 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+#: Bytes of one Arrow batch between Spark and Python: texts are long, and the
+#: default bounds rows only.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, unless the session has a bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 
 #: Text bytes handled at once by the numpy code of a task.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: ASCII white space of the word rule ``[^\x20\x09-\x0D]+``.
 IS_SPACE = np.zeros(256, dtype=bool)
