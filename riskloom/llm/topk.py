@@ -1,13 +1,14 @@
 """Exact k nearest binary codes by incremental multi-index hashing (operator 1).
 
-A code is cut into segments of about log2(n) bits, and an index holds every
-distinct code once per segment. Radius by radius, each unfinished query looks up
-the segment values at exactly that distance from its own and verifies the full
-Hamming distance of what it finds. After radius r in the first a segments and
-r - 1 in the others, a code not met yet is at distance m*(r-1) + a + 1 or more
-(two codes closer than that would have met), so a query is done once its k-th
-verified distance is no larger. Everything is joins and aggregates; probes are
-generated for unfinished queries and needed segments only.
+Distinct codes are dealt into blocks, and so are the queries; a task answers a
+block of queries on a block of codes, and the best of all blocks are merged. In a
+block, a code is cut into segments of about log2(n) bits, each with a table of
+the codes by value. Radius by radius, a query looks up the segment values at
+exactly that distance from its own and verifies the full Hamming distance of what
+it finds. After radius r in the first a segments and r - 1 in the others, a code
+not met yet is at distance m*r + a or more, so the query is done once its k-th
+verified distance is smaller. Only codes that can be among the k nearest of their
+block come out as rows.
 """
 
 from __future__ import annotations
@@ -16,13 +17,18 @@ import itertools
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.store import drop, written
+from riskloom.llm.store import written
+from riskloom.llm.textbatch import ragged
 
 K = 10
 MIN_SEGMENT, MAX_SEGMENT = 8, 16
+WORD = 63                          # bits of a code in one long
+#: Distinct codes and distinct queries that one task holds, on average.
+CODES_PER_TASK, QUERIES_PER_TASK = 16_384, 4_096
 #: Rows with one code are spread over so many partial aggregates.
 SALTS = 32
 
@@ -39,27 +45,68 @@ def sign_code(vector: Column, bits: int) -> Column:
     return F.array(*words)
 
 
-def _distance(a: str, b: str, bits: int) -> Column:
-    d = F.lit(0)
-    for w in range(-(-bits // 63)):
-        d = d + F.bit_count(F.col(a)[w].bitwiseXOR(F.col(b)[w]))
-    return d
-
-
-def _segment(code: Column, start: int, width: int) -> Column:
-    """Bits ``start .. start + width`` of a code; a segment may span two words."""
-    w, off = divmod(start, 63)
-    value = F.shiftrightunsigned(code[w], off)
-    if off + width > 63:
-        value = value.bitwiseOR(F.shiftleft(code[w + 1], 63 - off))
-    return value.bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
-
-
 def _flips(width: int, radius: int) -> np.ndarray:
     """All masks of ``width`` bits with ``radius`` of them set."""
     return np.array([sum(1 << b for b in c) for c in itertools.combinations(range(width), radius)] or [0], dtype=np.int64)
 
 
+def _segment(words: np.ndarray, start: int, width: int) -> np.ndarray:
+    """Bits ``start .. start + width`` of codes of 63-bit words; a segment may span two."""
+    w, off = divmod(start, WORD)
+    value = words[:, w] >> off
+    if off + width > WORD:
+        value = value | (words[:, w + 1] << (WORD - off))
+    return value & ((1 << width) - 1)
+
+
+class Index:
+    """Multi-index of a block of distinct codes."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, bits: int):
+        self.words, self.counts, self.bits = words, counts, bits
+        width = min(MAX_SEGMENT, max(MIN_SEGMENT, round(math.log2(max(2, len(words))))), bits)
+        self.m = -(-bits // width)
+        self.spans = [(s * bits // self.m, (s + 1) * bits // self.m) for s in range(self.m)]
+        self.tables = []
+        for a, b in self.spans:
+            value = _segment(words, a, b - a)
+            order = np.argsort(value, kind="stable")
+            self.tables.append((order, np.searchsorted(value[order], np.arange((1 << (b - a)) + 1))))
+        self.flips = {b - a: {} for a, b in self.spans}
+
+    def near(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(codes, distances) of all codes no farther than the ``k``-th nearest row."""
+        dist = np.full(len(self.words), -1, dtype=np.int64)
+        rows = np.zeros(self.bits + 1)
+        own = [int(_segment(query[None, :], a, b - a)[0]) for a, b in self.spans]
+        kth = self.bits + 1                                    # distance of the k-th row found so far
+        for radius in range(max(b - a for a, b in self.spans) + 1):
+            for s, (a, b) in enumerate(self.spans):
+                # a code first met here and now differs by radius + 1 or more in the segments before
+                # this one and by radius or more in the others
+                if kth < self.m * radius + s:
+                    break
+                if radius > b - a:
+                    continue
+                known = self.flips[b - a]
+                if radius not in known:
+                    known[radius] = _flips(b - a, radius)
+                order, at = self.tables[s]
+                value = own[s] ^ known[radius]
+                met = order[ragged(at[value], at[value + 1] - at[value])]
+                met = met[dist[met] < 0]
+                if len(met):
+                    d = np.bitwise_count(self.words[met] ^ query).sum(axis=1).astype(np.int64)
+                    dist[met] = d
+                    rows += np.bincount(d, weights=self.counts[met], minlength=self.bits + 1)
+                    full = np.flatnonzero(np.cumsum(rows) >= k)
+                    kth = int(full[0]) if len(full) else self.bits + 1
+            if kth < self.m * (radius + 1):
+                break
+        hit = np.flatnonzero((dist >= 0) & (dist <= kth))
+        return hit, dist[hit]
+
+
 def search(vectors: DataFrame, queries: DataFrame, bits: int, k: int = K, id_col: str = "vec_id",
            vector_col: str = "embedding") -> DataFrame:
     """The ``k`` rows of ``vectors`` nearest to each row of ``queries`` in Hamming
@@ -83,51 +130,32 @@ def search(vectors: DataFrame, queries: DataFrame, bits: int, k: int = K, id_col
     w_code = Window.partitionBy("code").orderBy(F.asc_nulls_last("id"))
     members = written(first.withColumn("n", F.row_number().over(w_code)).filter(F.col("n") <= k).select("code", "id"), "mih-codes")
     codes = members.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
-    n_codes = codes.count()
     asked = written(coded(queries).distinct(), "mih-queries")
-    width = min(MAX_SEGMENT, max(MIN_SEGMENT, round(math.log2(max(2, n_codes)))), bits)
-    m = -(-bits // width)
-    spans = [(s * bits // m, (s + 1) * bits // m) for s in range(m)]
-    index = written(codes.select("code", "n", F.posexplode(F.array(*[_segment(F.col("code"), a, b - a) for a, b in spans]))
-                                 .alias("segment", "value")).repartition("segment", "value"), "mih-index")
-
-    # open: distinct query codes with the distance of their k-th row so far
-    open_ = written(asked.select(F.col("code").alias("q")).distinct().withColumn("kth", F.lit(bits)), "mih-open")
-    found, stages = None, []
-    for radius in range(max(b - a for a, b in spans) + 1):
-        probes = None
-        for s, (a, b) in enumerate(spans):
-            if radius > b - a:
-                continue
-            # a code first met in segment s at this radius is at distance m*radius + s or more
-            p = (open_.filter(F.col("kth") >= m * radius + s)
-                 .select("q", F.lit(s).alias("segment"), _segment(F.col("q"), a, b - a).alias("own"))
-                 .select("q", "segment", F.explode(F.lit(_flips(b - a, radius))).alias("flip"), "own")
-                 .select("q", "segment", F.col("own").bitwiseXOR(F.col("flip")).alias("value")))
-            probes = p if probes is None else probes.unionByName(p)
-        if probes is None:
-            break
-        hits = (probes.join(index, ["segment", "value"]).withColumn("distance", _distance("q", "code", bits))
-                .select("q", "code", "n", "distance").distinct())
-        best = hits if found is None else hits.unionByName(found).distinct()
-        # rows nearer than a code decide whether it can still be among the k nearest
-        by = Window.partitionBy("q").orderBy("distance").rangeBetween(Window.unboundedPreceding, -1)
-        best = best.withColumn("nearer", F.coalesce(F.sum("n").over(by), F.lit(0))).filter(F.col("nearer") < k).drop("nearer")
-        best = written(best, "mih-found")
-        upto = Window.partitionBy("q").orderBy("distance").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        kth = (best.withColumn("rows", F.sum("n").over(upto)).filter(F.col("rows") >= k)
-               .groupBy("q").agg(F.min("distance").alias("kth")))
-        covered = m * (radius + 1)                             # codes not met are this far away or farther
-        still = written(open_.drop("kth").join(kth, "q", "left").withColumn("kth", F.coalesce("kth", F.lit(bits)))
-                        .filter(F.col("kth") >= covered), "mih-open")
-        stages += [x for x in (found, open_) if x is not None]
-        found, open_ = best, still
-        if open_.isEmpty():
-            break
-    for df in [*stages, open_, index]:
-        drop(df)
-    top = (found.join(members, "code").select("q", "code", "distance", "id"))
+    wanted = asked.select(F.col("code").alias("q")).distinct()
+    parts = max(1, -(-codes.count() // CODES_PER_TASK))
+    blocks = max(1, -(-wanted.count() // QUERIES_PER_TASK))
+    mine = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = codes.select("code", "n", mine("code", parts).alias("p"), every(blocks).alias("b"))
+    right = wanted.select("q", mine("q", blocks).alias("b"), every(parts).alias("p"))
+
+    def answer(some: pa.Table, ask: pa.Table) -> pa.Table:
+        out_q, out_c, out_d = [], [], []
+        if some.num_rows and ask.num_rows:
+            words = np.array(some.column("code").to_pylist(), dtype=np.int64)
+            q_words = np.array(ask.column("q").to_pylist(), dtype=np.int64)
+            index = Index(words, some.column("n").to_numpy(), bits)
+            for q in q_words:
+                hit, d = index.near(q, k)
+                out_q += [q] * len(hit)
+                out_c += list(words[hit])
+                out_d += d.tolist()
+        kind = pa.list_(pa.int64())
+        return pa.table({"q": pa.array(out_q, kind), "code": pa.array(out_c, kind), "distance": pa.array(out_d, pa.int32())})
+
+    found = left.groupBy("p", "b").cogroup(right.groupBy("p", "b")).applyInArrow(
+        answer, "q array<bigint>, code array<bigint>, distance int")
     order = Window.partitionBy("q").orderBy("distance", F.asc_nulls_last("id"))
-    top = top.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return (asked.select(F.col("id").alias("query_id"), F.col("code").alias("q"))
-            .join(top.select("q", F.col("id").alias("neighbour_id"), F.col("distance").cast("int"), "rank"), "q").drop("q"))
+    top = (found.join(members, "code").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+           .select("q", F.col("id").alias("neighbour_id"), "distance", "rank"))
+    return asked.select(F.col("id").alias("query_id"), F.col("code").alias("q")).join(top, "q").drop("q")
