@@ -27,7 +27,7 @@ def test_stages_keep_columns_and_pack_what_is_left(spark):
 
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     clash = docs.limit(0).selectExpr("*", "1 as n", "'k' as key", "2 as id").schema
-    odd = spark.createDataFrame([(-1, None, "en", "s", 0, 1, "k", 2), (-2, "", None, None, None, None, None, None),
+    odd = spark.createDataFrame([(-1, None, "en", "s", 0, 1, "k", 2), (-2, "", None, None, None, 1, "k", 2),
                                  (-3, "12 34", "en", "s", 5, 1, "k", 2)], clash)
     docs = docs.selectExpr("*", "1 as n", "'k' as key", "2 as id").unionByName(odd)
     sizes = []
