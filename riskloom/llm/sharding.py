@@ -4,9 +4,10 @@ Equal texts form an atomic group. Groups are ordered by the SHA-256 of their
 text; the shards are contiguous runs of that order. The smallest feasible shard
 capacity is found by binary search, a capacity being checked greedily, and the
 order is cut there. Only sums of a bounded number of key ranges reach the
-driver; then, to place the cuts exactly, the group sizes of the few ranges a cut
-can fall into. A row finds its shard by comparing its key with the cuts, so
-nothing is joined and a group of any size is handled by its rows' own tasks.
+driver; then, for every capacity tried, the groups of the one range each cut
+falls into, ``MAX_FETCHED`` groups in all at most. A row finds its shard by
+comparing its key with the cuts, so nothing is joined and a group of any size is
+handled by its rows' own tasks.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ LAW = "bytes"
 #: Groups in a key range, on average, at most; and the longest range prefix.
 GROUPS_PER_RANGE = 2048
 MAX_PREFIX = 5                     # hex digits: at most 16^5 range sums on the driver
+#: Groups fetched to place the cuts, at most; more is an error.
+MAX_FETCHED = 1_000_000
 #: Rows that one task numbers, on average.
 ROWS_PER_SLOT_BLOCK = 100_000
 
@@ -96,36 +99,57 @@ def _cut_keys(groups: DataFrame, n_shards: int) -> list[str]:
         return []
     digits = next(d for d in range(MAX_PREFIX + 1) if d == MAX_PREFIX or 16 ** d * GROUPS_PER_RANGE >= n)
     ranged = groups.withColumn("range", F.substring("key", 1, digits) if digits else F.lit(""))
-    sums = sorted((r["range"], r["size"], r["most"]) for r in ranged.groupBy("range").agg(
-        F.sum("size").alias("size"), F.max("size").alias("most")).collect())
+    sums = sorted((r["range"], r["size"], r["most"], r["n"]) for r in ranged.groupBy("range").agg(
+        F.sum("size").alias("size"), F.max("size").alias("most"), F.count(F.lit(1)).alias("n")).collect())
     names = [s[0] for s in sums]
     bounds = np.concatenate([[0], np.cumsum([s[1] for s in sums], dtype=np.int64)])
     total = int(bounds[-1])
     low = max(-(-total // n_shards), max(s[2] for s in sums))
     # ranges taken as groups: their least capacity is feasible for the groups too
     high = smallest_capacity(bounds, max(low, int(np.diff(bounds).max())), total, n_shards)
-    # cut i lies, for any capacity between the two, between the greedy cut of the
-    # lower one with whole ranges (never too far) and i times the higher one
-    wanted, at = set(), 0
-    for i in range(1, n_shards):
-        first = int(np.searchsorted(bounds, at + low, side="right")) - 1
-        last = int(np.searchsorted(bounds, min(i * high, total), side="right")) - 1
-        wanted.update(range(first, min(last, len(names) - 1) + 1))
-        at = int(bounds[min(first, len(bounds) - 1)])
-    w = Window.partitionBy("range").orderBy("key")
-    chosen = sorted(wanted)
-    inside = ranged.filter(F.col("range").isin([names[i] for i in chosen])).withColumn("upto", F.sum("size").over(w))
-    base = {names[i]: int(bounds[i]) for i in chosen}
-    got = sorted((base[r["range"]] + r["upto"], r["key"]) for r in inside.select("range", "key", "upto").collect())
-    prefix = np.unique(np.concatenate([bounds, np.array([g[0] for g in got], dtype=np.int64)]))
-    ends = cuts_for(prefix, smallest_capacity(prefix, low, high, n_shards), n_shards)
-    key_at = {g[0]: g[1] for g in got}
-    keys = []
-    for end in ends[:-1]:
-        if end == total:
-            break
-        if int(end) in key_at:
-            keys.append(key_at[int(end)])
-        else:                                                  # the end of a whole range: past all keys in it
-            keys.append(names[int(np.searchsorted(bounds, end)) - 1] + "g")
-    return keys
+    inside: dict[int, tuple[np.ndarray, np.ndarray]] = {}      # ends and keys of the groups of a range
+
+    def fetch(first: int, guesses: list[int]) -> None:
+        held = sum(sums[i][3] for i in inside) + sums[first][3]
+        if held > MAX_FETCHED:
+            raise ValueError(f"the cuts need the sizes of {held} groups on the driver, more than {MAX_FETCHED}")
+        new = [first]
+        for i in guesses:                                      # later cuts' ranges, as far as there is room
+            if i < len(names) and i not in inside and i not in new and held + sums[i][3] <= MAX_FETCHED // 2:
+                new.append(i)
+                held += sums[i][3]
+        got: dict[str, list] = {names[i]: [] for i in new}
+        for r in ranged.filter(F.col("range").isin(list(got))).select("range", "key", "size").collect():
+            got[r["range"]].append((r["key"], r["size"]))
+        for i in new:
+            rows = sorted(got[names[i]])
+            inside[i] = (bounds[i] + np.cumsum([x[1] for x in rows], dtype=np.int64), np.array([x[0] for x in rows], "S64"))
+
+    def greedy(capacity: int) -> list[tuple[int, str]] | None:
+        """(end, key) of the greedy shards, or None if ``n_shards`` don't suffice."""
+        at, ends = 0, []
+        for left in range(n_shards, 0, -1):
+            if total - at > left * capacity:
+                return None
+            ahead = [int(np.searchsorted(bounds, at + capacity * j, side="right")) - 1 for j in range(1, left + 1)]
+            i = ahead[0]
+            if i == len(names):
+                return ends
+            end, key = int(bounds[i]), names[i - 1] + "g"      # the end of a whole range: past all keys in it
+            if end < at + capacity:
+                if i not in inside:
+                    fetch(i, ahead[1:])
+                k = int(np.searchsorted(inside[i][0], at + capacity, side="right")) - 1
+                if k >= 0:
+                    end, key = int(inside[i][0][k]), inside[i][1][k].decode()
+            at = end
+            ends.append((end, key))
+        return None
+
+    while low < high:
+        mid = (low + high) // 2
+        if greedy(mid) is None:
+            low = mid + 1
+        else:
+            high = mid
+    return [key for _, key in greedy(low)]

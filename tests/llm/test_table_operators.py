@@ -105,6 +105,33 @@ def test_sharding_is_minimax(spark, monkeypatch, per_range):
     assert {r["shard"] for r in sharding.shard_documents(df.filter("text = 'a'")).collect()} == {0}
 
 
+def test_sharding_fetches_few_groups(spark, monkeypatch):
+    """A text with a third of the bytes, early in the order, leaves all cuts behind it open."""
+    monkeypatch.setattr(sharding, "GROUPS_PER_RANGE", 4)
+    rnd = random.Random(9)
+    sizes = {hashlib.sha256(str(i).encode()).hexdigest(): rnd.randrange(90, 110) for i in range(4000)}
+    sizes["1" + "0" * 63] = 200_000
+    groups = spark.createDataFrame(list(sizes.items()), "key string, size bigint")
+    frame, fetched = type(groups), []
+    collect = frame.collect
+
+    def counted(self):
+        rows = collect(self)
+        fetched.extend(r["key"] for r in rows if "key" in r)
+        return rows
+
+    monkeypatch.setattr(frame, "collect", counted)
+    cuts = sharding._cut_keys(groups, 8)
+    assert 0 < len(fetched) < 1000
+    total = Counter()
+    for key, size in sizes.items():
+        total[sum(key > c for c in cuts)] += size
+    assert max(total.values()) == _least_capacity([sizes[k] for k in sorted(sizes)], 8)
+    monkeypatch.setattr(sharding, "MAX_FETCHED", 1)
+    with pytest.raises(ValueError):
+        sharding._cut_keys(groups, 8)
+
+
 def test_warc_round_trip(spark):
     rnd = random.Random(4)
     big = "".join(rnd.choice("abc \r\né<>") for _ in range(5000))
