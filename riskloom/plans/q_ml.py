@@ -169,30 +169,40 @@ def cv_evaluate(spark, sf):
 # As many trials as the reference searches, each a full 3-fold CV and
 # 17-threshold sweep.
 N_TRIALS = 15
+CV_METRICS = ["accuracy", "precision", "recall", "f1_score", "roc_auc", "business_cost", "business_cost_per_client",
+              "fn", "fp", "tp", "tn"]
 
 
-@register("hp_trials")
-def hp_trials(spark, sf):
-    """Seeded boosting search: each trial = 3-fold CV + 17-threshold sweep;
-    value = lowest mean cost over thresholds."""
-    df = folds(spark, sf).cache()
+def _trials(df) -> list[dict]:
+    """Parameters, lowest mean cost over thresholds and its threshold of every trial on ``df`` (with folds)."""
     feats = feature_names(df)
     medians = ml.fold_medians(df, feats)            # same folds in every trial
 
     def trial(p):
         t0 = time.time()
-        spec = ml.gbt_spec(p["max_iter"], p["step"], p["depth"], p["min_rows"], p["subsample"], p["colsample"],
-                           p["weight_multiplier"])
-        scored = ml.cross_validate(df, feats, spec, ID, medians_by_fold=medians)
+        scored = ml.cross_validate(df, feats, _trial_spec(p), ID, medians_by_fold=medians)
         best = ev.best_threshold(ev.threshold_curve(ev.threshold_sweep(scored, group_cols=["fold"]))).collect()[0]
-        return (p["trial"], float(best["mean_business_cost"]), float(best["threshold"]),
-                float(best["mean_roc_auc"] or 0.0), time.time() - t0, p["weight_multiplier"], p["max_iter"],
-                p["step"], p["depth"], p["min_rows"], p["subsample"], p["colsample"])
+        return p | {"value": float(best["mean_business_cost"]), "best_threshold": float(best["threshold"]),
+                    "mean_roc_auc": float(best["mean_roc_auc"] or 0.0), "duration_sec": time.time() - t0}
 
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=2) as pool:      # trials are independent Spark jobs
-        rows = list(pool.map(trial, ml.sample_trial_params(N_TRIALS, seed=42)))
+        return list(pool.map(trial, ml.sample_trial_params(N_TRIALS, seed=42)))
+
+
+def _trial_spec(p: dict) -> ml.ModelSpec:
+    return ml.gbt_spec(p["max_iter"], p["step"], p["depth"], p["min_rows"], p["subsample"], p["colsample"],
+                       p["weight_multiplier"])
+
+
+@register("hp_trials")
+def hp_trials(spark, sf):
+    """Seeded boosting search: each trial = 3-fold CV + 17-threshold sweep;
+    value = lowest mean cost over thresholds."""
+    df = folds(spark, sf).cache()
+    rows = [(t["trial"], t["value"], t["best_threshold"], t["mean_roc_auc"], t["duration_sec"], t["weight_multiplier"],
+             t["max_iter"], t["step"], t["depth"], t["min_rows"], t["subsample"], t["colsample"]) for t in _trials(df)]
     df.unpersist()
     schema = T.StructType([T.StructField(n, t) for n, t in [
         ("number", T.IntegerType()), ("value", T.DoubleType()), ("best_threshold", T.DoubleType()),
@@ -204,6 +214,46 @@ def hp_trials(spark, sf):
     return spark.createDataFrame(rows, schema)
 
 
+@register("refit_best")
+def refit_best(spark, sf):
+    """The best trial of the search (lowest value, then lowest number): validated
+    again on the folds, fitted on all rows, saved, loaded and applied to all rows.
+    Every row carries the trial and the lowest-cost threshold of its CV."""
+    import uuid
+
+    df = folds(spark, sf).cache()
+    feats = feature_names(df)
+    best = min(_trials(df), key=lambda t: (t["value"], t["trial"]))
+    spec = _trial_spec(best)
+    sweep = ev.threshold_sweep(ml.cross_validate(df, feats, spec, ID), group_cols=["fold"])
+    row = ev.best_threshold(ev.threshold_curve(sweep)).collect()[0]
+    path = f"{stage_path(spark, 'models')}/{uuid.uuid4().hex[:12]}"
+    ml.fit_model(df, feats, spec, "label", seed=42).save(spark, path)
+    df.unpersist()
+    scored = ml.FittedModel.load(spark, path).score(modeling_train(spark, sf), ID, "label")
+    threshold = float(row["threshold"])
+    return scored.select("*", (F.col("score") >= F.lit(threshold)).cast("int").alias("prediction"),
+                         F.lit(best["trial"]).alias("trial"), F.lit(threshold).alias("threshold"),
+                         F.lit(float(row["mean_business_cost"])).alias("mean_business_cost"))
+
+
+@register("cv_comparison")
+def cv_comparison(spark, sf):
+    """Per fitted model family: mean and std over the 3 folds of every metric at
+    0.5, refit per fold, sorted by mean cost."""
+    df = folds(spark, sf).cache()
+    feats = feature_names(df)
+    rows = []
+    for spec in (ml.logistic_spec(max_iter=500), ml.random_forest_spec(), ml.gbt_spec(), ml.mlp_spec(max_iter=50)):
+        bundle = ev.metric_bundle(ml.cross_validate(df, feats, spec, ID), 0.5, group_cols=["fold"])
+        aggs = [a.alias(f"{p}_{x}") for x in CV_METRICS for p, a in (("mean", F.avg(x)), ("std", F.stddev_samp(x)))]
+        rows.append((spec.name, *bundle.agg(*aggs).collect()[0]))
+    df.unpersist()
+    names = [f"{p}_{x}" for x in CV_METRICS for p in ("mean", "std")]
+    table = spark.createDataFrame(rows, "model string, " + ", ".join(f"{n} double" for n in names))
+    return finish(table.orderBy("mean_business_cost", "model"))
+
+
 @register("feature_importance")
 def feature_importance(spark, sf):
     """Mean split gain per feature of the boosted model, normalised, ranked."""
