@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from riskloom.operators import corr
 from riskloom.plans import features as fx
 from riskloom.plans import modeling
@@ -127,3 +129,81 @@ FROM rk GROUP BY 1, 2""", ["r"]))
 def spearman_matrix(spark, sf):
     """Pairwise-complete Spearman matrix (long form) of selected features and TARGET."""
     return finish(corr.spearman_matrix(prepared_train(spark, sf), MATRIX_COLUMNS, ID))
+
+
+# The matrices of the report: TARGET and the features that lead the ranked report
+# of the same method, 25 and 30 of them.
+SPEARMAN_SQL = """tie AS (SELECT "column", TARGET, """ + SIGNIFICANT.format(v="v") + """ AS v FROM lng WHERE v IS NOT NULL),
+rk AS (SELECT "column", TARGET, rank() OVER (PARTITION BY "column" ORDER BY v)
+          + (count(*) OVER (PARTITION BY "column", v) - 1) / 2.0e0 AS r FROM tie),
+sp AS (SELECT "column", corr(r, TARGET) AS spearman FROM rk GROUP BY "column"),
+spr AS (SELECT "column", abs(spearman) AS abs_spearman FROM sp WHERE spearman IS NOT NULL AND NOT isnan(spearman))
+"""
+
+
+def _order_sql(v: str) -> str:
+    """``v`` in the places in which the report ranks it (``_leading``)."""
+    return f"round({v}, {ORDER_DIGITS})"
+
+
+ORDER_DIGITS = 9                   # engines sum in different orders: equal columns tie, the name decides
+
+
+def _leading(report, by: str, k: int) -> list[str]:
+    """TARGET and the ``k`` columns that lead ``report``."""
+    ranked = report.withColumn(by, F.round(by, ORDER_DIGITS))
+    return [TARGET, *[r["column"] for r in corr.top_k(ranked, by, k).collect()]]
+
+
+def _features(df) -> list[str]:
+    return [c for c in df.columns if c not in (ID, TARGET)]
+
+
+def _top_pearson_sql(k: int) -> str:
+    return finish_sql(_ft_sql() + ", " + PEARSON_SQL + f""",
+top AS (SELECT "column" FROM prr ORDER BY {_order_sql('abs_pearson')} DESC, "column" LIMIT {k}),
+sel AS (SELECT SK_ID_CURR, "column", v FROM lng WHERE "column" IN (SELECT "column" FROM top)
+        UNION ALL SELECT SK_ID_CURR, 'TARGET', TARGET FROM ft)
+SELECT a."column" AS col_a, b."column" AS col_b,
+       CASE WHEN """ + SPREAD.format(v="a.v") + " AND " + SPREAD.format(v="b.v") + """ AND NOT isnan(corr(a.v, b.v))
+            THEN greatest(least(corr(a.v, b.v), 1.0e0), -1.0e0) END AS r
+FROM sel a JOIN sel b ON a.SK_ID_CURR = b.SK_ID_CURR
+WHERE (a.v IS NOT NULL AND b.v IS NOT NULL) GROUP BY 1, 2""", ["r"])
+
+
+def _top_spearman_sql(k: int) -> str:
+    return finish_sql(_ft_sql() + ", " + SPEARMAN_SQL + f""",
+top AS (SELECT "column" FROM spr ORDER BY {_order_sql('abs_spearman')} DESC, "column" LIMIT {k}),
+sel AS (SELECT SK_ID_CURR, "column", v FROM lng WHERE "column" IN (SELECT "column" FROM top) AND v IS NOT NULL
+        UNION ALL SELECT SK_ID_CURR, 'TARGET', TARGET FROM ft WHERE TARGET IS NOT NULL),
+tied AS (SELECT SK_ID_CURR, "column", """ + SIGNIFICANT.format(v="v") + """ AS v FROM sel),
+pr AS (SELECT a."column" AS col_a, b."column" AS col_b, a.v AS x, b.v AS y
+       FROM tied a JOIN tied b ON a.SK_ID_CURR = b.SK_ID_CURR),
+rks AS (SELECT col_a, col_b,
+         rank() OVER (PARTITION BY col_a, col_b ORDER BY x) + (count(*) OVER (PARTITION BY col_a, col_b, x) - 1) / 2.0e0 AS rx,
+         rank() OVER (PARTITION BY col_a, col_b ORDER BY y) + (count(*) OVER (PARTITION BY col_a, col_b, y) - 1) / 2.0e0 AS ry
+       FROM pr)
+SELECT col_a, col_b, CASE WHEN isnan(corr(rx, ry)) THEN NULL
+                          ELSE greatest(least(corr(rx, ry), 1.0e0), -1.0e0) END AS r
+FROM rks GROUP BY 1, 2""", ["r"])
+
+
+def _top_pearson(k: int):
+    def query(spark, sf):
+        df = prepared_train(spark, sf)
+        columns = _leading(corr.pearson_with_target(df, TARGET, _features(df)), "abs_pearson", k)
+        return finish(corr.pearson_matrix(df, columns, upper_only=False))
+    return query
+
+
+def _top_spearman(k: int):
+    def query(spark, sf):
+        df = prepared_train(spark, sf)
+        columns = _leading(corr.spearman_with_binary_target(df, TARGET, _features(df)), "abs_spearman", k)
+        return finish(corr.spearman_matrix(df, columns, ID))
+    return query
+
+
+for _k in (25, 30):
+    register(f"corr_matrix_top{_k}", lambda k=_k: _top_pearson_sql(k))(_top_pearson(_k))
+    register(f"spearman_matrix_top{_k}", lambda k=_k: _top_spearman_sql(k))(_top_spearman(_k))

@@ -92,3 +92,22 @@ def test_hash_sample_deterministic(spark):
     b = profile.hash_sample(base.repartition(6), 50, "k", seed=42)
     assert a.count() == 50 and sorted(r[0] for r in a.collect()) == sorted(r[0] for r in b.collect())
     assert profile.hash_sample(base, 5000, "k").count() == 1000      # all rows when fewer
+
+
+def test_matrices_take_the_leading_columns(spark, monkeypatch):
+    from riskloom.plans import catalog, q_corr
+
+    rng = np.random.default_rng(8)
+    y = (rng.random(200) < 0.4).astype(float)
+    pdf = pd.DataFrame({"SK_ID_CURR": np.arange(200), "TARGET": y}
+                       | {f"f{i:02d}": y * i + rng.normal(size=200) * 8 for i in range(32)})
+    df = spark.createDataFrame(pdf)
+    monkeypatch.setattr(q_corr, "prepared_train", lambda spark, sf: df)
+    for name, method, k in (("corr_matrix_top25", "pearson", 25), ("corr_matrix_top30", "pearson", 30),
+                            ("spearman_matrix_top25", "spearman", 25)):
+        full = (pdf if method == "pearson" else pdf.rank()).drop(columns="SK_ID_CURR").corr()
+        top = full["TARGET"].drop("TARGET").abs().sort_values(ascending=False).index[:k]
+        want = full.loc[["TARGET", *top], ["TARGET", *top]]
+        rows = catalog.QUERIES[name](spark, "").collect()
+        assert {(r["col_a"], r["col_b"]) for r in rows} == {(a, b) for a in want for b in want}
+        assert all(abs(r["r"] - want.loc[r["col_a"], r["col_b"]]) < 2e-4 for r in rows)
