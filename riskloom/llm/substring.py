@@ -18,10 +18,11 @@ removal of the others.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm import textbatch as tb
@@ -237,13 +238,46 @@ def _similar_lines(docs: DataFrame, min_words: int, min_percent: int, bands: int
     return repeated
 
 
-def _others(found: DataFrame, groups: DataFrame) -> DataFrame:
-    """Occurrences in ``found`` that are not the one that stays of their group
-    (kind, hi, lo, stay): (id, key, first, last, kept_id)."""
+def _resolved(found: DataFrame, groups: DataFrame) -> DataFrame:
+    """(id, key, first, last, kept_id, stays) of the occurrences in ``found`` that
+    go, and of the units that stay (``stays``), by their groups (kind, hi, lo, stay).
+
+    Lines go first: of a unit, the first occurrence outside the lines that go
+    stays, and where there is none, the first one.
+    """
     few = groups.count() <= BROADCAST_IDS
-    occ = found.join(F.broadcast(groups) if few else groups, ["kind", "hi", "lo"])
-    return occ.filter((F.col("key") != F.col("stay.key")) | (F.col("first") != F.col("stay.first"))).select(
-        "id", "key", "first", "last", F.col("stay.id").alias("kept_id"))
+    occ = written(found.join(F.broadcast(groups) if few else groups, ["kind", "hi", "lo"]), "repeated-occurrences")
+    staying = (F.col("key") == F.col("stay.key")) & (F.col("first") == F.col("stay.first"))
+    # lines of a document don't overlap: the last one to begin before a unit's end reaches furthest
+    w = Window.partitionBy("key").orderBy(F.when(F.col("kind") == LINE, F.col("first")).otherwise(F.col("last") - 1))
+    reach = F.max(F.when((F.col("kind") == LINE) & ~staying, F.col("last"))).over(w)
+    moved = written(
+        occ.withColumn("cut", F.coalesce(reach > F.col("first"), F.lit(False))).filter(F.col("kind") == UNIT)
+        .groupBy("kind", "hi", "lo").agg(F.min(F.struct("cut", "id", "key", "first")).alias("m"), F.min("stay").alias("stay"))
+        .filter((F.col("m.key") != F.col("stay.key")) | (F.col("m.first") != F.col("stay.first")))
+        .select("kind", "hi", "lo", F.struct("m.id", "m.key", "m.first").alias("other")), "moved-stays")
+    few = moved.count() <= BROADCAST_IDS
+    occ = occ.join(F.broadcast(moved) if few else moved, ["kind", "hi", "lo"], "left").withColumn(
+        "stay", F.coalesce("other", "stay"))
+    return occ.filter(~staying | (F.col("kind") == UNIT)).select(
+        "id", "key", "first", "last", F.col("stay.id").alias("kept_id"), staying.alias("stays"))
+
+
+def _outside(spans: list, kept: list[tuple[int, int]]):
+    """The parts of ``spans`` outside ``kept`` (merged, ascending), by their beginning."""
+    ends = [b for _, b in kept]
+    out = []
+    for x in spans:
+        at = x["first"]
+        for a, b in kept[bisect_right(ends, at):]:
+            if a >= x["last"]:
+                break
+            if a > at:
+                out.append((at, a, x["kept_id"]))
+            at = b
+        if at < x["last"]:
+            out.append((at, x["last"], x["kept_id"]))
+    return sorted(out, key=lambda p: p[:2])
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_line_words: int = MIN_LINE_WORDS,
@@ -255,7 +289,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     UTF-8 byte offsets of its text; ``kept_ids`` lists the documents whose
     occurrences stay (possibly the document itself). Of equal or similar paragraphs the one in the
     smallest id stays (ties: by a hash of id and text, then by position; a null id
-    ranks first). Rows equal in id and text count as one document. Null, empty and
+    ranks first), but of equal paragraphs the first outside the lines that go, if
+    there is one; the one that stays is never cut. Rows equal in id and text count as one document. Null, empty and
     short texts have no paragraphs; an empty table gives no rows; other columns are
     not read. ``text_key`` identifies the row: xxhash64 of id and text.
     """
@@ -266,22 +301,30 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     groups = written(first.filter("c > 1").select(F.lit(UNIT).alias("kind"), "hi", "lo", "stay"), "unit-groups")
     near = _similar_lines(src, min_line_words, min_percent, bands_for(min_percent / 100, rows, recall), rows)
     # one more pass over the texts finds the occurrences of both kinds
-    again = _others(occurrences(src, unit_words, winnow, min_line_words), groups.unionByName(near))
+    again = _resolved(occurrences(src, unit_words, winnow, min_line_words), groups.unionByName(near))
     spans = again.groupBy("id", "key").agg(
-        F.sort_array(F.collect_set(F.struct("first", "last", "kept_id"))).alias("spans"))
+        F.sort_array(F.collect_set(F.struct("first", "last", "kept_id", "stays"))).alias("spans")).filter(
+        F.exists("spans", lambda x: ~x["stays"]))
     id_type = docs.schema[id_col].dataType
 
     def merge(batches):
         for batch in batches:
             out = []
             for i, k, ss in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                runs: list[list] = []
+                kept: list[tuple[int, int]] = []
                 for x in ss:
-                    if runs and x["first"] <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], x["last"])
-                        runs[-1][2].add(x["kept_id"])
+                    if x["stays"]:
+                        if kept and x["first"] <= kept[-1][1]:
+                            kept[-1] = (kept[-1][0], max(kept[-1][1], x["last"]))
+                        else:
+                            kept.append((x["first"], x["last"]))
+                runs: list[list] = []
+                for first, last, kept_id in _outside([x for x in ss if not x["stays"]], kept):
+                    if runs and first <= runs[-1][1]:
+                        runs[-1][1] = max(runs[-1][1], last)
+                        runs[-1][2].add(kept_id)
                     else:
-                        runs.append([x["first"], x["last"], {x["kept_id"]}])
+                        runs.append([first, last, {kept_id}])
                 out += [(i, k, a, b, sorted(ids, key=lambda v: (v is not None, v))) for a, b, ids in runs]
             cols = list(zip(*out)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(

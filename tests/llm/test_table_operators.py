@@ -297,3 +297,26 @@ def test_passages_are_removed_once(spark):
 def test_bands_follow_the_recall():
     b = substring.bands_for(0.8, 3, 0.999)
     assert 1 - (1 - 0.8 ** 3) ** b >= 0.999 > 1 - (1 - 0.8 ** 3) ** (b - 1)
+
+
+def test_passages_outlive_the_lines_they_are_in(spark):
+    rnd = random.Random(21)
+    fresh = lambda n: ["".join(rnd.choice("abcdefghij") for _ in range(8)) for _ in range(n)]
+    shared, inner = fresh(50), fresh(50)
+    one, two = fresh(300), fresh(300)
+    docs = {1: one, 2: one[:150] + shared + one[150:]}                       # 2's line goes: 1's is similar
+    docs |= {i: fresh(60) + shared + fresh(60) for i in range(3, 7)}
+    docs |= {11: two, 12: two[:150] + inner + two[150:], 13: two[:150] + inner + two[150:]}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    left = {r["doc_id"]: r["text"] for r in substring.remove_repeats(df).collect()}
+    holders = lambda words: [i for i in sorted(left) if " ".join(words) in left[i]]
+    assert holders(one) == [1] and holders(two) == [11] and 2 not in left and 13 not in left
+    assert holders(shared) == [3]                                            # outside a line that goes
+    units = [holders(inner[i:i + 30]) for i in range(21)]                    # only in lines that go: the first
+    assert [12] in units and all(h in ([], [12]) for h in units)
+
+
+def test_staying_passages_are_not_cut():
+    spans = [{"first": 0, "last": 30, "kept_id": 1}, {"first": 20, "last": 50, "kept_id": 2}, {"first": 90, "last": 99, "kept_id": 3}]
+    assert substring._outside(spans, [(5, 10), (25, 40), (60, 95)]) == [
+        (0, 5, 1), (10, 25, 1), (20, 25, 2), (40, 50, 2), (95, 99, 3)]
