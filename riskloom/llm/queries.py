@@ -141,3 +141,10 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm import substring
 
     return substring.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+@register("op12_spelling_forms")
+def op12_spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import spelling
+
+    return spelling.spelling_forms(table(spark, sf_dir, "documents"))

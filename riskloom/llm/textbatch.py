@@ -76,22 +76,27 @@ def byte_strings(arr: pa.Array) -> list[bytes]:
     return [raw[a:b] for a, b in zip(at, at[1:])]
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, document index) of every word; words end at document ends."""
-    if len(data) == 0:
+def mask_spans(inside: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, document index) of every maximal run of ``inside`` bytes;
+    runs end at document ends."""
+    if len(inside) == 0:
         z = np.zeros(0, np.int64)
         return z, z, z
-    word = ~IS_SPACE[data]
-    first = np.zeros(len(data) + 1, dtype=bool)
+    first = np.zeros(len(inside) + 1, dtype=bool)
     first[offs] = True                                     # a document starts here
-    starts = word.copy()
-    starts[1:] &= ~word[:-1] | first[1:-1]
-    ends = word
-    ends[:-1] &= ~ends[1:] | first[1:-1]
+    starts = inside.copy()
+    starts[1:] &= ~inside[:-1] | first[1:-1]
+    ends = inside.copy()
+    ends[:-1] &= ~inside[1:] | first[1:-1]
     s, e = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     return s, e, np.searchsorted(offs, s, side="right") - 1
 
 
+def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, document index) of every word; words end at document ends."""
+    return mask_spans(~IS_SPACE[data], offs)
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hash of every word; each distinct word is hashed once."""
     if len(starts) == 0:
