@@ -148,3 +148,25 @@ def op12_spelling_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm import spelling
 
     return spelling.spelling_forms(table(spark, sf_dir, "documents"))
+
+
+@register("op11_ranked_search", sql=r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+g AS (SELECT count(*)::BIGINT AS n_docs, sum(len(ts))::BIGINT AS total FROM t WHERE len(ts) > 0),
+p AS (SELECT r, any_value(doc_id) AS doc_id, term, count(*)::BIGINT AS tf, any_value(n)::BIGINT AS n
+      FROM (SELECT r, doc_id, len(ts) AS n, unnest(ts) AS term FROM t) GROUP BY r, term),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, g GROUP BY term, n_docs),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (SELECT item_id, r, any_value(doc_id) AS doc_id,
+             sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // total))))::BIGINT AS score
+      FROM q JOIN p USING (term) JOIN w USING (term), g GROUP BY item_id, r),
+k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50""")
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import lexical
+
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
