@@ -170,3 +170,23 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from riskloom.llm import lexical
 
     return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_ngram_join", sql="""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+          JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+          GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 90 * (any_value(na.n) + any_value(nb.n) - count(*))),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.b FROM r JOIN links l ON l.a = r.y),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d JOIN c ON c.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""")
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from riskloom.llm import ngramjoin
+
+    return ngramjoin.similarity_join(table(spark, sf_dir, "documents"))
