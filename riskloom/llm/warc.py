@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.store import new_path
+from riskloom.llm.store import new_path, written
 
 # Fixed values of the WARC 1.1 and HTTP formats.
 VERSION = b"WARC/1.1"
@@ -106,17 +106,34 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     with the largest id is the response (of equal ids, one of them), the others
     are revisits. A null payload is an empty one; a null id ranks lowest; other
     columns are not read.
+
+    A record is named by id and payload, and rows equal in both by their place in
+    their group, never by their place in the input: every evaluation of ``pages``,
+    in whatever order it gives the rows, names them alike.
     """
     rows = pages.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"),
-        F.col(url_col).cast("string").alias("url"), F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload"))
-    rid = F.concat(F.lit("urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(":"), F.col("row"))
-    rows = rows.withColumn("sha", F.sha1("payload")).withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))
-    top = (rows.filter(F.octet_length("payload") >= min_revisit_bytes).groupBy("sha")
-           .agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(F.coalesce("id", F.lit(-(1 << 63))).alias("k"), "row", rid.alias("rid"))).alias("top"))
-           .filter("n > 1").select("sha", F.col("top.rid").alias("refers"))
-           .withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))))
-    rows = rows.join(top, ["sha", "salt"], "left").select(rid.alias("rid"), "url", "payload", "refers")
+        F.coalesce(F.col(id_col).cast("bigint").cast("string"), F.lit("")).alias("id"),
+        F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"),
+        F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8").alias("payload")).withColumn("sha", F.sha1("payload"))
+    rid = F.concat(F.lit("urn:page:"), F.col("id"), F.lit(":"), F.col("sha"))
+    each = written(rows.groupBy("sha", "id").agg(F.count(F.lit(1)).alias("c"), F.min("url").alias("lead"),
+                                                 F.max(F.octet_length("payload")).alias("b")), "warc-payloads")
+    top = (each.groupBy("sha").agg(F.sum("c").alias("n"), F.max("b").alias("b"), F.max(F.struct(F.expr("try_cast(id AS bigint)"), "id")).alias("top"))
+           .filter((F.col("n") > 1) & (F.col("b") >= min_revisit_bytes)).select("sha", F.col("top.id").alias("id"))
+           .select("sha", rid.alias("refers"), F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt")))
+    # rows equal in id and payload: their number by url, and one name for each
+    equal = each.filter("c > 1").select("sha", "id", "lead")
+    own = rows
+    if not equal.isEmpty():
+        same = rows.join(equal, ["sha", "id"]).groupBy("sha", "id", "lead", "url").agg(
+            F.count(F.lit(1)).alias("c"), F.max("payload").alias("payload")).withColumn("k", F.explode(F.sequence(F.lit(1), F.col("c"))))
+        tail = F.when((F.col("url") == F.col("lead")) & (F.col("k") == 1), F.lit("")).otherwise(
+            F.concat(F.lit(":"), F.sha1("url"), F.lit(":"), F.col("k")))
+        own = rows.join(equal, ["sha", "id"], "left_anti").withColumn("tail", F.lit("")).unionByName(
+            same.select("id", "url", "payload", "sha", tail.alias("tail")))
+        rid = F.concat(rid, F.col("tail"))
+    salt = F.pmod(F.xxhash64("id", "url"), F.lit(SALTS)).cast("int")
+    rows = own.withColumn("salt", salt).join(top, ["sha", "salt"], "left").select(rid.alias("rid"), "url", "payload", "refers")
 
     def build(batches):
         for batch in batches:
@@ -163,20 +180,32 @@ def read_archives(spark, path: str, with_payload: bool = False) -> DataFrame:
     """One row per response or revisit record: page_id, payload_bytes,
     payload_digest, record_type, refers_to and, with ``with_payload``, payload
     (null for revisits). A missing segment, a wrong length or digest is an error."""
-    parsed = "origin string, type string, digest string, refers string, segment int, total bigint, block binary"
+    parsed = "origin string, type string, digest string, refers string, segment int, total bigint, size bigint, block binary"
+    names = [c.split()[0] for c in parsed.split(", ")]
+    kinds = [pa.string()] * 4 + [pa.int32()] + [pa.int64()] * 2 + [pa.binary()]
+
+    def checked(origin, block, digest):
+        payload, size = payload_of(block)
+        if payload is not None and digest32(payload) != digest:
+            raise ValueError(f"{origin}: the payload does not match its digest")
+        return payload, size
 
     def parse(batches):
+        """A whole record is finished here; only segments take their block along."""
         for batch in batches:
             for content in batch.column(0):
                 raw = zlib.decompress(content.as_py(), 31)
                 out = []
                 for f, block in parse_archive(raw):
-                    kind = f[b"WARC-Type"].decode()
-                    out.append((_text(f.get(b"WARC-Segment-Origin-ID", f[b"WARC-Record-ID"])),
-                                None if kind == "continuation" else kind,
-                                None if kind == "continuation" else f[b"WARC-Payload-Digest"].decode().split(":", 1)[1],
-                                _text(f.get(b"WARC-Refers-To")), int(f.get(b"WARC-Segment-Number", 0)),
-                                int(f[b"WARC-Segment-Total-Length"]) if b"WARC-Segment-Total-Length" in f else None, block))
+                    kind, number = f[b"WARC-Type"].decode(), int(f.get(b"WARC-Segment-Number", 0))
+                    digest = None if kind == "continuation" else f[b"WARC-Payload-Digest"].decode().split(":", 1)[1]
+                    origin, size = _text(f.get(b"WARC-Segment-Origin-ID", f[b"WARC-Record-ID"])), None
+                    if number == 0:
+                        payload, size = checked(origin, block, digest)
+                        block = payload if with_payload else None
+                    total = f.get(b"WARC-Segment-Total-Length")
+                    out.append((origin, None if kind == "continuation" else kind, digest, _text(f.get(b"WARC-Refers-To")),
+                                number, None if total is None else int(total), size, block))
                     if len(out) >= 200:
                         yield _batch(out)
                         out = []
@@ -184,50 +213,42 @@ def read_archives(spark, path: str, with_payload: bool = False) -> DataFrame:
                     yield _batch(out)
 
     def _batch(out):
-        cols = list(zip(*out))
-        kinds = [pa.string()] * 4 + [pa.int32(), pa.int64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
-                                          names=["origin", "type", "digest", "refers", "segment", "total", "block"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
     def finish(batches):
+        rows = []
         for batch in batches:
             for r in range(batch.num_rows):
-                origin, kind, digest, refers, total, parts = (batch.column(k)[r].as_py() for k in range(6))
+                origin, kind, digest, refers, total, size, parts = (batch.column(k)[r].as_py() for k in range(7))
                 numbers = [p["segment"] for p in parts]
-                block = b"".join(p["block"] for p in parts)
-                if numbers != [0] and (numbers != list(range(1, len(parts) + 1)) or total != len(block)):
-                    raise ValueError(f"{origin}: segments {numbers} with {len(block)} of {total} bytes")
-                payload, size = payload_of(block)
-                if payload is not None and digest32(payload) != digest:
-                    raise ValueError(f"{origin}: the payload does not match its digest")
-                page = origin.split(":")[2]
-                ref = refers.split(":")[2] if refers else None
-                cols = [pa.array([int(page) if page else None], pa.int64()), pa.array([size], pa.int64()),
-                        pa.array([digest], pa.string()), pa.array([kind], pa.string()),
-                        pa.array([int(ref) if ref else None], pa.int64())]
-                names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-                if with_payload:
-                    cols, names = cols + [pa.array([payload], pa.binary())], names + ["payload"]
-                rows.append(pa.RecordBatch.from_arrays(cols, names=names))
+                payload = parts[0]["block"]
+                if numbers != [0]:
+                    block = b"".join(p["block"] for p in parts)
+                    if numbers != list(range(1, len(parts) + 1)) or total != len(block):
+                        raise ValueError(f"{origin}: segments {numbers} with {len(block)} of {total} bytes")
+                    payload, size = checked(origin, block, digest)
+                page, ref = origin.split(":")[2], refers.split(":")[2] if refers else None
+                rows.append((int(page) if page else None, size, digest, kind, int(ref) if ref else None, payload))
                 if len(rows) >= 500 or with_payload:
-                    yield from flush(rows)
-            yield from flush(rows)
+                    yield _rows(rows)
+                    rows = []
+        if rows:
+            yield _rows(rows)
 
-    rows: list[pa.RecordBatch] = []
+    fields = [("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
+              ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())][:5 + with_payload]
 
-    def flush(rows):
-        if rows:
-            yield pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
-            rows.clear()
+    def _rows(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
 
     records = (spark.read.format("binaryFile").load(path).select("content").mapInArrow(parse, parsed)
                .groupBy("origin").agg(
                    F.max("type").alias("type"), F.max("digest").alias("digest"), F.max("refers").alias("refers"),
-                   F.max("total").alias("total"),
+                   F.max("total").alias("total"), F.max("size").alias("size"),
                    F.sort_array(F.collect_list(F.struct("segment", "block"))).alias("parts")))
     schema = ("page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
               + ", payload binary" * with_payload)
-    return records.select("origin", "type", "digest", "refers", "total", "parts").mapInArrow(finish, schema)
+    return records.select("origin", "type", "digest", "refers", "total", "size", "parts").mapInArrow(finish, schema)
 
 
 def round_trip(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES, min_revisit_bytes: int = 0, **columns) -> DataFrame:
