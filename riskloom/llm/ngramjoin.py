@@ -9,8 +9,9 @@ are used, each over all documents:
 * by the counts of hashed shingles, then by hash;
 * by hash alone.
 
-Equal sets form one class. Classes that share a prefix element under the first order
-meet in its bucket; of those, a pair is verified on the full sets only if its sizes
+Equal sets form one class. A class stays in only if, under each order in turn, it shares
+a prefix element with another class of a size that allows a link. What is left meets in
+the buckets of the first order; a pair is verified on the full sets only if its sizes
 allow the similarity and its prefixes meet under the other orders as well. In each
 bucket the classes are verified against the bucket's centre first; those that are
 still in another component are then compared with each other, by size band and in
@@ -31,13 +32,15 @@ from pyspark.sql import functions as F
 from riskloom.llm import bloom
 from riskloom.llm import textbatch as tb
 from riskloom.llm.components import components
-from riskloom.llm.store import drop, written
+from riskloom.llm.store import drop, if_small, written
 
 WORDS = 3
 MIN_PERCENT = 90
 #: Slots of the hashed counts that two of the orders rest on (a power of two).
 SLOTS = 1 << 15
 _SHIFT = np.uint64(64 - 15)
+#: Keeps the keys of neighbouring size bands apart; times any band it fits a bigint.
+BAND_STEP = 0x5851F42D4D
 #: Shingles on either side of a block, and in the groups that a task compares.
 BLOCK_SHINGLES = 1 << 19
 BUCKET_SHINGLES = 1 << 20
@@ -157,29 +160,51 @@ def marks(docs: DataFrame, words: int, percent: int, classes) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, cid binary, n bigint, p1 array<bigint>")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, words: int, percent: int, classes) -> DataFrame:
-    """(cid, s, p1, p2): whole sets of the classes ``wanted`` (cid, id), and their
-    prefixes under the first two orders (that under the third begins ``s``).
-
-    Tasks leave out other documents by a Bloom filter of the ids; a join on the class
-    then is exact.
-    """
-    rare, often = classes
+def _of_classes(docs: DataFrame, wanted: DataFrame, words: int, schema: str, columns) -> DataFrame:
+    """Columns that ``columns`` makes of (offsets, shingles, word slots), for the classes
+    ``wanted`` (cid, id). Tasks leave out other documents by a Bloom filter of the ids;
+    the join on the class then is exact."""
     keys = bloom.build(wanted.select(F.xxhash64("id").alias("h")))
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
         for batch in batches:
             batch = batch.filter(pa.array(bloom.test(keys, batch.column(0).to_numpy())))
             for part in tb.slices(batch, "text"):
                 offs, sh, of = token_sets(part.column(1), words)
-                p1 = prefix(offs, sh, rare[of].min(axis=1) if len(of) else np.zeros(0, np.uint8), percent)
-                p2 = prefix(offs, sh, often[_shingle_slots(sh)], percent)
-                yield pa.RecordBatch.from_arrays([_class_ids(offs, sh), _lists(offs, sh), _lists(*p1), _lists(*p2)],
-                                                 names=["cid", "s", "p1", "p2"])
+                yield pa.RecordBatch.from_arrays([_class_ids(offs, sh), *columns(offs, sh, of)], names=names)
+
+    found = docs.select(F.xxhash64("id").alias("h"), "text").mapInArrow(run, schema)
+    return found.join(if_small(wanted), "cid", "left_semi")
+
+
+def _first_prefix(classes, percent: int):
+    rare = classes[0]
+    return lambda offs, sh, of: _lists(*prefix(offs, sh, rare[of].min(axis=1) if len(of) else np.zeros(0, np.uint8), percent))
+
 
-    found = docs.select(F.xxhash64("id").alias("h"), "text").mapInArrow(
-        run, "cid binary, s array<bigint>, p1 array<bigint>, p2 array<bigint>")
-    return found.join(wanted.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
+def _second_prefix(classes, percent: int):
+    often = classes[1]
+    return lambda offs, sh: _lists(*prefix(offs, sh, often[_shingle_slots(sh)], percent))
+
+
+def other_prefixes(docs: DataFrame, wanted: DataFrame, words: int, percent: int, classes) -> DataFrame:
+    """(cid, n, p2, p3): prefixes of the classes ``wanted`` under the other orders."""
+    p2 = _second_prefix(classes, percent)
+
+    def columns(offs, sh, of):
+        p3 = prefix(offs, sh, np.zeros(len(sh), np.uint8), percent)
+        return pa.array(np.diff(offs)), p2(offs, sh), _lists(*p3)
+
+    return _of_classes(docs, wanted, words, "cid binary, n bigint, p2 array<bigint>, p3 array<bigint>", columns)
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, words: int, percent: int, classes) -> DataFrame:
+    """(cid, s, p1, p2): whole sets of the classes ``wanted`` (cid, id), and their
+    prefixes under the first two orders (that under the third begins ``s``)."""
+    p1, p2 = _first_prefix(classes, percent), _second_prefix(classes, percent)
+    return _of_classes(docs, wanted, words, "cid binary, s array<bigint>, p1 array<bigint>, p2 array<bigint>",
+                       lambda offs, sh, of: (_lists(offs, sh), p1(offs, sh, of), p2(offs, sh)))
 
 
 class _Sets:
@@ -246,31 +271,89 @@ def _compared(rows: DataFrame, sets: DataFrame, shingles: int, percent: int) ->
     """Links of ``rows`` (centre, blk, cid, part, probe, base); groups are dealt into
     buckets of some ``BUCKET_SHINGLES``, each group whole."""
     buckets = max(1, shingles // BUCKET_SHINGLES)
-    both = rows.join(sets, "cid").withColumn("bucket", F.pmod(F.xxhash64("centre", "blk"), F.lit(buckets)))
+    both = sets.join(if_small(rows), "cid").withColumn("bucket", F.pmod(F.xxhash64("centre", "blk"), F.lit(buckets)))
     return both.groupBy("bucket").applyInArrow(lambda table: _compare(table, percent), "u binary, v binary")
 
 
-def bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) that give the components of all linked classes among those that
-    ``members`` (centre, cid, n, cn) brings together: of any two classes of a centre
-    that link, both end up in one component."""
-    # against the centre, which comes along once for each block of its classes
-    total = members.groupBy("centre").agg(F.sum("n").alias("total"))
-    blocks = F.ceil(F.col("total") / BLOCK_SHINGLES)
+def _bucket_keys(percent: int) -> tuple:
+    """Columns of the two bucket keys of a prefix element ``token`` of a set of ``n``:
+    the element with the set's size band, and with the next one. Sets whose sizes
+    allow a link have one of them in common."""
+    band = _band(F.col("n"), percent)
+    return tuple(F.col("token").bitwiseXOR((band + k) * F.lit(BAND_STEP)) for k in (0, 1))
+
+
+def _band(n, percent: int):
+    """Size band: each ends where sizes exceed its beginning by the most a link allows."""
+    return F.floor(F.log(n.cast("double")) / math.log(100 / min(percent, 99.9)) + 1e-9).cast("bigint")
+
+
+def shared_prefixes(classes: DataFrame, elements: str, percent: int) -> DataFrame:
+    """(key, cid, n): bucket keys of ``classes`` (cid, n, a list of prefix elements) that
+    have two classes and more whose sizes allow a link. Elements are counted first; those
+    of one class are left out by a Bloom filter before keys are made and counted."""
+    token = classes.select(F.explode(elements).alias("token"))
+    repeated = written(token.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token"), "join-tokens")
+    filled = bloom.build(repeated, "token")
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(2)
+            token = lists.flatten().to_numpy()
+            some = np.flatnonzero(bloom.test(filled, token))
+            of = pa.array(np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())[some])
+            yield pa.RecordBatch.from_arrays([pa.array(token[some]), batch.column(0).take(of), batch.column(1).take(of)],
+                                             names=["token", "cid", "n"])
+
+    found = classes.select("cid", "n", elements).mapInArrow(run, "token bigint, cid binary, n bigint")
+    found = found.select("cid", "n", F.explode(F.array(*_bucket_keys(percent))).alias("key"))
+    found = written(found, "join-keys")
+    drop(repeated)
+    counts = found.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("low"), F.max("n").alias("high"))
+    # a key of two classes is one pair, and its sizes may rule it out at once
+    can = (F.col("c") > 1) & ((F.col("c") > 2) | (100 * F.col("low") >= percent * F.col("high")))
+    return found.join(counts.filter(can).select("key"), "key", "left_semi")
+
+
+def _star_links(close: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) of classes with their centre (cid, n, centre), which comes along once
+    for each block of its classes."""
     yes, no = F.lit(True), F.lit(False)
-    star = members.join(total, "centre").select(
+    close = written(close.select("cid", "n", "centre"), "join-close")
+    total = close.groupBy("centre").agg(F.sum("n").alias("total"))
+    blocks = F.ceil(F.col("total") / BLOCK_SHINGLES)
+    star = close.join(total, "centre").select(
         "centre", F.pmod(F.xxhash64("cid"), blocks).cast("int").alias("blk"), "cid", F.col("cid").alias("part"),
         no.alias("probe"), yes.alias("base"))
     heads = total.select("centre", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("blk"),
                          F.col("centre").alias("cid"), F.col("centre").alias("part"), yes.alias("probe"), no.alias("base"))
-    volume = int(members.agg(F.sum("n")).first()[0] or 0)
-    links = written(_compared(star.unionByName(heads), sets, volume, percent), "join-links")
+    volume = int(close.agg(F.sum("n")).first()[0] or 0)
+    return _compared(written(star.unionByName(heads), "join-stars"), sets, volume, percent)
+
+
+def bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that give the components of all linked classes among those that
+    ``members`` (centre, cid, n, near) brings together: of any two classes of a centre
+    that link, both end up in one component."""
+    close = members.filter("near")
+    first = close.groupBy("cid").agg(F.min("centre").alias("centre"))
+    links = written(_star_links(close.join(first, ["cid", "centre"], "left_semi"), sets, percent), "join-links")
+    parts = written(components(links), "join-parts")
+    drop(links)
+    # the other centres of a class, unless they are in its component already
+    of = parts.select(F.col("node").alias("cid"), F.col("component").alias("part"))
+    main = parts.select(F.col("node").alias("centre"), F.col("component").alias("main"))
+    open_ = close.join(first, ["cid", "centre"], "left_anti").join(of, "cid", "left").join(main, "centre", "left").filter(
+        F.coalesce("part", "cid") != F.coalesce("main", "centre")).select("cid", "centre", "n")
+    tree = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    links = written(tree.unionByName(_star_links(open_, sets, percent)), "join-links")
     parts = written(components(links), "join-parts")
 
+    yes, no = F.lit(True), F.lit(False)
     # what the centre leaves apart, by size bands: sizes of a link differ by one band at most
     part = parts.withColumnRenamed("node", "cid")
     main = parts.select(F.col("node").alias("centre"), F.col("component").alias("main"))
-    band = F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int")
+    band = _band(F.col("n"), percent)
     around = members.select("centre", "cid", "n").join(part, "cid", "left").join(main, "centre", "left").select(
         "centre", "cid", "n", F.coalesce("component", "cid").alias("part"), band.alias("band"),
         (F.coalesce("component", "cid") != F.coalesce("main", "centre")).alias("out"))
@@ -313,16 +396,24 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = rows.filter("cid is not null and id is not null")
     one = written(known.groupBy("cid").agg(F.min(F.struct("id", "n", "p1")).alias("m")).select("cid", "m.id", "m.n", "m.p1"),
                   "join-classes")
-    spread = one.select("cid", "n", F.explode("p1").alias("token"))
-    centres = written(spread.groupBy("token").agg(F.min(F.struct("cid", "n")).alias("c"), F.count(F.lit(1)).alias("k"))
-                      .filter("k > 1").select("token", "k", F.col("c.cid").alias("centre"), F.col("c.n").alias("cn")), "join-centres")
-    near = 100 * F.least("n", "cn") >= min_percent * F.greatest("n", "cn")
-    # a bucket of two is one pair, and its sizes may rule it out at once
-    members = written(spread.join(centres, "token").filter("cid != centre").filter((F.col("k") > 2) | near)
-                      .select("centre", "cid", "n").distinct(), "join-members")
-    ids = members.select("cid").unionByName(members.select(F.col("centre").alias("cid"))).distinct()
-    sets = written(full_sets(src, written(one.select("cid", "id").join(ids, "cid", "left_semi"), "join-wanted"), words,
-                             min_percent, classes), "join-sets")
+    # a class stays in if it shares a prefix element under each of the orders
+    first = written(shared_prefixes(one, "p1", min_percent), "join-prefixes")
+    asked = written(one.select("cid", "id").join(first.select("cid").distinct(), "cid", "left_semi"), "join-asked")
+    again = not known.groupBy("id", "cid").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty()
+    others = other_prefixes(src, asked, words, min_percent, classes)
+    others = written(others.dropDuplicates(["cid"]) if again else others, "join-others")   # rows equal in id and text
+    second = written(shared_prefixes(others, "p2", min_percent).select("cid").distinct(), "join-second")
+    third = shared_prefixes(others.join(second, "cid", "left_semi"), "p3", min_percent).select("cid").distinct()
+    alive = written(asked.join(third, "cid", "left_semi"), "join-alive")
+    spread = written(first.join(if_small(alive), "cid", "left_semi"), "join-spread")
+    centres = spread.groupBy("key").agg(F.min(F.struct("cid", "n")).alias("c"), F.count(F.lit(1)).alias("k")).filter("k > 1")
+    near = 100 * F.least("n", "c.n") >= min_percent * F.greatest("n", "c.n")
+    for df in (first, others, second):
+        drop(df)
+    members = written(spread.join(centres, "key").filter(F.col("cid") != F.col("c.cid")).filter((F.col("k") > 2) | near)
+                      .select(F.col("c.cid").alias("centre"), "cid", "n", near.alias("near")).distinct(), "join-members")
+    sets = full_sets(src, alive, words, min_percent, classes)
+    sets = written(sets.dropDuplicates(["cid"]) if again else sets, "join-sets")
     links = bucket_links(members, sets, min_percent)
     # an id with several texts links their classes
     twice = known.groupBy("id").agg(F.min("cid").alias("u"), F.max("cid").alias("w")).filter("u != w").select("id", "u")
