@@ -33,13 +33,14 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(links.filter("u is not null and v is not null and u != v")
                     .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     while not _done(edges):
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        # every arc now points down; a node hands its smaller neighbours and itself to the least of them
-        least = _with_least(large.distinct())
+        # a node hands its smaller neighbours and itself to the least of them
+        least = _with_least(edges)
         small = least.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v"))).filter("u != v").distinct()
-        new = written(small, "links")
+        # and its larger neighbours to its least one
+        both = small.unionByName(small.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        large = _with_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        new = written(large.distinct(), "links")
         drop(edges)
         edges = new
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

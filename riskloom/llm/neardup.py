@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm import textbatch as tb
 from riskloom.llm.components import components
-from riskloom.llm.store import drop, written
+from riskloom.llm.store import drop, if_small, written
 
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
@@ -31,8 +31,6 @@ MIN_PERCENT = 80
 BANDS, ROWS = 24, 4
 #: Sets on either side of a task that compares classes block by block.
 BLOCK = 1000
-#: Ids of candidate documents up to which their list is broadcast, not shuffled.
-BROADCAST_IDS = 1_000_000
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -123,8 +121,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                 sets = [x.view(np.int64) for x in shingle_sets(part.column(1), words)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "s"])
 
-    few = ids.count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(ids) if few else ids, "id", "left_semi").mapInArrow(run, f"id {id_type}, s array<bigint>")
+    return docs.join(if_small(ids), "id", "left_semi").mapInArrow(run, f"id {id_type}, s array<bigint>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -165,7 +162,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     centres = written(spread.groupBy("key").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("c"))
                       .filter("c > 1").select("key", "centre"), "near-centres")
     members = written(spread.join(centres, "key"), "near-members")      # classes in buckets of two and more
-    ids = members.select("id").distinct()
+    ids = written(members.select("id").distinct(), "near-ids")
     sets = full_sets(src, ids, words)
     if not twice.isEmpty():                                    # an id's several texts each count, its copies once
         sets = sets.dropDuplicates(["id", "s"])
@@ -180,7 +177,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     rest = open_links(star, parts, sets, min_percent)
     final = written(components(_as_links(parts).unionByName(rest).unionByName(id_links)), "near-parts")
-    for df in (centres, members, sets, star, parts):
+    for df in (centres, members, ids, sets, star, parts):
         drop(df)
 
     by_class = classes.select("hi", "lo", "id").join(final.withColumnRenamed("node", "id"), "id", "left").select(
@@ -265,11 +262,12 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The rows of ``docs``, all columns, without those that ``near_duplicates``
     does not keep; of rows with one id and text one stays."""
     marks = near_duplicates(docs, id_col, text_col, **options)
-    gone = written(marks.filter(~F.col("kept")).select(id_col).distinct(), "near-gone")
-    few = gone.count() <= BROADCAST_IDS
-    left = docs.join(F.broadcast(gone) if few else gone, id_col, "left_anti")
-    again = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1")
+    gone = written(marks.filter(~F.col("kept")).select(F.col(id_col).alias("id")).distinct(), "near-gone")
+    rows = docs.select(F.col(id_col).alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    left = rows.join(if_small(gone), "id", "left_anti")
+    again = rows.filter("id is not null").groupBy("id").count().filter("count > 1")
     if not again.isEmpty():
-        left = (left.withColumn("__text", F.xxhash64(text_col)).withColumn("__null", F.when(F.col(id_col).isNull(), F.monotonically_increasing_id()))
-                .dropDuplicates([id_col, "__text", "__null"]).drop("__text", "__null"))
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+        left = (left.withColumn("hash", F.xxhash64(F.col("row").getField(text_col)))
+                .withColumn("none", F.when(F.col("id").isNull(), F.monotonically_increasing_id()))
+                .dropDuplicates(["id", "hash", "none"]))
+    return left.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,9 +42,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+#: Parquet bytes of a written table up to which a join may broadcast it.
+BROADCAST_BYTES = 4 << 20
+
+
+def _file_system(df: DataFrame):
+    spark, path = df.sparkSession, getattr(df, "_stage_path", None)
+    if not path:
+        return None, None
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def if_small(df: DataFrame) -> DataFrame:
+    """A table made by ``written`` for use on one side of a join: broadcast if its
+    files hold at most ``BROADCAST_BYTES``, else joined as Spark chooses."""
+    fs, p = _file_system(df)
+    return F.broadcast(df) if fs and fs.getContentSummary(p).getLength() <= BROADCAST_BYTES else df
+
+
 def drop(df: DataFrame) -> None:
     """Delete a table made by ``written`` that nothing reads any more."""
-    spark, path = df.sparkSession, getattr(df, "_stage_path", None)
-    if path:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = _file_system(df)
+    if fs:
+        fs.delete(p, True)

@@ -25,10 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.llm import bloom
 from riskloom.llm import textbatch as tb
 from riskloom.llm.components import components
-from riskloom.llm.neardup import BROADCAST_IDS, _as_links, band_keys, open_links, verified
-from riskloom.llm.store import drop, written
+from riskloom.llm.neardup import _as_links, band_keys, open_links, verified
+from riskloom.llm.store import drop, if_small, written
 
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
@@ -146,19 +147,24 @@ def _line_table(part: pa.RecordBatch, words, min_words: int):
 _OCCURRENCE = "kind int, hi bigint, lo bigint, id {t}, key bigint, first int, last int"
 
 
-def occurrences(docs: DataFrame, unit_words: int, winnow: int, min_words: int, kinds: tuple = ()) -> DataFrame:
+def occurrences(docs: DataFrame, unit_words: int, winnow: int, min_words: int, kinds: tuple = (),
+                only: np.ndarray | None = None) -> DataFrame:
     """(kind, hi, lo, id, key, first, last): anchored paragraphs and lines of
-    ``docs`` (id, key, text) by fingerprint; first and last are byte offsets."""
+    ``docs`` (id, key, text) by fingerprint; first and last are byte offsets. With
+    ``only``, a Bloom filter of wanted ``hi``, tasks leave others out."""
     kinds = kinds or (UNIT, LINE)
 
+    def some(rows: pa.RecordBatch) -> pa.RecordBatch:
+        return rows if only is None else rows.filter(pa.array(bloom.test(only, rows.column(1).to_numpy())))
+
     def run(batches):
         for batch in batches:
             for part in tb.slices(batch, "text"):
                 words = _words(part.column(2))
                 if UNIT in kinds:
-                    yield _unit_table(part, words, unit_words, winnow)
+                    yield some(_unit_table(part, words, unit_words, winnow))
                 if LINE in kinds:
-                    yield _line_table(part, words, min_words)[0]
+                    yield some(_line_table(part, words, min_words)[0])
 
     return docs.mapInArrow(run, _OCCURRENCE.format(t=docs.schema["id"].dataType.simpleString()))
 
@@ -167,9 +173,10 @@ def lines(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
     """Lines as ``occurrences`` gives them, with set size ``n`` and MinHash band ``keys``.
 
     The shingles are hashes already; a hash function of the signature is a xor
-    with a seed of its own and a multiplication.
+    with a seed of its own and a multiplication by an odd number, in 32 bits.
     """
     seeds = tb.mix(np.arange(1, bands * rows + 1, dtype=np.uint64))
+    seeds = list(zip(seeds.astype(np.uint32), (seeds >> np.uint64(32)).astype(np.uint32) | np.uint32(1)))
 
     def run(batches):
         for batch in batches:
@@ -177,7 +184,8 @@ def lines(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
                 table, sh, begin = _line_table(part, _words(part.column(2)), min_words)
                 if table.num_rows == 0:
                     continue
-                sig = np.stack([np.minimum.reduceat((sh ^ seed) * tb.MIX_A, begin) for seed in seeds], axis=1)
+                low = (sh >> np.uint64(32)).astype(np.uint32)
+                sig = np.stack([np.minimum.reduceat((low ^ seed) * odd, begin) for seed, odd in seeds], axis=1).astype(np.uint64)
                 keys = [band_keys(x, bands, rows).view(np.int64) for x in sig]
                 yield pa.RecordBatch.from_arrays(
                     [*table.columns, pa.array(np.diff(np.append(begin, len(sh)))), pa.array(keys, pa.list_(pa.int64()))],
@@ -188,8 +196,8 @@ def lines(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(id, s): shingle sets of the lines ``wanted`` (cid, key, first, last)."""
-    per_doc = wanted.groupBy("key").agg(F.collect_list(F.struct("cid", "first", "last")).alias("spans"))
-    few = wanted.count() <= BROADCAST_IDS
+    per_doc = written(wanted.groupBy(F.col("id").alias("of"), F.col("key").alias("text_key")).agg(
+        F.collect_list(F.struct("cid", "first", "last")).alias("spans")), "line-places")
 
     def run(batches):
         for batch in batches:
@@ -204,7 +212,8 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                      pa.array([np.unique(sh[at[i]:at[i + 1]]).view(np.int64) for i in range(len(spans))],
                               pa.list_(pa.int64()))], names=["id", "s"])
 
-    return (docs.select("key", "text").join(F.broadcast(per_doc) if few else per_doc, "key").select("text", "spans")
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("text_key"))
+    return (docs.join(if_small(per_doc), same).select("text", "spans")
             .mapInArrow(run, "id string, s array<bigint>").dropDuplicates(["id"]))
 
 
@@ -220,7 +229,7 @@ def _similar_lines(docs: DataFrame, min_words: int, min_percent: int, bands: int
                       .filter("c > 1").select("key", "centre"), "line-centres")
     members = written(spread.join(centres, "key"), "line-members")
     wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select(
-        F.col("id").alias("cid"), "m.key", "m.first", "m.last")
+        F.col("id").alias("cid"), "m.id", "m.key", "m.first", "m.last")
     sets = written(_sets(docs, wanted), "line-sets")
     star = written(verified(members.filter("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct(),
                             sets), "line-stars")
@@ -245,19 +254,17 @@ def _resolved(found: DataFrame, groups: DataFrame) -> DataFrame:
     Lines go first: of a unit, the first occurrence outside the lines that go
     stays, and where there is none, the first one.
     """
-    few = groups.count() <= BROADCAST_IDS
-    occ = written(found.join(F.broadcast(groups) if few else groups, ["kind", "hi", "lo"]), "repeated-occurrences")
-    staying = (F.col("key") == F.col("stay.key")) & (F.col("first") == F.col("stay.first"))
+    occ = written(found.join(if_small(groups), ["kind", "hi", "lo"]), "repeated-occurrences")
+    staying = F.col("id").eqNullSafe(F.col("stay.id")) & (F.col("key") == F.col("stay.key")) & (F.col("first") == F.col("stay.first"))
     # lines of a document don't overlap: the last one to begin before a unit's end reaches furthest
-    w = Window.partitionBy("key").orderBy(F.when(F.col("kind") == LINE, F.col("first")).otherwise(F.col("last") - 1))
+    w = Window.partitionBy("id", "key").orderBy(F.when(F.col("kind") == LINE, F.col("first")).otherwise(F.col("last") - 1))
     reach = F.max(F.when((F.col("kind") == LINE) & ~staying, F.col("last"))).over(w)
     moved = written(
         occ.withColumn("cut", F.coalesce(reach > F.col("first"), F.lit(False))).filter(F.col("kind") == UNIT)
         .groupBy("kind", "hi", "lo").agg(F.min(F.struct("cut", "id", "key", "first")).alias("m"), F.min("stay").alias("stay"))
-        .filter((F.col("m.key") != F.col("stay.key")) | (F.col("m.first") != F.col("stay.first")))
+        .filter(~F.col("m.id").eqNullSafe(F.col("stay.id")) | (F.col("m.key") != F.col("stay.key")) | (F.col("m.first") != F.col("stay.first")))
         .select("kind", "hi", "lo", F.struct("m.id", "m.key", "m.first").alias("other")), "moved-stays")
-    few = moved.count() <= BROADCAST_IDS
-    occ = occ.join(F.broadcast(moved) if few else moved, ["kind", "hi", "lo"], "left").withColumn(
+    occ = occ.join(if_small(moved), ["kind", "hi", "lo"], "left").withColumn(
         "stay", F.coalesce("other", "stay"))
     return occ.filter(~staying | (F.col("kind") == UNIT)).select(
         "id", "key", "first", "last", F.col("stay.id").alias("kept_id"), staying.alias("stays"))
@@ -300,8 +307,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                           F.count(F.lit(1)).alias("c"))
     groups = written(first.filter("c > 1").select(F.lit(UNIT).alias("kind"), "hi", "lo", "stay"), "unit-groups")
     near = _similar_lines(src, min_line_words, min_percent, bands_for(min_percent / 100, rows, recall), rows)
-    # one more pass over the texts finds the occurrences of both kinds
-    again = _resolved(occurrences(src, unit_words, winnow, min_line_words), groups.unionByName(near))
+    # one more pass over the texts finds the occurrences of both kinds; few of all paragraphs are repeated
+    both = written(groups.unionByName(near), "repeated-groups")
+    only = bloom.build(both, "hi")
+    again = _resolved(occurrences(src, unit_words, winnow, min_line_words, only=only), both)
     spans = again.groupBy("id", "key").agg(
         F.sort_array(F.collect_set(F.struct("first", "last", "kept_id", "stays"))).alias("spans")).filter(
         F.exists("spans", lambda x: ~x["stays"]))
@@ -347,17 +356,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` without the passages of ``repeated_spans``: all columns, the text
     cut; a document left without a word goes. Documents without such a passage
     are returned as they are, null texts included."""
-    spans = written(repeated_spans(docs, id_col, text_col, **options), "repeated-spans")
-    per_doc = spans.groupBy("text_key").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("__spans"))
-    few = spans.count() <= BROADCAST_IDS
-    keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))))
-    per_doc = per_doc.withColumnRenamed("text_key", "__key")
-    both = keyed.join(F.broadcast(per_doc) if few else per_doc, "__key", "left")
+    per_doc = written(repeated_spans(docs, id_col, text_col, **options).groupBy(F.col(id_col).alias("of"), "text_key").agg(
+        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans")), "repeated-spans")
+    text = F.col("row").getField(text_col)
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("id", F.col("row").getField(id_col)).withColumn("key", F.xxhash64("id", F.coalesce(text, F.lit(""))))
+    both = keyed.join(if_small(per_doc), F.col("id").eqNullSafe(F.col("of")) & (F.col("key") == F.col("text_key")), "left")
     # what lies before, between and behind the cut passages, by bytes
-    raw = F.encode(F.col(text_col), "UTF-8")
-    starts = F.concat(F.array(F.lit(0)), F.transform("__spans", lambda x: x["stop"]))
-    stops = F.concat(F.transform("__spans", lambda x: x["start"]), F.array(F.octet_length(text_col)))
+    raw = F.encode(text, "UTF-8")
+    starts = F.concat(F.array(F.lit(0)), F.transform("spans", lambda x: x["stop"]))
+    stops = F.concat(F.transform("spans", lambda x: x["start"]), F.array(F.octet_length(text)))
     parts = F.zip_with(starts, stops, lambda a, b: F.decode(F.substring(raw, a + 1, b - a), "UTF-8"))
-    cut = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(F.array_join(parts, ""))
-    out = both.withColumn("__cut", cut).filter(F.col("__spans").isNull() | F.col("__cut").rlike(r"[^\x20\x09-\x0D]"))
-    return out.select(*[F.col("__cut").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    cut = F.when(F.col("spans").isNull(), text).otherwise(F.array_join(parts, ""))
+    out = both.withColumn("cut", cut).filter(F.col("spans").isNull() | F.col("cut").rlike(r"[^\x20\x09-\x0D]"))
+    return out.select(*[F.col("cut").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -162,6 +162,13 @@ def test_warc_round_trip(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
     every = warc.round_trip(df, min_revisit_bytes=10).filter("payload_bytes < 10").collect()
     assert {r["record_type"] for r in every} == {"response"}
+    # rows are named alike in whatever order they come
+    plain = Counter(tuple(r) for r in warc.round_trip(df).collect())
+    hot = df.unionByName(df.filter("page_id > 99"))
+    assert Counter(tuple(r) for r in warc.round_trip(df.repartition(7)).collect()) == plain
+    assert Counter(tuple(r) for r in warc.round_trip(df.repartition(5, "html")).collect()) == plain
+    twice = warc.round_trip(hot.repartition(7)).filter("page_id > 99").groupBy("record_type").count().collect()
+    assert {r[0]: r[1] for r in twice} == {"response": 1, "revisit": 99}
 
 
 def test_warc_faults_are_found():
@@ -320,3 +327,18 @@ def test_staying_passages_are_not_cut():
     spans = [{"first": 0, "last": 30, "kept_id": 1}, {"first": 20, "last": 50, "kept_id": 2}, {"first": 90, "last": 99, "kept_id": 3}]
     assert substring._outside(spans, [(5, 10), (25, 40), (60, 95)]) == [
         (0, 5, 1), (10, 25, 1), (20, 25, 2), (40, 50, 2), (95, 99, 3)]
+
+
+def test_columns_with_clashing_names_come_back_as_they_were(spark):
+    words = [f"w{i}" for i in range(70)]
+    a, b = " ".join(words), "own " + " ".join(words) + " tail"
+    rows = [(1, a), (2, b), (3, a), (1, "other text of one id"), (1, a), (None, a)]
+    names = ["__spans", "__key", "row", "spans", "cut", "id", "hash", "of", "__text"]
+    df = spark.createDataFrame([(i, t, *[f"{c}{k}" for c in names]) for k, (i, t) in enumerate(rows)],
+                               "doc_id long, text string, " + ", ".join(f"{c} string" for c in names))
+    cut = substring.remove_repeats(df).collect()
+    assert cut and all(r[c].startswith(c) and len({r[c][len(c):] for c in names}) == 1 for r in cut for c in names)
+    assert sum((r["text"] or "").count(a) for r in cut) == 1
+    kept = neardup.first_of_each(df).collect()
+    assert all(r[c].startswith(c) for r in kept for c in names)
+    assert Counter(r["doc_id"] for r in kept) == {1: 2, None: 1}
