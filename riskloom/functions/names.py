@@ -7,7 +7,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Characters replaced by "_" in the light mode, in this order.
 LIGHT_REPLACED = ["[", "]", "<", ">", " ", "/", ","]
@@ -63,6 +64,15 @@ def clean_names(names: list[str], mode: str = "light") -> list[str]:
     return out
 
 
+def clean_text(column: Column, mode: str = "light") -> Column:
+    """The same rules for a column of names (``light`` and ``strict``)."""
+    if mode == "light":
+        return F.translate(column, "".join(LIGHT_REPLACED), "_" * len(LIGHT_REPLACED))
+    if mode == "strict":
+        return F.trim(F.regexp_replace(F.regexp_replace(column, _STRICT_BAD.pattern, "_"), _UNDERSCORES.pattern, "_"), F.lit("_"))
+    raise ValueError(f"unknown mode {mode!r}")
+
+
 def check_unique(names: list[str]) -> None:
     dupes = sorted({n for n in names if names.count(n) > 1})
     if dupes:

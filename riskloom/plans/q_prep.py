@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.functions.names import clean_names
+from riskloom.functions.names import clean_names, clean_text
 from riskloom.functions.nulls import (bools_to_int_all, ieee_ratio, not_equal_keep_null,
                                       replace_inf_all)
 from riskloom.operators import onehot
@@ -258,6 +258,20 @@ def features_target(spark, sf):
                      "BURO_CREDIT_COUNT")
 
 
+@register("clean_category_names", r"""
+WITH n AS (SELECT 'PREV_' || p_type || ' <' || p_brand || '>, [' || p_name || ']/MEAN' AS original, count(*) AS n FROM part GROUP BY 1)
+SELECT original, n, regexp_replace(original, '[][<> /,]', '_', 'g') AS light,
+       trim(regexp_replace(regexp_replace(original, '[^A-Za-z0-9_]+', '_', 'g'), '_+', '_', 'g'), '_') AS strict
+FROM n""")
+def clean_category_names(spark, sf):
+    """Feature names made of category texts, cleaned in the light and the strict mode."""
+    parts = tb.read(spark, sf, "part")
+    name = F.concat(F.lit("PREV_"), "p_type", F.lit(" <"), "p_brand", F.lit(">, ["), "p_name", F.lit("]/MEAN"))
+    names = parts.groupBy(name.alias("original")).agg(F.count(F.lit(1)).alias("n"))
+    return names.select("original", "n", clean_text(F.col("original"), "light").alias("light"),
+                        clean_text(F.col("original"), "strict").alias("strict"))
+
+
 @register("clean_names")
 def clean_names_query(spark, sf):
     """Names of the final table (data-dependent: category text) in the three modes."""

@@ -43,6 +43,27 @@ def scan_csv_roundtrip(spark, sf):
     return finish(registry.load_raw_table(spark, raw_dir, "bureau"))
 
 
+MARKERS_SQL = ", ".join(f"'{m}'" for m in registry.MISSING_MARKERS)
+
+
+@register("scan_csv_text", f"""
+SELECT CAST(doc_id AS INTEGER) AS line, lang AS "Table", source AS "Row",
+       CASE WHEN text IN ({MARKERS_SQL}) THEN NULL ELSE text END AS "Description",
+       '"' || source || '", ""' || lang || '"' AS "Special"
+FROM documents""")
+def scan_csv_text(spark, sf):
+    """Documents written as the description table, in Latin-1, and read back through the
+    registry: whole texts with line breaks, accents, commas and quotes in their cells."""
+    raw_dir = _fresh_dir(spark, "raw")
+    docs = tb.read(spark, sf, "documents")
+    docs.select(F.col("doc_id").alias("Unnamed: 0"), F.col("lang").alias("Table"), F.col("source").alias("Row"),
+                F.col("text").alias("Description"),
+                F.concat(F.lit('"'), "source", F.lit('", ""'), "lang", F.lit('"')).alias("Special")).write.options(
+        header="true", escape='"', encoding="ISO-8859-1", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(
+        f"{raw_dir}/{registry.RAW_TABLES['columns_description'].file_name}")
+    return registry.load_raw_table(spark, raw_dir, "columns_description").withColumnRenamed("Unnamed: 0", "line")
+
+
 @register("limit_scan", with_ctes("bur") + "SELECT count(*) AS rows FROM (SELECT * FROM bur LIMIT 100) t")
 def limit_scan(spark, sf):
     """``nrows``-style scan: any 100 rows (no order promise), so only the count is checked."""

@@ -125,6 +125,10 @@ RAW_TABLES: dict[str, TableSpec] = {
 }
 
 
+#: Of the encodings tried after UTF-8 the first one that reads every file.
+FALLBACK_ENCODING = "ISO-8859-1"
+
+
 def missing_to_null(c: Column) -> Column:
     """NULL for the usual missing-value markers, else the text."""
     return F.when(~F.array_contains(F.array(*[F.lit(m) for m in MISSING_MARKERS]), c), c)
@@ -142,6 +146,18 @@ def parse_as(c: Column, dtype: T.DataType) -> Column:
     return c.try_cast(dtype.simpleString())
 
 
+def text_format(spark: SparkSession, path: str) -> dict[str, str]:
+    """Reader options that a CSV file needs, from one scan of its lines without parsing.
+
+    Text that is not valid UTF-8 is read as ``FALLBACK_ENCODING``, in which every byte is
+    a character. Lines with an odd number of quotes mean that a quoted field holds a line
+    break; only then are records read across lines, as such a file is read by one task.
+    """
+    quotes = F.octet_length("value") - F.octet_length(F.translate("value", '"', ""))
+    bad, odd = spark.read.text(path).agg(F.max(~F.is_valid_utf8("value")), F.max(quotes % 2 == 1)).first()
+    return {**({"encoding": FALLBACK_ENCODING} if bad else {}), **({"multiLine": "true"} if odd else {})}
+
+
 def load_raw_table(
     spark: SparkSession, raw_dir: str, key: str, nrows: int | None = None, check: bool = True
 ) -> DataFrame:
@@ -153,7 +169,8 @@ def load_raw_table(
     with the list of valid ones, a missing file or column raises before any job
     runs. ``check`` counts the values that can't be cast, in one pass, and raises
     with the counts; without it they are NULL. ``nrows`` is a plain ``limit`` (no
-    order promise).
+    order promise). Quoted fields may hold commas, doubled quotes and line breaks;
+    encoding and line breaks are found by ``text_format``.
     """
     if key not in RAW_TABLES:
         raise KeyError(f"unknown table {key!r}; valid keys: {sorted(RAW_TABLES)}")
@@ -161,8 +178,9 @@ def load_raw_table(
     path = f"{raw_dir.rstrip('/')}/{spec.file_name}"
     if not path_exists(spark, path):
         raise FileNotFoundError(path)
-    reader = spark.read.option("header", "true").option("inferSchema", "false")
-    for k, v in spec.options.items():
+    # quotes inside quotes are doubled, as other CSV readers and writers have it
+    reader = spark.read.option("header", "true").option("inferSchema", "false").option("escape", '"')
+    for k, v in {**text_format(spark, path), **spec.options}.items():
         reader = reader.option(k, v)
     raw = reader.csv(path)
     absent = [f.name for f in spec.schema.fields if f.name not in raw.columns]

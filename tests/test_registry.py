@@ -34,3 +34,24 @@ def test_nan_days_do_not_poison(spark):
 
     df = spark.createDataFrame([(float("nan"),), (None,), (-1.0,), (2.0,)], "d double")
     assert [r[0] for r in df.select(clamp_positive(F.col("d"))).collect()] == [0.0, 0.0, 0.0, 2.0]
+
+
+def test_quotes_line_breaks_and_encodings(spark, tmp_path):
+    head, rows = "Unnamed: 0,Table,Row,Description,Special\n", '1,t,r,"say ""hi"", ok",s\n2,t,r,"two\nlines, é",\n'
+    want = [(1, "t", "r", 'say "hi", ok', "s"), (2, "t", "r", "two\nlines, é", None)]
+    for name in ("utf-8", "latin-1"):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "bureau_balance.csv").write_bytes('SK_ID_BUREAU,MONTHS_BALANCE,STATUS\n1,2,"é, ""x"""\n3,4,"a\nb"\n'.encode(name))
+        got = registry.load_raw_table(spark, str(folder), "bureau_balance").collect()
+        assert sorted(tuple(r) for r in got) == [(1, 2, 'é, "x"'), (3, 4, "a\nb")]
+        assert set(registry.text_format(spark, str(folder))) == {"multiLine", *(["encoding"] if name == "latin-1" else [])}
+    (tmp_path / registry.RAW_TABLES["columns_description"].file_name).write_bytes((head + rows).encode("latin-1"))
+    assert sorted(tuple(r) for r in registry.load_raw_table(spark, str(tmp_path), "columns_description").collect()) == want
+
+
+def test_plain_files_stay_splittable(spark, tmp_path):
+    _write(tmp_path, ["SK_ID_BUREAU", "MONTHS_BALANCE", "STATUS"], [["1", "2", '"quoted, text"'], ["2", "3", "é"]])
+    assert registry.text_format(spark, str(tmp_path)) == {}
+    assert sorted(tuple(r) for r in registry.load_raw_table(spark, str(tmp_path), "bureau_balance").collect()) == [
+        (1, 2, "quoted, text"), (2, 3, "é")]
