@@ -13,9 +13,9 @@ Equal sets form one class. A class stays in only if, under each order in turn, i
 a prefix element with another class of a size that allows a link. What is left meets in
 the buckets of the first order; a pair is verified on the full sets only if its sizes
 allow the similarity and its prefixes meet under the other orders as well. In each
-bucket the classes are verified against the bucket's centre first; those that are
-still in another component are then compared with each other, by size band and in
-blocks of a bounded number of shingles. Components of the confirmed links are the
+bucket the classes are verified against the bucket's centre first; in buckets whose other
+classes are still in several components, those are compared with each other, in blocks
+of a bounded number of shingles. Components of the confirmed links are the
 result.
 """
 
@@ -331,10 +331,10 @@ def _star_links(close: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _compared(written(star.unionByName(heads), "join-stars"), sets, volume, percent)
 
 
-def bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) that give the components of all linked classes among those that
-    ``members`` (centre, cid, n, near) brings together: of any two classes of a centre
-    that link, both end up in one component."""
+def bucket_links(spread: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that give the components of all linked classes with a bucket of
+    ``spread`` (key, cid, n) in common; ``members`` (centre, cid, n, near) are the
+    classes of each bucket's centre."""
     close = members.filter("near")
     first = close.groupBy("cid").agg(F.min("centre").alias("centre"))
     links = written(_star_links(close.join(first, ["cid", "centre"], "left_semi"), sets, percent), "join-links")
@@ -349,31 +349,31 @@ def bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     links = written(tree.unionByName(_star_links(open_, sets, percent)), "join-links")
     parts = written(components(links), "join-parts")
 
-    yes, no = F.lit(True), F.lit(False)
-    # what the centre leaves apart, by size bands: sizes of a link differ by one band at most
+    # what is left in a bucket beside its centre, where it is in several components;
+    # of the buckets that hold the same classes one is enough
     part = parts.withColumnRenamed("node", "cid")
-    main = parts.select(F.col("node").alias("centre"), F.col("component").alias("main"))
-    band = _band(F.col("n"), percent)
-    around = members.select("centre", "cid", "n").join(part, "cid", "left").join(main, "centre", "left").select(
-        "centre", "cid", "n", F.coalesce("component", "cid").alias("part"), band.alias("band"),
-        (F.coalesce("component", "cid") != F.coalesce("main", "centre")).alias("out"))
-    around = written(around, "join-around")
-    few = around.groupBy("centre").agg(F.count(F.lit(1)).alias("c"), F.count_if("out").alias("o")).filter("o > 0 and c > 1")
-    around = around.join(few.select("centre"), "centre", "left_semi")
-    some = around.groupBy("centre", "band").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("bb"))
-    out = around.filter("out").select("centre", "cid", "n", "part", F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])).alias("band"))
-    asked = out.groupBy("centre", "band").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("pb"))
-    plan = some.join(asked, ["centre", "band"])                   # bands with classes and with probes
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    mine = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
-    cols = ["centre", "band", "cid", "n", "part"]
-    base = around.join(plan, ["centre", "band"]).select(*cols, mine("bb").alias("x"), every("pb").alias("y"), no.alias("probe"), yes.alias("base"))
-    probe = out.join(plan, ["centre", "band"]).select(*cols, mine("pb").alias("y"), every("bb").alias("x"), yes.alias("probe"), no.alias("base"))
-    rows = written(base.unionByName(probe).withColumn("blk", F.concat_ws("/", "band", "x", "y")).drop("band", "x", "y"), "join-blocks")
+    large = spread.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("cid").alias("centre")).filter("c > 2")
+    rest = spread.join(large.select("key", "centre"), "key").filter("cid != centre").join(part, "cid", "left").select(
+        "key", "cid", "n", F.coalesce("component", "cid").alias("part"))
+    rest = written(rest, "join-around")
+    same = F.sum(F.xxhash64("cid").cast("decimal(38,0)")).alias("same")
+    apart = rest.groupBy("key").agg(F.count(F.lit(1)).alias("c"), same, F.min("part").alias("main"), F.max("part").alias("last"),
+                                    F.sum("n").alias("total")).filter("main != last")
+    apart = apart.groupBy("same", "c").agg(F.min(F.struct("key", "main", "total")).alias("m")).select("m.*")
+    apart = written(apart.withColumn("blocks", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int")), "join-apart")
+    around = rest.join(if_small(apart), "key").select(F.col("key").alias("centre"), "cid", "n", "part", "blocks",
+                                                      (F.col("part") != F.col("main")).alias("out"))
+    yes, no = F.lit(True), F.lit(False)
+    mine, every = F.pmod(F.xxhash64("cid"), F.col("blocks")), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cols = ["centre", "cid", "n", "part"]
+    base = around.select(*cols, mine.alias("x"), every.alias("y"), no.alias("probe"), yes.alias("base"))
+    probe = around.filter("out").select(*cols, mine.alias("y"), every.alias("x"), yes.alias("probe"), no.alias("base"))
+    rows = written(base.unionByName(probe).withColumn("blk", (F.col("x") * F.lit(1 << 20) + F.col("y")).cast("bigint"))
+                   .drop("x", "y"), "join-blocks")
     volume = int(rows.agg(F.sum("n")).first()[0] or 0)
     more = written(_compared(rows, sets, volume, percent), "join-links")
     tree = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
-    for df in (links, around, rows):
+    for df in (links, rest, apart, rows):
         drop(df)
     return tree.unionByName(more)
 
@@ -414,7 +414,7 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       .select(F.col("c.cid").alias("centre"), "cid", "n", near.alias("near")).distinct(), "join-members")
     sets = full_sets(src, alive, words, min_percent, classes)
     sets = written(sets.dropDuplicates(["cid"]) if again else sets, "join-sets")
-    links = bucket_links(members, sets, min_percent)
+    links = bucket_links(spread, members, sets, min_percent)
     # an id with several texts links their classes
     twice = known.groupBy("id").agg(F.min("cid").alias("u"), F.max("cid").alias("w")).filter("u != w").select("id", "u")
     same = known.select("id", F.col("cid").alias("v")).join(twice, "id").select("u", "v")
