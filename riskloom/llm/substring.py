@@ -110,6 +110,18 @@ def _unit_table(part: pa.RecordBatch, words, unit_words: int, winnow: int) -> pa
                        e[first + unit_words - 1] - offs[doc[first]])
 
 
+def repeated_units(docs: DataFrame, unit_words: int, winnow: int) -> DataFrame:
+    """(kind, hi, lo) of the anchored paragraphs that occur twice and more in ``docs`` (id, key, text)."""
+
+    def run(batches):
+        for batch in batches:
+            for part in tb.slices(batch, "text"):
+                yield _unit_table(part, _words(part.column(2)), unit_words, winnow).select(["hi", "lo"])
+
+    prints = docs.mapInArrow(run, "hi bigint, lo bigint").groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("c"))
+    return prints.filter("c > 1").select(F.lit(UNIT).alias("kind"), "hi", "lo")
+
+
 def _occurrence(part, kind, hi, lo, doc, first, last) -> pa.RecordBatch:
     d = pa.array(doc)
     return pa.RecordBatch.from_arrays(
@@ -119,7 +131,9 @@ def _occurrence(part, kind, hi, lo, doc, first, last) -> pa.RecordBatch:
 
 
 def _line_table(part: pa.RecordBatch, words, min_words: int):
-    """(occurrences, shingles of all lines, first shingle of each line) of the longer lines."""
+    """(occurrences, shingles of all lines, first shingle of each line) of the longer
+    lines. A line's fingerprint sums over its shingles, repeated ones included; lines
+    equal as sets only have other fingerprints, but the same band keys."""
     data, offs, s, e, doc, h = words
     first, count = _line_groups(data, offs, s, doc)
     long = count >= max(min_words, SHINGLE_WORDS)
@@ -129,11 +143,6 @@ def _line_table(part: pa.RecordBatch, words, min_words: int):
     sh, pos = tb.shingle_hashes(h, line, SHINGLE_WORDS)
     inside = line[pos] >= 0
     sh, owner = sh[inside], line[pos[inside]]
-    order = np.lexsort((sh, owner))                            # sets: distinct shingles of a line
-    sh, owner = sh[order], owner[order]
-    keep = np.ones(len(sh), dtype=bool)
-    keep[1:] = (sh[1:] != sh[:-1]) | (owner[1:] != owner[:-1])
-    sh, owner = sh[keep], owner[keep]
     begin = np.searchsorted(owner, np.arange(len(first)))
     if len(first):
         hi = np.add.reduceat(tb.mix(sh), begin).view(np.int64)
@@ -170,7 +179,7 @@ def occurrences(docs: DataFrame, unit_words: int, winnow: int, min_words: int, k
 
 
 def lines(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
-    """Lines as ``occurrences`` gives them, with set size ``n`` and MinHash band ``keys``.
+    """Lines as ``occurrences`` gives them, with their MinHash band ``keys``.
 
     The shingles are hashes already; a hash function of the signature is a xor
     with a seed of its own and a multiplication by an odd number, in 32 bits.
@@ -187,11 +196,10 @@ def lines(docs: DataFrame, min_words: int, bands: int, rows: int) -> DataFrame:
                 low = (sh >> np.uint64(32)).astype(np.uint32)
                 sig = np.stack([np.minimum.reduceat((low ^ seed) * odd, begin) for seed, odd in seeds], axis=1).astype(np.uint64)
                 keys = [band_keys(x, bands, rows).view(np.int64) for x in sig]
-                yield pa.RecordBatch.from_arrays(
-                    [*table.columns, pa.array(np.diff(np.append(begin, len(sh)))), pa.array(keys, pa.list_(pa.int64()))],
-                    names=[*table.schema.names, "n", "keys"])
+                yield pa.RecordBatch.from_arrays([*table.columns, pa.array(keys, pa.list_(pa.int64()))],
+                                                 names=[*table.schema.names, "keys"])
 
-    return docs.mapInArrow(run, _OCCURRENCE.format(t=docs.schema["id"].dataType.simpleString()) + ", n bigint, keys array<bigint>")
+    return docs.mapInArrow(run, _OCCURRENCE.format(t=docs.schema["id"].dataType.simpleString()) + ", keys array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -221,10 +229,10 @@ def _similar_lines(docs: DataFrame, min_words: int, min_percent: int, bands: int
     """(kind, hi, lo, stay) of the lines that have a similar one; ``stay`` is the group's first."""
     found = lines(docs, min_words, bands, rows)
     mark = written(found.groupBy("hi", "lo").agg(F.min(F.struct("id", "key", "first", "last")).alias("m"),
-                                                 F.count(F.lit(1)).alias("c"), F.min("n").alias("n"), F.min("keys").alias("keys")),
+                                                 F.count(F.lit(1)).alias("c"), F.min("keys").alias("keys")),
                    "line-classes")
-    classes = mark.select(F.concat_ws("/", F.hex("hi"), F.hex("lo")).alias("id"), "n", "keys", "m", "hi", "lo", "c")
-    spread = classes.select("id", "n", F.explode("keys").alias("key"))
+    classes = mark.select(F.concat_ws("/", F.hex("hi"), F.hex("lo")).alias("id"), "keys", "m", "hi", "lo", "c")
+    spread = classes.select("id", F.explode("keys").alias("key"))
     centres = written(spread.groupBy("key").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("c"))
                       .filter("c > 1").select("key", "centre"), "line-centres")
     members = written(spread.join(centres, "key"), "line-members")
@@ -249,7 +257,8 @@ def _similar_lines(docs: DataFrame, min_words: int, min_percent: int, bands: int
 
 def _resolved(found: DataFrame, groups: DataFrame) -> DataFrame:
     """(id, key, first, last, kept_id, stays) of the occurrences in ``found`` that
-    go, and of the units that stay (``stays``), by their groups (kind, hi, lo, stay).
+    go, and of the units that stay (``stays``), by their groups (kind, hi, lo, and
+    ``stay`` of lines).
 
     Lines go first: of a unit, the first occurrence outside the lines that go
     stays, and where there is none, the first one.
@@ -259,13 +268,11 @@ def _resolved(found: DataFrame, groups: DataFrame) -> DataFrame:
     # lines of a document don't overlap: the last one to begin before a unit's end reaches furthest
     w = Window.partitionBy("id", "key").orderBy(F.when(F.col("kind") == LINE, F.col("first")).otherwise(F.col("last") - 1))
     reach = F.max(F.when((F.col("kind") == LINE) & ~staying, F.col("last"))).over(w)
-    moved = written(
+    units = written(
         occ.withColumn("cut", F.coalesce(reach > F.col("first"), F.lit(False))).filter(F.col("kind") == UNIT)
-        .groupBy("kind", "hi", "lo").agg(F.min(F.struct("cut", "id", "key", "first")).alias("m"), F.min("stay").alias("stay"))
-        .filter(~F.col("m.id").eqNullSafe(F.col("stay.id")) | (F.col("m.key") != F.col("stay.key")) | (F.col("m.first") != F.col("stay.first")))
-        .select("kind", "hi", "lo", F.struct("m.id", "m.key", "m.first").alias("other")), "moved-stays")
-    occ = occ.join(if_small(moved), ["kind", "hi", "lo"], "left").withColumn(
-        "stay", F.coalesce("other", "stay"))
+        .groupBy("kind", "hi", "lo").agg(F.min(F.struct("cut", "id", "key", "first")).alias("m"))
+        .select("kind", "hi", "lo", F.struct("m.id", "m.key", "m.first").alias("unit")), "unit-stays")
+    occ = occ.join(if_small(units), ["kind", "hi", "lo"], "left").withColumn("stay", F.coalesce("unit", "stay"))
     return occ.filter(~staying | (F.col("kind") == UNIT)).select(
         "id", "key", "first", "last", F.col("stay.id").alias("kept_id"), staying.alias("stays"))
 
@@ -302,15 +309,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     not read. ``text_key`` identifies the row: xxhash64 of id and text.
     """
     src = _keyed(docs, id_col, text_col)
-    plain = occurrences(src, unit_words, winnow, min_line_words, (UNIT,))
-    first = plain.groupBy("hi", "lo").agg(F.min(F.struct("id", "key", "first")).alias("stay"),
-                                          F.count(F.lit(1)).alias("c"))
-    groups = written(first.filter("c > 1").select(F.lit(UNIT).alias("kind"), "hi", "lo", "stay"), "unit-groups")
+    groups = written(repeated_units(src, unit_words, winnow), "unit-groups")
     near = _similar_lines(src, min_line_words, min_percent, bands_for(min_percent / 100, rows, recall), rows)
     # one more pass over the texts finds the occurrences of both kinds; few of all paragraphs are repeated
-    both = written(groups.unionByName(near), "repeated-groups")
+    both = written(groups.unionByName(near, allowMissingColumns=True), "repeated-groups")
     only = bloom.build(both, "hi")
     again = _resolved(occurrences(src, unit_words, winnow, min_line_words, only=only), both)
+    for df in (groups, near):
+        drop(df)
     spans = again.groupBy("id", "key").agg(
         F.sort_array(F.collect_set(F.struct("first", "last", "kept_id", "stays"))).alias("spans")).filter(
         F.exists("spans", lambda x: ~x["stays"]))
