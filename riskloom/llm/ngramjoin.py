@@ -15,8 +15,9 @@ the buckets of the first order; a pair is verified on the full sets only if its
 allow the similarity and its prefixes meet under the other orders as well. In each
 bucket the classes are verified against the bucket's centre first; those that are
 still in another component are then compared with each other, by size band and in
-blocks of a bounded number of shingles. Components of the confirmed links are the
-result.
+blocks of a bounded number of shingles. Prefixes meet first; full sets go only to the
+classes that have a partner whose prefixes they meet under all orders. Components of
+the confirmed links are the result.
 """
 
 from __future__ import annotations
@@ -200,11 +201,16 @@ def other_prefixes(docs: DataFrame, wanted: DataFrame, words: int, percent: int,
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int, percent: int, classes) -> DataFrame:
-    """(cid, s, p1, p2): whole sets of the classes ``wanted`` (cid, id), and their
-    prefixes under the first two orders (that under the third begins ``s``)."""
+    """(cid, n, s, p1, p2, p3): whole sets of the classes ``wanted`` (cid, id), and
+    their prefixes under the three orders."""
     p1, p2 = _first_prefix(classes, percent), _second_prefix(classes, percent)
-    return _of_classes(docs, wanted, words, "cid binary, s array<bigint>, p1 array<bigint>, p2 array<bigint>",
-                       lambda offs, sh, of: (_lists(offs, sh), p1(offs, sh, of), p2(offs, sh)))
+
+    def columns(offs, sh, of):
+        p3 = _lists(*prefix(offs, sh, np.zeros(len(sh), np.uint8), percent))
+        return pa.array(np.diff(offs)), _lists(offs, sh), p1(offs, sh, of), p2(offs, sh), p3
+
+    return _of_classes(docs, wanted, words, "cid binary, n bigint, s array<bigint>, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>",
+                       columns)
 
 
 class _Sets:
@@ -221,58 +227,102 @@ class _Sets:
         lo, hi = np.searchsorted(self.flat, values, "left"), np.searchsorted(self.flat, values, "right")
         return np.bincount(self.owner[tb.ragged(lo, hi - lo)], minlength=self.n)
 
+    def upto(self, value: int) -> np.ndarray:
+        return np.bincount(self.owner[:np.searchsorted(self.flat, value, "right")], minlength=self.n)
 
-def _links(probe: list[int], base: list[int], part: list, sets: tuple, percent: int):
-    """(probe, base) rows that link, of those in different components."""
-    s, p1, p2 = sets
-    p3 = [x[:prefix_length(len(x), percent)] for x in s]
-    size = np.array([len(s[b]) for b in base])
-    code = {p: k for k, p in enumerate(dict.fromkeys(part[b] for b in base))}
-    own = np.array([code[part[b]] for b in base])
-    orders = [_Sets([p[b] for b in base]) for p in (p1, p2, p3)]
-    whole = None
-    for k in probe:
-        n = len(s[k])
-        can = (100 * np.minimum(size, n) >= percent * np.maximum(size, n)) & (own != code.get(part[k], -1))
-        for p, order in zip((p1, p2, p3), orders):
-            if not can.any():
-                break
-            can &= order.shared(p[k]) > 0
-        else:
-            if not can.any():
-                continue
-            if whole is None:
-                whole = _Sets([s[b] for b in base])
-            inter = whole.shared(s[k])
-            for x in np.flatnonzero(can & (100 * inter >= percent * (size + n - inter))).tolist():
-                yield k, base[x]
 
+def _sized(size: np.ndarray, n: int, percent: int) -> np.ndarray:
+    return 100 * np.minimum(size, n) >= percent * np.maximum(size, n)
 
-def _compare(table: pa.Table, percent: int) -> pa.Table:
-    """Links (u, v) of the groups (centre, blk) in ``table``: probes against the rest."""
+
+def _groups(table: pa.Table):
+    """Table sorted by group (centre, blk) and class, (probes, base) rows of each group
+    that has both, and a number for each row's component."""
     table = table.sort_by([(c, "ascending") for c in ("centre", "blk", "cid")])
-    cid, part = (table.column(c).to_pylist() for c in ("cid", "part"))
     group = list(zip(table.column("centre").to_pylist(), table.column("blk").to_pylist()))
-    probe, base = (table.column(c).to_pylist() for c in ("probe", "base"))
-    sets = tuple([np.asarray(x, dtype=np.int64) for x in table.column(c).to_numpy()] for c in ("s", "p1", "p2"))
-    found, at = [], 0
-    while at < len(group):
-        end = at
-        while end < len(group) and group[end] == group[at]:
-            end += 1
-        left, right = [k for k in range(at, end) if probe[k]], [k for k in range(at, end) if base[k]]
-        if left and right:
-            found += [(cid[a], cid[b]) for a, b in _links(left, right, part, sets, percent)]
-        at = end
+    probe, base = (np.array(table.column(c).to_pylist(), dtype=bool) for c in ("probe", "base"))
+    starts = [k for k in range(len(group)) if k == 0 or group[k] != group[k - 1]] + [len(group)]
+    sides = [(at + np.flatnonzero(probe[at:end]), at + np.flatnonzero(base[at:end])) for at, end in zip(starts, starts[1:])]
+    part = pc.dictionary_encode(table.column("part").combine_chunks()).indices.to_numpy().copy()
+    return table, [(p, b) for p, b in sides if len(p) and len(b)], part
+
+
+def _arrays(table: pa.Table, column: str) -> list[np.ndarray]:
+    return [np.asarray(x, dtype=np.int64) for x in table.column(column).to_numpy()]
+
+
+def _thin(table: pa.Table, percent: int) -> pa.Table:
+    """The rows of ``table`` with a partner of another component in their group whose size
+    allows a link and whose prefixes theirs meet under every order; ``probe`` and ``base``
+    say on which side.
+
+    Under the third order, where prefixes ascend, elements up to the smaller of both last
+    ones are in both prefixes or not shared: the intersection is at most what the prefixes
+    share and the fewer of the elements beyond, which has to be enough for a link."""
+    table, groups, part = _groups(table)
+    size = table.column("n").to_numpy()
+    prefixes = [_arrays(table, c) for c in ("p1", "p2", "p3")]
+    last = np.array([p[-1] for p in prefixes[2]], dtype=np.int64)
+    asks, asked = np.zeros(len(size), bool), np.zeros(len(size), bool)
+    for probe, base in groups:
+        orders = [_Sets([p[b] for b in base]) for p in prefixes]
+        for k in probe:
+            can = _sized(size[base], size[k], percent) & (part[base] != part[k])
+            for p, order in zip(prefixes, orders):
+                if not can.any():
+                    break
+                common = order.shared(p[k])
+                can &= common > 0
+            if can.any():
+                mine = np.searchsorted(prefixes[2][k], last[base], "right")
+                beyond = np.minimum(size[k] - mine, size[base] - orders[2].upto(last[k]))
+                can &= (100 + percent) * (common + beyond) >= percent * (size[k] + size[base])
+            asks[k] = can.any()
+            asked[base] |= can
+    out = table.select(["centre", "blk", "cid", "n", "part"]).append_column("probe", pa.array(asks)).append_column("base", pa.array(asked))
+    return out.filter(pa.array(asks | asked))
+
+
+def _compare(table: pa.Table, percent: int) -> pa.Table:
+    """Links (u, v) of the groups in ``table``: probes against the rest, by full sets.
+    Classes linked on the way are one component from then on."""
+    table, groups, part = _groups(table)
+    cid, sets = table.column("cid").to_pylist(), _arrays(table, "s")
+    size = np.array([len(x) for x in sets])
+    found = []
+    for probe, base in groups:
+        whole = None
+        for k in probe:
+            can = _sized(size[base], size[k], percent) & (part[base] != part[k])
+            if not can.any():
+                continue
+            whole = whole or _Sets([sets[b] for b in base])
+            inter = whole.shared(sets[k])
+            for b in base[can & (100 * inter >= percent * (size[base] + size[k] - inter))]:
+                if part[b] != part[k]:
+                    found.append((cid[k], cid[b]))
+                    part[part == part[b]] = part[k]
     return pa.table({"u": pa.array([x[0] for x in found], pa.binary()), "v": pa.array([x[1] for x in found], pa.binary())})
 
 
-def _compared(rows: DataFrame, sets: DataFrame, shingles: int, percent: int) -> DataFrame:
-    """Links of ``rows`` (centre, blk, cid, part, probe, base); groups are dealt into
-    buckets of some ``BUCKET_SHINGLES``, each group whole."""
+def _dealt(rows: DataFrame, sets: DataFrame, shingles: int):
+    """``rows`` with columns of their classes; groups are dealt into buckets of some
+    ``BUCKET_SHINGLES``, each group whole."""
     buckets = max(1, shingles // BUCKET_SHINGLES)
     both = sets.join(if_small(rows), "cid").withColumn("bucket", F.pmod(F.xxhash64("centre", "blk"), F.lit(buckets)))
-    return both.groupBy("bucket").applyInArrow(lambda table: _compare(table, percent), "u binary, v binary")
+    return both.groupBy("bucket")
+
+
+def _compared(rows: DataFrame, sets: DataFrame, shingles: int, percent: int) -> DataFrame:
+    """Links of ``rows`` (centre, blk, cid, part, probe, base), whose classes have
+    ``shingles`` in all: by prefixes first, then by the full sets of what is left."""
+    near = _dealt(rows, sets.select("cid", "n", "p1", "p2", "p3"), 3 * shingles * (100 - percent) // 100).applyInArrow(
+        lambda table: _thin(table, percent),
+        "centre binary, blk string, cid binary, n bigint, part binary, probe boolean, base boolean")
+    near = written(near, "join-near")
+    left = int(near.agg(F.sum("n")).first()[0] or 0)
+    return _dealt(near, sets.select("cid", "s"), left).applyInArrow(
+        lambda table: _compare(table, percent), "u binary, v binary")
 
 
 def _bucket_keys(percent: int) -> tuple:
@@ -323,9 +373,9 @@ def _star_links(close: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     total = close.groupBy("centre").agg(F.sum("n").alias("total"))
     blocks = F.ceil(F.col("total") / BLOCK_SHINGLES)
     star = close.join(total, "centre").select(
-        "centre", F.pmod(F.xxhash64("cid"), blocks).cast("int").alias("blk"), "cid", F.col("cid").alias("part"),
+        "centre", F.pmod(F.xxhash64("cid"), blocks).cast("string").alias("blk"), "cid", F.col("cid").alias("part"),
         no.alias("probe"), yes.alias("base"))
-    heads = total.select("centre", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("blk"),
+    heads = total.select("centre", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int")).cast("array<string>")).alias("blk"),
                          F.col("centre").alias("cid"), F.col("centre").alias("part"), yes.alias("probe"), no.alias("base"))
     volume = int(close.agg(F.sum("n")).first()[0] or 0)
     return _compared(written(star.unionByName(heads), "join-stars"), sets, volume, percent)
@@ -369,8 +419,8 @@ def bucket_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     cols = ["centre", "band", "cid", "n", "part"]
     base = around.join(plan, ["centre", "band"]).select(*cols, mine("bb").alias("x"), every("pb").alias("y"), no.alias("probe"), yes.alias("base"))
     probe = out.join(plan, ["centre", "band"]).select(*cols, mine("pb").alias("y"), every("bb").alias("x"), yes.alias("probe"), no.alias("base"))
-    rows = written(base.unionByName(probe).withColumn("blk", F.concat_ws("/", "band", "x", "y")).drop("band", "x", "y"), "join-blocks")
-    volume = int(rows.agg(F.sum("n")).first()[0] or 0)
+    rows = written(base.unionByName(probe).withColumn("blk", F.concat_ws("/", "band", "x", "y")).drop("band", "x", "y").withColumnRenamed("n", "weight"), "join-blocks")
+    volume = int(rows.agg(F.sum("weight")).first()[0] or 0)
     more = written(_compared(rows, sets, volume, percent), "join-links")
     tree = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
     for df in (links, around, rows):
@@ -412,7 +462,9 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         drop(df)
     members = written(spread.join(centres, "key").filter(F.col("cid") != F.col("c.cid")).filter((F.col("k") > 2) | near)
                       .select(F.col("c.cid").alias("centre"), "cid", "n", near.alias("near")).distinct(), "join-members")
-    sets = full_sets(src, alive, words, min_percent, classes)
+    met = members.select("cid").unionByName(members.select(F.col("centre").alias("cid"))).distinct()
+    met = written(alive.join(met, "cid", "left_semi"), "join-met")
+    sets = full_sets(src, met, words, min_percent, classes)
     sets = written(sets.dropDuplicates(["cid"]) if again else sets, "join-sets")
     links = bucket_links(members, sets, min_percent)
     # an id with several texts links their classes
