@@ -8,7 +8,10 @@ rows only: seeded Spark ML fits are not reproducible in SQL.
 
 from __future__ import annotations
 
+import hashlib
 import time
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +23,8 @@ from riskloom.plans.catalog import finish, register
 from riskloom.plans.oracle import finish_sql
 from riskloom.plans.q_corr import prepared_train
 from riskloom.plans.q_prep import final_dataset_parts
-from riskloom.session import input_fingerprint, stage_path, stage_table
+from riskloom.plans.q_split import SAMPLE_ROWS
+from riskloom.session import code_fingerprint, filesystem, input_fingerprint, stage_path, stage_table
 
 ID, TARGET = "SK_ID_CURR", "TARGET"
 
@@ -136,8 +140,6 @@ def ml_pipeline(spark, sf):
     """Leak-free pipeline with the logistic settings (balanced weights, C = 1,
     population scaling): fitted on the fit rows, saved, loaded again and applied
     to the validation rows."""
-    import uuid
-
     _, fit, valid = holdout(spark, sf)
     path = f"{stage_path(spark, 'models')}/{uuid.uuid4().hex[:12]}"
     ml.fit_model(fit, feature_names(fit), ml.logistic_spec(), "label", seed=42).save(spark, path)
@@ -173,63 +175,95 @@ CV_METRICS = ["accuracy", "precision", "recall", "f1_score", "roc_auc", "busines
               "fn", "fp", "tp", "tn"]
 
 
-def _trials(df) -> list[dict]:
-    """Parameters, lowest mean cost over thresholds and its threshold of every trial on ``df`` (with folds)."""
+def search_folds(spark, sf):
+    """Folds of the reference's stratified sample of 80,000 rows (all rows, if fewer),
+    written as a table: searches read it many times, also after a lost executor."""
+    df = split.stratified_sample(modeling_train(spark, sf), "label", ID, SAMPLE_ROWS, seed=42)
+    return _written(spark, split.stratified_kfold(df, "label", ID, k=3, seed=42), "folds")
+
+
+def _written(spark, df, name):
+    path = f"{stage_path(spark, name)}/{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    return out
+
+
+def _drop(spark, df):
+    fs, path = filesystem(spark, df._stage_path)
+    fs.delete(path, True)
+
+
+def _trials(spark, df) -> list[dict]:
+    """Parameters, lowest mean cost over thresholds and its threshold of every trial on ``df`` (with folds).
+
+    Each trial's metrics by fold and threshold are a table of the journal, kept for the
+    same rows, parameters and code: a search that was broken off goes on where it
+    stood, and ``refit_best`` reads what ``hp_trials`` found.
+    """
     feats = feature_names(df)
-    medians = ml.fold_medians(df, feats)            # same folds in every trial
+    rows = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)]).cast("decimal(38,0)"))).first()
+    key = hashlib.sha1(f"{code_fingerprint()}|{sorted(df.columns)}|{tuple(rows)}".encode()).hexdigest()[:16]
 
-    def trial(p):
+    def build(p):
         t0 = time.time()
-        scored = ml.cross_validate(df, feats, _trial_spec(p), ID, medians_by_fold=medians)
-        best = ev.best_threshold(ev.threshold_curve(ev.threshold_sweep(scored, group_cols=["fold"]))).collect()[0]
-        return p | {"value": float(best["mean_business_cost"]), "best_threshold": float(best["threshold"]),
-                    "mean_roc_auc": float(best["mean_roc_auc"] or 0.0), "duration_sec": time.time() - t0}
+        scored = _written(spark, ml.cross_validate(df, feats, _trial_spec(p), ID), "trial-scores")
+        sweep = ev.threshold_sweep(scored, group_cols=["fold"])
+        by_fold = spark.createDataFrame(sweep.collect(), sweep.schema)        # folds x thresholds
+        _drop(spark, scored)
+        return by_fold.withColumn("duration_sec", F.lit(time.time() - t0))
 
-    from concurrent.futures import ThreadPoolExecutor
+    def trial(p):
+        name = hashlib.sha1(repr(sorted(p.items())).encode()).hexdigest()[:8]
+        sweep = stage_table(spark, f"trials/{key}", f"trial-{p['trial']}-{name}", lambda: build(p))
+        best = ev.best_threshold(ev.threshold_curve(sweep)).collect()[0]
+        return p | {"value": float(best["mean_business_cost"]), "best_threshold": float(best["threshold"]),
+                    "mean_roc_auc": float(best["mean_roc_auc"] or 0.0), "duration_sec": sweep.first()["duration_sec"]}
 
-    with ThreadPoolExecutor(max_workers=2) as pool:      # trials are independent Spark jobs
+    with ThreadPoolExecutor(max_workers=4) as pool:      # trials are independent Spark jobs
         return list(pool.map(trial, ml.sample_trial_params(N_TRIALS, seed=42)))
 
 
 def _trial_spec(p: dict) -> ml.ModelSpec:
-    return ml.gbt_spec(p["max_iter"], p["step"], p["depth"], p["min_rows"], p["subsample"], p["colsample"],
-                       p["weight_multiplier"])
+    return ml.depth_wise_spec(**{k: v for k, v in p.items() if k in ml.depth_wise_spec.__annotations__})
 
 
 @register("hp_trials")
 def hp_trials(spark, sf):
-    """Seeded boosting search: each trial = 3-fold CV + 17-threshold sweep;
-    value = lowest mean cost over thresholds."""
-    df = folds(spark, sf).cache()
+    """Seeded boosting search over ten parameters: each trial = 3-fold CV + 17-threshold
+    sweep; value = lowest mean cost over thresholds."""
+    df = search_folds(spark, sf)
     rows = [(t["trial"], t["value"], t["best_threshold"], t["mean_roc_auc"], t["duration_sec"], t["weight_multiplier"],
-             t["max_iter"], t["step"], t["depth"], t["min_rows"], t["subsample"], t["colsample"]) for t in _trials(df)]
-    df.unpersist()
+             t["rounds"], t["step"], t["depth"], t["min_weight"], t["subsample"], t["colsample"], t["gamma"], t["alpha"],
+             t["reg_lambda"]) for t in _trials(spark, df)]
+    _drop(spark, df)
     schema = T.StructType([T.StructField(n, t) for n, t in [
         ("number", T.IntegerType()), ("value", T.DoubleType()), ("best_threshold", T.DoubleType()),
         ("mean_roc_auc", T.DoubleType()), ("duration_sec", T.DoubleType()),
         ("params_weight_multiplier", T.DoubleType()), ("params_n_estimators", T.IntegerType()),
         ("params_learning_rate", T.DoubleType()), ("params_max_depth", T.IntegerType()),
-        ("params_min_rows", T.IntegerType()), ("params_subsample", T.DoubleType()),
-        ("params_colsample", T.DoubleType())]])
+        ("params_min_child_weight", T.IntegerType()), ("params_subsample", T.DoubleType()),
+        ("params_colsample", T.DoubleType()), ("params_gamma", T.DoubleType()),
+        ("params_reg_alpha", T.DoubleType()), ("params_reg_lambda", T.DoubleType())]])
     return spark.createDataFrame(rows, schema)
 
 
 @register("refit_best")
 def refit_best(spark, sf):
     """The best trial of the search (lowest value, then lowest number): validated
-    again on the folds, fitted on all rows, saved, loaded and applied to all rows.
-    Every row carries the trial and the lowest-cost threshold of its CV."""
-    import uuid
-
-    df = folds(spark, sf).cache()
+    again on the folds, fitted on all rows of the search, saved, loaded and applied to
+    all rows. Every row carries the trial and the lowest-cost threshold of its CV."""
+    df = search_folds(spark, sf)
     feats = feature_names(df)
-    best = min(_trials(df), key=lambda t: (t["value"], t["trial"]))
+    best = min(_trials(spark, df), key=lambda t: (t["value"], t["trial"]))
     spec = _trial_spec(best)
-    sweep = ev.threshold_sweep(ml.cross_validate(df, feats, spec, ID), group_cols=["fold"])
-    row = ev.best_threshold(ev.threshold_curve(sweep)).collect()[0]
+    checked = _written(spark, ml.cross_validate(df, feats, spec, ID), "trial-scores")
+    row = ev.best_threshold(ev.threshold_curve(ev.threshold_sweep(checked, group_cols=["fold"]))).collect()[0]
     path = f"{stage_path(spark, 'models')}/{uuid.uuid4().hex[:12]}"
     ml.fit_model(df, feats, spec, "label", seed=42).save(spark, path)
-    df.unpersist()
+    _drop(spark, checked)
+    _drop(spark, df)
     scored = ml.FittedModel.load(spark, path).score(modeling_train(spark, sf), ID, "label")
     threshold = float(row["threshold"])
     return scored.select("*", (F.col("score") >= F.lit(threshold)).cast("int").alias("prediction"),
@@ -239,16 +273,19 @@ def refit_best(spark, sf):
 
 @register("cv_comparison")
 def cv_comparison(spark, sf):
-    """Per fitted model family: mean and std over the 3 folds of every metric at
+    """Per fitted model family (five): mean and std over the 3 folds of every metric at
     0.5, refit per fold, sorted by mean cost."""
-    df = folds(spark, sf).cache()
+    df = search_folds(spark, sf)
     feats = feature_names(df)
     rows = []
-    for spec in (ml.logistic_spec(max_iter=500), ml.random_forest_spec(), ml.gbt_spec(), ml.mlp_spec(max_iter=50)):
-        bundle = ev.metric_bundle(ml.cross_validate(df, feats, spec, ID), 0.5, group_cols=["fold"])
+    for spec in (ml.logistic_spec(max_iter=500), ml.random_forest_spec(), ml.leaf_wise_spec(), ml.depth_wise_spec(),
+                 ml.mlp_spec(max_iter=50)):
+        scored = _written(spark, ml.cross_validate(df, feats, spec, ID), "cv-scores")
+        bundle = ev.metric_bundle(scored, 0.5, group_cols=["fold"])
         aggs = [a.alias(f"{p}_{x}") for x in CV_METRICS for p, a in (("mean", F.avg(x)), ("std", F.stddev_samp(x)))]
         rows.append((spec.name, *bundle.agg(*aggs).collect()[0]))
-    df.unpersist()
+        _drop(spark, scored)
+    _drop(spark, df)
     names = [f"{p}_{x}" for x in CV_METRICS for p in ("mean", "std")]
     table = spark.createDataFrame(rows, "model string, " + ", ".join(f"{n} double" for n in names))
     return finish(table.orderBy("mean_business_cost", "model"))
