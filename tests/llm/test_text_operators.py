@@ -101,6 +101,22 @@ def test_packing(spark, odd, none):
     assert len(docs[4]) == 2 and packing.pack_documents(none, BPE).count() == 0
 
 
+@pytest.mark.parametrize("tasks, merge_pieces", [(1, 1 << 18), (97, 1 << 18), (97, 16)])
+def test_sequences_do_not_grow_with_the_tasks(spark, tasks, merge_pieces):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rows = packing.pack_documents(docs.repartition(tasks, "doc_id"), BPE, merge_pieces=merge_pieces, with_ids=True).collect()
+    bins = {}
+    for r in rows:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        assert zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"]
+    for b in bins.values():
+        b.sort()
+        assert [o for o, _ in b] == [sum(n for _, n in b[:k]) for k in range(len(b))] and sum(n for _, n in b) <= 2048
+    assert len({(r["doc_id"], r["piece"]) for r in rows}) == len(rows) and {r["doc_id"] for r in rows} == {r["doc_id"] for r in docs.collect()}
+    least = -(-sum(r["length"] for r in rows) // 2048)
+    assert len(bins) <= (1.02 if merge_pieces > 16 else 1.1) * least + 1
+
+
 def test_best_fit_closes_the_fullest():
     b = packing.BestFit(10, 2)
     assert [b.put(n) for n in (6, 7, 3, 5, 5, 4)] == [(0, 0), (1, 0), (1, 7), (2, 0), (2, 5), (0, 6)]
