@@ -448,6 +448,12 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   "join-classes")
     # a class stays in if it shares a prefix element under each of the orders
     first = written(shared_prefixes(one, "p1", min_percent), "join-prefixes")
+    # prefixes are read no more: keep the narrow columns, free the rest
+    marked, led = rows, one
+    rows, one = written(marked.select("id", "cid", "n"), "join-ids"), written(led.select("cid", "id"), "join-leads")
+    known = rows.filter("cid is not null and id is not null")
+    drop(marked)
+    drop(led)
     asked = written(one.select("cid", "id").join(first.select("cid").distinct(), "cid", "left_semi"), "join-asked")
     again = not known.groupBy("id", "cid").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").isEmpty()
     others = other_prefixes(src, asked, words, min_percent, classes)
@@ -464,6 +470,8 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       .select(F.col("c.cid").alias("centre"), "cid", "n", near.alias("near")).distinct(), "join-members")
     met = members.select("cid").unionByName(members.select(F.col("centre").alias("cid"))).distinct()
     met = written(alive.join(met, "cid", "left_semi"), "join-met")
+    for df in (asked, alive, spread):
+        drop(df)
     sets = full_sets(src, met, words, min_percent, classes)
     sets = written(sets.dropDuplicates(["cid"]) if again else sets, "join-sets")
     links = bucket_links(members, sets, min_percent)

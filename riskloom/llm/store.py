@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,12 +32,32 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Spark setting that removes the shuffle files of an execution when it ends.
+_FREE_SHUFFLE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _freed_shuffle(spark: SparkSession):
+    """Executions inside leave no shuffle files behind: a written table is read from
+    its own files, so disk holds the shuffles of one write at a time."""
+    before = spark.conf.get(_FREE_SHUFFLE, None)
+    spark.conf.set(_FREE_SHUFFLE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLE)
+        else:
+            spark.conf.set(_FREE_SHUFFLE, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts the
     lineage, survives lost executors and is evaluated once."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with _freed_shuffle(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stage_path = path
     return out
