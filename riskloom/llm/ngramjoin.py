@@ -43,7 +43,7 @@ _SHIFT = np.uint64(64 - 15)
 #: Keeps the keys of neighbouring size bands apart; times any band it fits a bigint.
 BAND_STEP = 0x5851F42D4D
 #: Shingles on either side of a block, and in the groups that a task compares.
-BLOCK_SHINGLES = 1 << 19
+BLOCK_SHINGLES = 1 << 22
 BUCKET_SHINGLES = 1 << 20
 
 
@@ -200,16 +200,21 @@ def other_prefixes(docs: DataFrame, wanted: DataFrame, words: int, percent: int,
     return _of_classes(docs, wanted, words, "cid binary, n bigint, p2 array<bigint>, p3 array<bigint>", columns)
 
 
+def _short(lists: pa.Array) -> pa.Array:
+    """The upper halves of the elements, for filters that may only err by letting pass."""
+    return pa.ListArray.from_arrays(lists.offsets, pa.array((lists.values.to_numpy() >> 32).astype(np.int32)))
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame, words: int, percent: int, classes) -> DataFrame:
     """(cid, n, s, p1, p2, p3): whole sets of the classes ``wanted`` (cid, id), and
-    their prefixes under the three orders."""
+    the upper halves of their prefixes under the three orders."""
     p1, p2 = _first_prefix(classes, percent), _second_prefix(classes, percent)
 
     def columns(offs, sh, of):
         p3 = _lists(*prefix(offs, sh, np.zeros(len(sh), np.uint8), percent))
-        return pa.array(np.diff(offs)), _lists(offs, sh), p1(offs, sh, of), p2(offs, sh), p3
+        return pa.array(np.diff(offs)), _lists(offs, sh), _short(p1(offs, sh, of)), _short(p2(offs, sh)), _short(p3)
 
-    return _of_classes(docs, wanted, words, "cid binary, n bigint, s array<bigint>, p1 array<bigint>, p2 array<bigint>, p3 array<bigint>",
+    return _of_classes(docs, wanted, words, "cid binary, n bigint, s array<bigint>, p1 array<int>, p2 array<int>, p3 array<int>",
                        columns)
 
 
@@ -227,8 +232,8 @@ class _Sets:
         lo, hi = np.searchsorted(self.flat, values, "left"), np.searchsorted(self.flat, values, "right")
         return np.bincount(self.owner[tb.ragged(lo, hi - lo)], minlength=self.n)
 
-    def upto(self, value: int) -> np.ndarray:
-        return np.bincount(self.owner[:np.searchsorted(self.flat, value, "right")], minlength=self.n)
+    def below(self, value: int) -> np.ndarray:
+        return np.bincount(self.owner[:np.searchsorted(self.flat, value, "left")], minlength=self.n)
 
 
 def _sized(size: np.ndarray, n: int, percent: int) -> np.ndarray:
@@ -256,9 +261,10 @@ def _thin(table: pa.Table, percent: int) -> pa.Table:
     allows a link and whose prefixes theirs meet under every order; ``probe`` and ``base``
     say on which side.
 
-    Under the third order, where prefixes ascend, elements up to the smaller of both last
+    Under the third order, where prefixes ascend, elements below the smaller of both last
     ones are in both prefixes or not shared: the intersection is at most what the prefixes
-    share and the fewer of the elements beyond, which has to be enough for a link."""
+    share and the fewer of the other elements, which has to be enough for a link. Halved
+    elements keep the order; equal halves of different elements only raise the bound."""
     table, groups, part = _groups(table)
     size = table.column("n").to_numpy()
     prefixes = [_arrays(table, c) for c in ("p1", "p2", "p3")]
@@ -274,8 +280,8 @@ def _thin(table: pa.Table, percent: int) -> pa.Table:
                 common = order.shared(p[k])
                 can &= common > 0
             if can.any():
-                mine = np.searchsorted(prefixes[2][k], last[base], "right")
-                beyond = np.minimum(size[k] - mine, size[base] - orders[2].upto(last[k]))
+                mine = np.searchsorted(prefixes[2][k], last[base], "left")
+                beyond = np.minimum(size[k] - mine, size[base] - orders[2].below(last[k]))
                 can &= (100 + percent) * (common + beyond) >= percent * (size[k] + size[base])
             asks[k] = can.any()
             asked[base] |= can
@@ -316,7 +322,7 @@ def _dealt(rows: DataFrame, sets: DataFrame, shingles: int):
 def _compared(rows: DataFrame, sets: DataFrame, shingles: int, percent: int) -> DataFrame:
     """Links of ``rows`` (centre, blk, cid, part, probe, base), whose classes have
     ``shingles`` in all: by prefixes first, then by the full sets of what is left."""
-    near = _dealt(rows, sets.select("cid", "n", "p1", "p2", "p3"), 3 * shingles * (100 - percent) // 100).applyInArrow(
+    near = _dealt(rows, sets.select("cid", "n", "p1", "p2", "p3"), 2 * shingles * (100 - percent) // 100).applyInArrow(
         lambda table: _thin(table, percent),
         "centre binary, blk string, cid binary, n bigint, part binary, probe boolean, base boolean")
     near = written(near, "join-near")
