@@ -1,6 +1,6 @@
 """Quality rules: base text rules and a calibrated n-gram classifier (operator 3).
 
-A logistic regression over hashed word uni- and bigrams and byte 4-grams is
+A logistic regression over hashed word uni- and bigrams and character 4-grams is
 trained on labelled quality rows (a bounded sample), its score calibrated to a
 probability on rows it was not fitted on (Platt's sigmoid), and every whole text
 scored in Arrow batches against a fixed threshold. Scoring is numpy over all
@@ -31,7 +31,7 @@ TRAIN_ROWS_PER_CLASS = 1200
 #: One of so many training rows is kept for the calibration.
 CALIBRATION_SHARE = 4
 BUCKET_BITS = 18
-FAMILIES = 3                       # word unigrams, word bigrams, byte 4-grams
+FAMILIES = 3                       # word unigrams, word bigrams, character 4-grams
 EPOCHS = 90
 L2 = 1e-6
 
@@ -149,22 +149,31 @@ def base_columns(w: Words, n: int) -> dict[str, np.ndarray]:
     }
 
 
+def characters(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(UTF-8 bytes of each character as one number, its document)."""
+    lead = np.flatnonzero((w.data & 0xC0) != 0x80)
+    doc = np.repeat(np.arange(len(w.offs) - 1), np.diff(w.offs))[lead]
+    width = np.diff(np.append(lead, len(w.data)))
+    char = w.data[lead].astype(np.uint64)
+    for k in (1, 2, 3):
+        more = np.flatnonzero(width > k)
+        char[more] |= w.data[lead[more] + k].astype(np.uint64) << np.uint64(8 * k)
+    return char, doc
+
+
 def features(w: Words, bits: int = BUCKET_BITS) -> list[tuple[np.ndarray, np.ndarray]]:
     """(document, bucket) of every occurrence, one pair of arrays per family."""
     shift = np.uint64(64 - bits)
     out = [(w.doc, (tb.mix(w.hash) >> shift).astype(np.int64))]
     h2, pos = tb.shingle_hashes(w.hash, w.doc, 2)
     out.append((w.doc[pos], (h2 >> shift).astype(np.int64)))
-    n = len(w.data) - 3
-    if n > 0:
-        d = w.data.astype(np.uint32)
-        gram = d[:n] | d[1:n + 1] << 8 | d[2:n + 2] << 16 | d[3:n + 3] << 24
-        bucket = (gram * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)
-        doc = np.repeat(np.arange(len(w.offs) - 1), np.diff(w.offs))
-        inside = doc[:n] == doc[3:]
-        out.append((doc[:n][inside], bucket[inside].astype(np.int64)))
-    else:
-        out.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
+    char, doc = characters(w)
+    n = max(0, len(char) - 3)
+    gram = np.zeros(n, np.uint64)
+    for k in range(4):
+        gram = tb.mix(gram + char[k:k + n]) if k else gram + char[:n]
+    inside = doc[:n] == doc[3:]
+    out.append((doc[:n][inside], (tb.mix(gram[inside]) >> shift).astype(np.int64)))
     return out
 
 

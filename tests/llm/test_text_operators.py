@@ -162,6 +162,21 @@ def _base(t):
     return len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(hit)
 
 
+def test_quality_character_grams():
+    texts = ["naïve 日本語テキスト 🙂🙃 abcd", "", None, "é日", "abcdabcd", "日本語テキスト"]
+    w = quality.Words.of(pa.array(texts))
+    char, doc = quality.characters(w)
+    assert [bytes(x.tobytes()).rstrip(b"\0").decode() for x in char] == list("".join(t or "" for t in texts))
+    assert doc.tolist() == [i for i, t in enumerate(texts) for _ in t or ""]
+    owner, bucket = quality.features(w)[2]
+    grams = [(i, t[k:k + 4]) for i, t in enumerate(texts) if t for k in range(len(t) - 3)]
+    assert owner.tolist() == [i for i, _ in grams]
+    same = {}
+    for (_, g), b in zip(grams, bucket.tolist()):
+        assert same.setdefault(g, b) == b                      # a bucket hangs on the four characters alone
+    assert len(set(same.values())) == len(same)
+
+
 def test_quality_base_columns(spark, odd, none):
     model = quality.Model(np.zeros((3, 1 << quality.BUCKET_BITS), np.float32), 5.0)
     rnd = random.Random(1)
