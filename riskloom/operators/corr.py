@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.nulls import inf_to_null, is_numeric
-from riskloom.operators.rank import cumulative_below
+from riskloom.operators.longform import PLACE, long_form, named
+from riskloom.operators.rank import buckets_per_group, cumulative_below
 
 
 # Values whose spread is below this share of their mean are summation noise of a
@@ -58,14 +59,12 @@ def pearson_with_target(df: DataFrame, target: str, columns: list[str] | None =
     expressions whatever the number of columns.
     """
     columns = [c for c in (columns or df.columns) if c != target]
-    long = (df.select(F.col(f"`{target}`").cast("double").alias("__y"),
-                      *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-            .unpivot(["__y"], columns, "column", "__x")
+    long = (long_form(df.withColumn("__y", F.col(f"`{target}`").cast("double")), columns, ("__y",), "__x")
             .filter(F.col("__x").isNotNull() & F.col("__y").isNotNull()))
     x, y = F.col("__x"), F.col("__y")
     spread = F.stddev_samp(x) > RELATIVE_SPREAD * F.abs(F.avg(x))
     r = F.when(spread, F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)))
-    rep = long.groupBy("column").agg(r.alias("pearson"))
+    rep = named(long.groupBy(PLACE).agg(r.alias("pearson")), columns)
     return (rep.filter(F.col("pearson").isNotNull() & ~F.isnan("pearson"))
             .select("column", "pearson", F.abs("pearson").alias("abs_pearson"))
             .orderBy(F.desc("abs_pearson"), "column"))
@@ -79,14 +78,13 @@ def spearman_with_binary_target(df: DataFrame, target: str, columns: list[str] |
     var_y = P/n (1 - P/n); every sum comes from the distinct-value table.
     """
     columns = [c for c in (columns or df.columns) if c != target]
-    long = (df.select(F.col(f"`{target}`").cast("double").alias("__y"),
-                      *[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-            .unpivot(["__y"], columns, "column", "value")
+    long = (long_form(df.withColumn("__y", F.col(f"`{target}`").cast("double")), columns, ("__y",))
             .filter(F.col("value").isNotNull() & F.col("__y").isNotNull())
             .withColumn("value", significant(F.col("value"))))
-    cb = cumulative_below(long, "value", {"n": F.lit(1), "pos": F.col("__y")}, ["column"])
+    cb = cumulative_below(long, "value", {"n": F.lit(1), "pos": F.col("__y")}, [PLACE],
+                          buckets_per_group(df, len(columns)))
     avg_rank = F.col("below_n") + (F.col("n") + 1) / 2.0
-    s = cb.groupBy("column").agg(
+    s = cb.groupBy(PLACE).agg(
         F.sum("n").alias("n"), F.sum("pos").alias("p"),
         F.sum(avg_rank * F.col("pos")).alias("sry"), F.sum(avg_rank * avg_rank * F.col("n")).alias("srr"))
     n = F.col("n").cast("double")
@@ -97,7 +95,7 @@ def spearman_with_binary_target(df: DataFrame, target: str, columns: list[str] |
     var_y = py * (1 - py)
     rel = var_r / (mean_r * mean_r)
     r = F.when((rel > 1e-12) & (var_y > 0), F.try_divide(cov, F.sqrt(var_r * var_y)))
-    return (s.select("column", r.alias("spearman")).filter(F.col("spearman").isNotNull())
+    return (named(s.select(PLACE, r.alias("spearman")), columns).filter(F.col("spearman").isNotNull())
             .select("column", "spearman", F.abs("spearman").alias("abs_spearman"))
             .orderBy(F.desc("abs_spearman"), "column"))
 
