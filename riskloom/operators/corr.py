@@ -168,39 +168,97 @@ def correlated_pairs(df: DataFrame, columns: list[str], threshold: float = 0.90)
             .orderBy(F.desc("abs_r"), "col_a", "col_b"))
 
 
+def _complete_rows(df: DataFrame, columns: list[str]) -> np.ndarray:
+    """Rows in which both columns of each pair are present, as a matrix."""
+    def run(batches):
+        acc = np.zeros((len(columns), len(columns)))
+        for pdf in batches:
+            m = pdf.to_numpy(dtype="float64")
+            acc += m.T @ m
+        ii, jj = np.indices(acc.shape).reshape(2, -1).astype("int32")
+        yield pd.DataFrame({"i": ii, "j": jj, "n": acc[ii, jj].astype("int64")})
+
+    present = df.select(*[F.col(f"`{c}`").isNotNull().cast("int").alias(f"c{k}") for k, c in enumerate(columns)])
+    out = np.zeros((len(columns), len(columns)), np.int64)
+    for r in present.mapInPandas(run, "i int, j int, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).collect():
+        out[r["i"], r["j"]] = r["n"]
+    return out
+
+
+def rankings(n: np.ndarray) -> dict[tuple[int, int], int]:
+    """The rankings that all pairs of columns need, numbered: (a, b) is column a on the rows
+    that have b too. ``n`` counts complete rows: columns with the same rows share their
+    rankings, and where every row with a has b it is a's own, (a, a)."""
+    first = [next(j for j in range(len(n)) if n[j, j] == n[j, k] == n[k, k]) for k in range(len(n))]
+    found: dict[tuple[int, int], int] = {}
+    out = {}
+    for a in range(len(n)):
+        for b in range(len(n)):
+            out[a, b] = found.setdefault((a, a if n[a, b] == n[a, a] else first[b]), len(found))
+    return out
+
+
+_RANK_PAIRS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+
+
+def _rank_grams(size: int, centres: np.ndarray, need: np.ndarray):
+    """Sums over the rows with both rankings of each pair in ``need`` (two rows of numbers)."""
+    def run(batches):
+        acc = None
+        for pdf in batches:
+            if len(pdf):
+                lengths = pdf["k"].str.len().to_numpy()
+                row, k = np.repeat(np.arange(len(pdf)), lengths), np.concatenate(pdf["k"].to_numpy()).astype(np.int64)
+                x, m = np.zeros((len(pdf), size)), np.zeros((len(pdf), size))
+                x[row, k], m[row, k] = np.concatenate(pdf["rk"].to_numpy()) - centres[k], 1.0
+                block = (m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x)
+                acc = block if acc is None else tuple(a + b for a, b in zip(acc, block))
+        if acc is not None:
+            i, j = need
+            yield pd.DataFrame(dict(zip(("i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"),
+                                        (i.astype("int32"), j.astype("int32"), *[a[i, j] for a in acc]))))
+    return run
+
+
 def spearman_matrix(df: DataFrame, columns: list[str], id_col: str) -> DataFrame:
     """Pairwise-complete Spearman r for all ordered column pairs (col_a, col_b, r).
 
-    For each pair, ranks are recomputed on the rows where both values are
-    present (pandas semantics): the rows are expanded once per pair with
-    both values present, average ranks come from the bucketed prefix counts
-    grouped by (pair, side), and r is the Pearson r of the two rank columns.
-    Meant for a selected set of columns (the expansion is rows x pairs).
-    ``id_col`` must be unique: it pairs each row's two ranks again.
+    For each pair, ranks are those of the rows where both values are present (pandas
+    semantics). Columns that are present in the same rows share them, so a column is
+    ranked once per set of rows it meets (``rankings``), not once per pair: average ranks
+    come from the bucketed prefix counts grouped by ranking, and r from Gram blocks of
+    the rank columns, centred, summed by pair.
+    ``id_col`` must be unique: it brings each row's ranks together again.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    p = len(columns)
     xs = {c: significant(F.col(f"`{c}`").cast("double")) for c in columns}
-    base = df.select(F.col(id_col).alias("__rid"), *[xs[c].alias(c) for c in columns])
-    exploded = base.select("__rid", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("pair"), F.col(f"`{a}`").alias("x"), F.col(f"`{b}`").alias("y"))
-        for k, (a, b) in enumerate(pairs)])).alias("p")).select("__rid", "p.*")
-    complete = exploded.filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-    sides = complete.select("__rid", "pair", F.lit("x").alias("side"), F.col("x").alias("v")).unionByName(
-        complete.select("__rid", "pair", F.lit("y").alias("side"), F.col("y").alias("v")))
-    cb = cumulative_below(sides, "v", {"n": F.lit(1)}, ["pair", "side"])
-    ranks = cb.select("pair", "side", "v", (F.col("below_n") + (F.col("n") + 1) / 2.0).alias("rk"))
-    ranked = sides.join(ranks, ["pair", "side", "v"])
-    wide = ranked.groupBy("pair", "__rid").agg(
-        F.max(F.when(F.col("side") == "x", F.col("rk"))).alias("rx"),
-        F.max(F.when(F.col("side") == "y", F.col("rk"))).alias("ry"))
-    r = F.try_divide(F.covar_samp("rx", "ry"), F.stddev_samp("rx") * F.stddev_samp("ry"))
-    per_pair = wide.groupBy("pair").agg(r.alias("r"))
-    names_a = F.array(*[F.lit(a) for a, _ in pairs])
-    names_b = F.array(*[F.lit(b) for _, b in pairs])
-    upper = per_pair.select(F.element_at(names_a, F.col("pair") + 1).alias("col_a"),
-                            F.element_at(names_b, F.col("pair") + 1).alias("col_b"),
-                            F.when(F.col("r").isNotNull() & ~F.isnan("r"),
-                                   F.least(F.greatest("r", F.lit(-1.0)), F.lit(1.0))).alias("r"))
+    base = df.select(F.col(id_col).alias("__rid"), *[xs[c].alias(f"c{k}") for k, c in enumerate(columns)])
+    present = _complete_rows(base, [f"c{k}" for k in range(p)])
+    number = rankings(present)
+    of = {}
+    for (a, b), k in number.items():
+        of.setdefault(k, (a, b))
+    cells = [F.when(F.col(f"c{b}").isNotNull(), F.col(f"c{a}")) for a, b in (of[k] for k in range(len(of)))]
+    long = base.select("__rid", F.posexplode(F.array(*cells)).alias("k", "v")).filter(F.col("v").isNotNull())
+    cb = cumulative_below(long, "v", {"n": F.lit(1)}, ["k"], buckets_per_group(df, len(of)))
+    ranked = long.join(cb.select("k", "v", (F.col("below_n") + (F.col("n") + 1) / 2.0).alias("rk")), ["k", "v"])
+    # an id that comes twice has its greatest rank
+    rows = (ranked.groupBy("__rid", "k").agg(F.max("rk").alias("rk"))
+            .groupBy("__rid").agg(F.collect_list(F.struct("k", "rk")).alias("r"))
+            .select(F.col("r.k").alias("k"), F.col("r.rk").alias("rk")))
+    pairs = [(a, b) for a in range(p) for b in range(a, p)]
+    need = np.array([(number[a, b], number[b, a]) for a, b in pairs]).T.reshape(2, -1)
+    centres = np.array([(present[of[k]] + 1) / 2.0 for k in range(len(of))])
+    sums = (rows.mapInPandas(_rank_grams(len(of), centres, np.unique(need, axis=1)), _RANK_PAIRS)
+            .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]))
+    vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
+    vy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    cxy = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
+    spread = (F.col("n") > 1) & (vx > 1e-12 * F.col("sxx")) & (vy > 1e-12 * F.col("syy"))
+    r = F.when(spread, F.least(F.greatest(F.try_divide(cxy, F.sqrt(vx) * F.sqrt(vy)), F.lit(-1.0)), F.lit(1.0)))
+    wanted = df.sparkSession.createDataFrame([(columns[a], columns[b], *map(int, ij)) for (a, b), ij in zip(pairs, need.T)
+                                              if present[a, b]], "col_a string, col_b string, i int, j int")
+    upper = wanted.join(sums.select("i", "j", r.alias("r")), ["i", "j"]).select("col_a", "col_b", "r")
     lower = upper.filter(F.col("col_a") != F.col("col_b")).select(
         F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "r")
     return upper.unionByName(lower)

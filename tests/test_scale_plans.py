@@ -59,3 +59,72 @@ def test_wide_rollups_move_rows_once(spark):
 
 def test_split_tasks_sort_a_bounded_number_of_rows():
     assert 1_000_000 / 2 ** rank.bucket_bits(1_000_000) <= 100_000
+
+
+def test_spearman_matrix_ranks_a_column_once_per_set_of_rows(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(200):
+        a, b, c, d, e = (float(rng.randint(-9, 9)) for _ in range(5))
+        if i % 3 == 0:
+            a = b = None                                       # the same rows for both
+        rows.append((i, a, b, c, None if i % 5 == 0 else d, e + (a or 0.0), 1.0))
+    cols = ["a", "b", "c", "d", "e", "one"]
+    df = spark.createDataFrame(rows, "id long, " + ", ".join(f"{x} double" for x in cols))
+    present = corr._complete_rows(df, cols)
+    # c, e and one: alone, with a or b, with d; a and b: alone, with d; d: alone, with a or b
+    assert max(corr.rankings(present).values()) + 1 == 3 * 3 + 2 * 2 + 2
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in corr.spearman_matrix(df, cols, "id").collect()}
+    assert len(got) == len(cols) ** 2
+    for x in cols:
+        for y in cols:
+            if "one" in (x, y):
+                assert got[x, y] is None
+            else:
+                assert abs(got[x, y] - _spearman(rows, cols.index(x) + 1, cols.index(y) + 1)) < 1e-9
+
+
+def _spearman(rows, i, j):
+    pairs = [(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None]
+
+    def ranks(v):
+        return [sum(o < x for o in v) + (v.count(x) + 1) / 2 for x in v]
+
+    x, y = (ranks([p[k] for p in pairs]) for k in (0, 1))
+    mx, my = statistics.mean(x), statistics.mean(y)
+    cov = sum((a - mx) * (b - my) for a, b in zip(x, y))
+    return cov / (sum((a - mx) ** 2 for a in x) * sum((b - my) ** 2 for b in y)) ** 0.5
+
+
+def test_boosting_counts_rows_only_where_a_split_asks(spark):
+    import numpy as np
+
+    from riskloom.operators import boosting
+
+    rng = np.random.default_rng(1)
+    x = [rng.normal(size=400).round(1), np.where(rng.random(400) < 0.3, np.nan, rng.normal(size=400)), np.zeros(400)]
+    y = (x[0] > 0.2).astype(float)
+    p = dict(ml.depth_wise_spec(rounds=3, min_weight=5.0).params, weight_multiplier=1.0)
+    seen = []
+    real, boosting.best_split = boosting.best_split, lambda h, *a: seen.append(h.shape[:2]) or real(h, *a)
+    try:
+        fast = boosting.fit_arrays(x, y, p, 1)
+        assert set(seen) <= {(2, 1), (2, 2)}                    # two sums, never the constant feature
+        counted = boosting.fit_arrays(x, y, p | {"min_rows": 2}, 1)
+        assert any(s[0] == 3 for s in seen)
+    finally:
+        boosting.best_split = real
+    assert fast == counted
+
+
+def test_duplicates_are_compared_in_full_only_where_hashes_repeat(spark):
+    df, data, names = _wide(spark)
+
+    def plan(d):
+        out = profile.table_summary(d, "t")
+        return out.collect()[0]["duplicates"], out._jdf.queryExecution().optimizedPlan().toString()
+
+    none, unique = plan(df)
+    some, twice = plan(df.unionByName(df.limit(3)))
+    assert (none, some) == (0, 3)
+    assert "LeftSemi" not in unique and "LeftSemi" in twice
