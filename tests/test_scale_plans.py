@@ -128,3 +128,40 @@ def test_duplicates_are_compared_in_full_only_where_hashes_repeat(spark):
     some, twice = plan(df.unionByName(df.limit(3)))
     assert (none, some) == (0, 3)
     assert "LeftSemi" not in unique and "LeftSemi" in twice
+
+
+def test_a_holdout_compares_rows_with_a_cut_and_moves_none(spark):
+    from riskloom.operators import split
+
+    df = spark.range(3000).selectExpr("id", "cast(id % 10 = 0 as int) as y", *[f"id * {k} as c{k}" for k in range(8)])
+    df = df.unionByName(df.filter("id % 3 = 0"))               # every third id stands for two rows
+    fit, valid = split.stratified_split(df, "y", "id", 0.2, seed=42)
+    assert (fit.count(), valid.count(), valid.filter("y = 1").count()) == (3200, 800, 80)
+    assert fit.unionByName(valid).exceptAll(df).count() == 0 and fit.columns == df.columns
+    unique = df.filter("id % 3 > 0")
+    plan = _plan(split.stratified_split(unique, "y", "id", 0.2, seed=42)[0])
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+    ranked = rank.hash_rank(unique, "id", 42, ["y"])
+    quota = {0: 360, 1: 40}
+    want = {r["id"] for r in ranked.collect() if r["rank"] <= quota[r["y"]]}
+    assert {r["id"] for r in split.stratified_split(unique, "y", "id", 0.2, seed=42)[1].collect()} == want
+
+
+def test_a_cut_inside_equal_ids(spark):
+    from riskloom.operators import split
+
+    df = spark.createDataFrame([(None if i < 30 else 7, i % 2, i) for i in range(60)], "id long, y int, v int")
+    kept = split.stratified_sample(df, "y", "id", 20)
+    assert kept.count() == 20 and kept.filter("y = 1").count() == 10 and kept.select("v").distinct().count() == 20
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, split.stratified_sample(df.repartition(7), "y", "id", 20).collect()))
+
+
+def test_a_fit_keeps_one_copy_of_its_rows(spark, monkeypatch):
+    df, _, names = _wide(spark)
+    df = df.withColumn("label", (F.col("id") % 2).cast("int"))
+    kept = []
+    frame = type(df)
+    real = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda self, *a: kept.append(self.columns) or real(self, *a))
+    ml.fit_model(df, names, ml.logistic_spec(5), "label")
+    assert kept == [["label_d", "features", "weight"]]
