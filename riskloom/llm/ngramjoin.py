@@ -9,8 +9,13 @@ are used, each over all documents:
 * by the counts of hashed shingles, then by hash;
 * by hash alone.
 
-Equal sets form one class. A class stays in only if, under each order in turn, it shares
-a prefix element with another class of a size that allows a link. What is left meets in
+Prefixes longer by k elements share k + 1 elements; with sets of two sizes, those of the
+smaller one.
+
+Equal sets form one class. A class stays in only if, under each order in turn, as many
+elements of its lengthened prefix are in those of other classes as a similar set would
+share, and one of its prefix is in another class of a size that allows a link: a passage
+that many texts share does not bring them together. What is left meets in
 the buckets of the first order; a pair is verified on the full sets only if its sizes
 allow the similarity and its prefixes meet under the other orders as well. In each
 bucket the classes are verified against the bucket's centre first; those that are
@@ -117,13 +122,27 @@ def prefix_length(n, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
-def prefix(offs: np.ndarray, sh: np.ndarray, rank: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets, shingles): the first elements of each set by (rank, hash); the sets
-    are sorted by hash, a stable sort keeps ties in that order."""
+def extra_length(n, percent: int):
+    """Elements by which the prefix of a set of ``n`` is lengthened: each of them is one
+    more that a similar set's lengthened prefix shares."""
+    return n * (100 - percent) // 100
+
+
+def least_shared(n, percent: int):
+    """Elements that the lengthened prefix of a set of ``n`` shares with that of every
+    similar set: one, and the extra ones of the smaller set, which has at least
+    ``percent`` of the ``n`` elements."""
+    return 1 + extra_length((percent * n + 99) // 100, percent)
+
+
+def prefix(offs: np.ndarray, sh: np.ndarray, rank: np.ndarray, percent: int, extra: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, shingles): the first elements of each set by (rank, hash), with
+    ``extra`` those of the lengthened prefix; the sets are sorted by hash, a stable
+    sort keeps ties in that order."""
     n = np.diff(offs)
     owner = np.repeat(np.arange(len(n)), n)
     order = np.argsort((owner.astype(np.uint32) << np.uint32(8)) | rank, kind="stable") if len(sh) else np.zeros(0, np.int64)
-    length = np.where(n > 0, prefix_length(n, percent), 0)
+    length = np.where(n > 0, prefix_length(n, percent) + extra * extra_length(n, percent), 0)
     take = order[tb.ragged(offs[:-1], length)]
     return np.concatenate([[0], np.cumsum(length)]), sh[take]
 
@@ -146,16 +165,15 @@ def _class_ids(offs: np.ndarray, sh: np.ndarray) -> pa.Array:
 
 def marks(docs: DataFrame, words: int, percent: int, classes) -> DataFrame:
     """(id, cid, n, p1) of each row of ``docs`` (id, text): fingerprint and size of
-    its set, and its prefix under the first order."""
-    rare = classes[0]
+    its set, and its lengthened prefix under the first order."""
+    p1 = _first_prefix(classes, percent, extra=True)
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for part in tb.slices(batch, "text"):
                 offs, sh, of = token_sets(part.column(1), words)
-                p1 = prefix(offs, sh, rare[of].min(axis=1) if len(of) else np.zeros(0, np.uint8), percent)
-                yield pa.RecordBatch.from_arrays([part.column(0), _class_ids(offs, sh), pa.array(np.diff(offs)), _lists(*p1)],
+                yield pa.RecordBatch.from_arrays([part.column(0), _class_ids(offs, sh), pa.array(np.diff(offs)), p1(offs, sh, of)],
                                                  names=["id", "cid", "n", "p1"])
 
     return docs.mapInArrow(run, f"id {kind}, cid binary, n bigint, p1 array<bigint>")
@@ -179,22 +197,22 @@ def _of_classes(docs: DataFrame, wanted: DataFrame, words: int, schema: str, col
     return found.join(if_small(wanted), "cid", "left_semi")
 
 
-def _first_prefix(classes, percent: int):
+def _first_prefix(classes, percent: int, extra: bool = False):
     rare = classes[0]
-    return lambda offs, sh, of: _lists(*prefix(offs, sh, rare[of].min(axis=1) if len(of) else np.zeros(0, np.uint8), percent))
+    return lambda offs, sh, of: _lists(*prefix(offs, sh, rare[of].min(axis=1) if len(of) else np.zeros(0, np.uint8), percent, extra))
 
 
-def _second_prefix(classes, percent: int):
+def _second_prefix(classes, percent: int, extra: bool = False):
     often = classes[1]
-    return lambda offs, sh: _lists(*prefix(offs, sh, often[_shingle_slots(sh)], percent))
+    return lambda offs, sh: _lists(*prefix(offs, sh, often[_shingle_slots(sh)], percent, extra))
 
 
 def other_prefixes(docs: DataFrame, wanted: DataFrame, words: int, percent: int, classes) -> DataFrame:
-    """(cid, n, p2, p3): prefixes of the classes ``wanted`` under the other orders."""
-    p2 = _second_prefix(classes, percent)
+    """(cid, n, p2, p3): lengthened prefixes of the classes ``wanted`` under the other orders."""
+    p2 = _second_prefix(classes, percent, extra=True)
 
     def columns(offs, sh, of):
-        p3 = prefix(offs, sh, np.zeros(len(sh), np.uint8), percent)
+        p3 = prefix(offs, sh, np.zeros(len(sh), np.uint8), percent, extra=True)
         return pa.array(np.diff(offs)), p2(offs, sh), _lists(*p3)
 
     return _of_classes(docs, wanted, words, "cid binary, n bigint, p2 array<bigint>, p3 array<bigint>", columns)
@@ -345,19 +363,24 @@ def _band(n, percent: int):
 
 
 def shared_prefixes(classes: DataFrame, elements: str, percent: int) -> DataFrame:
-    """(key, cid, n): bucket keys of ``classes`` (cid, n, a list of prefix elements) that
-    have two classes and more whose sizes allow a link. Elements are counted first; those
-    of one class are left out by a Bloom filter before keys are made and counted."""
+    """(key, cid, n): bucket keys of ``classes`` (cid, n, a lengthened prefix) that have two
+    classes and more whose sizes allow a link. Elements are counted first; those of one
+    class are left out by a Bloom filter, and so is a class with fewer others than it
+    would share with a similar one, before keys are made of the prefix and counted."""
     token = classes.select(F.explode(elements).alias("token"))
     repeated = written(token.groupBy("token").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("token"), "join-tokens")
     filled = bloom.build(repeated, "token")
 
     def run(batches):
         for batch in batches:
-            lists = batch.column(2)
-            token = lists.flatten().to_numpy()
-            some = np.flatnonzero(bloom.test(filled, token))
-            of = pa.array(np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy())[some])
+            lists, n = batch.column(2), batch.column(1).to_numpy()
+            token, length = lists.flatten().to_numpy(), pc.list_value_length(lists).to_numpy()
+            owner = np.repeat(np.arange(batch.num_rows), length)
+            place = np.arange(len(token)) - np.repeat(np.cumsum(length) - length, length)
+            hit = bloom.test(filled, token)
+            enough = np.bincount(owner[hit], minlength=batch.num_rows) >= least_shared(n, percent)
+            some = np.flatnonzero(hit & enough[owner] & (place < prefix_length(n, percent)[owner]))
+            of = pa.array(owner[some])
             yield pa.RecordBatch.from_arrays([pa.array(token[some]), batch.column(0).take(of), batch.column(1).take(of)],
                                              names=["token", "cid", "n"])
 

@@ -196,6 +196,32 @@ def test_prefixes_of_links_meet():
             assert set(p[:at[1]]) & set(p[at[1]:])
 
 
+def test_lengthened_prefixes_of_links_share_enough():
+    rnd = np.random.default_rng(3)
+    rank, links = rnd.integers(0, 4, 4000).astype(np.uint8), 0
+    for percent in (90, 85, 60):
+        for _ in range(300):
+            a = np.unique(rnd.integers(0, 4000, rnd.integers(1, 80)))
+            b = np.unique(np.concatenate([a[rnd.random(len(a)) < percent / 100 + 0.06], rnd.integers(0, 4000, 1)]))
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= percent * len(np.union1d(a, b)):
+                offs, sh = np.array([0, len(a), len(a) + len(b)]), np.concatenate([a, b])
+                at, p = ngramjoin.prefix(offs, sh, rank[sh], percent, extra=True)
+                shared = len(set(p[:at[1]]) & set(p[at[1]:]))
+                assert shared >= max(ngramjoin.least_shared(np.array([len(a), len(b)]), percent))
+                links += 1
+    assert links > 100
+
+
+def test_a_shared_passage_alone_makes_no_candidates(spark):
+    # 12 classes of 100 elements, of whose first 20 three are in all; two more are alike
+    rows = [(bytes([i]), 100, [7, 8, 9, *range(1000 * i, 1000 * i + 17)]) for i in range(1, 13)]
+    rows += [(bytes([i]), 100, [*range(50000, 50019), 60000 + i]) for i in (20, 21)]
+    df = spark.createDataFrame(rows, "cid binary, n long, p1 array<bigint>")
+    got = ngramjoin.shared_prefixes(df, "p1", 90).select("cid").distinct().collect()
+    assert sorted(bytes(r[0]) for r in got) == [bytes([20]), bytes([21])]
+
+
 def test_bloom_filter_keeps_every_key(spark):
     df = spark.range(5000).selectExpr("xxhash64(id) h")
     for log2 in (8, 27):
