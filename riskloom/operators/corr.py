@@ -10,12 +10,16 @@
   with numpy (counts, sums, squares and cross products over pairwise-complete
   rows, after centring on the column means); Spark sums the blocks by
   (i, j). One pass over the data, independent of the number of pairs.
+* Spearman for many columns: rows are dealt into blocks by their id; a block sends the
+  distinct values of a column and their counts to be ranked, and gets the ranks back.
+  Both ways are packed numbers of a block, not a row per cell.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -199,36 +203,143 @@ def rankings(n: np.ndarray) -> dict[tuple[int, int], int]:
 
 
 _RANK_PAIRS = "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double"
+# Rows of a block, and of a column's values that one task ranks, about.
+BLOCK_ROWS, BUCKET_ROWS = 10_000, 200_000
+_BLOCK_PART = "block long, place int, bucket int, data binary, n binary"
+_BLOCK_SCHEMA = pa.schema([("block", pa.int64()), ("place", pa.int32()), ("bucket", pa.int32()), ("data", pa.binary()), ("n", pa.binary())])
+
+
+def _parts(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows)) if rows else [()] * 5
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BLOCK_SCHEMA)], schema=_BLOCK_SCHEMA)
+
+
+def _cells(table: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Values (-0.0 as 0.0) and presence of column ``k``; NaN is a value, above all others."""
+    column = table.column(f"c{k}").combine_chunks()
+    present = column.is_valid().to_numpy(zero_copy_only=False)
+    return np.where(present, column.fill_null(0.0).to_numpy(zero_copy_only=False), 0.0) + 0.0, present
+
+
+def _block_codes(p: int):
+    """Per block: the place of each cell among its column's distinct values (0: missing), rows
+    in the order of their ids, and where a new id begins."""
+    def run(key, table):
+        ids = table.column("__rid").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        order = np.argsort(ids, kind="stable")
+        begins = np.flatnonzero(np.r_[True, np.diff(ids[order]) != 0])
+        codes = np.zeros((p, len(ids)), np.int32)
+        for k in range(p):
+            v, present = _cells(table, k)
+            codes[k, present] = 1 + np.unique(v[present], return_inverse=True)[1]
+        return _parts([(key[0].as_py(), -1, 0, codes[:, order].tobytes(), begins.astype(np.int64).tobytes())])
+    return run
 
 
-def _rank_grams(size: int, centres: np.ndarray, need: np.ndarray):
-    """Sums over the rows with both rankings of each pair in ``need`` (two rows of numbers)."""
-    def run(batches):
-        acc = None
-        for pdf in batches:
-            if len(pdf):
-                lengths = pdf["k"].str.len().to_numpy()
-                row, k = np.repeat(np.arange(len(pdf)), lengths), np.concatenate(pdf["k"].to_numpy()).astype(np.int64)
-                x, m = np.zeros((len(pdf), size)), np.zeros((len(pdf), size))
-                x[row, k], m[row, k] = np.concatenate(pdf["rk"].to_numpy()) - centres[k], 1.0
-                block = (m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x)
-                acc = block if acc is None else tuple(a + b for a, b in zip(acc, block))
-        if acc is not None:
-            i, j = need
-            yield pd.DataFrame(dict(zip(("i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"),
-                                        (i.astype("int32"), j.astype("int32"), *[a[i, j] for a in acc]))))
+def _block_values(p: int, others: list[list[int]], bounds: list[np.ndarray]):
+    """Per block, column and bucket of values: the distinct values, and in how many rows each
+    stands, for every ranking of the column."""
+    def run(key, table):
+        out = []
+        cells = [_cells(table, k) for k in range(p)]
+        for k, (v, present) in enumerate(cells):
+            u, code = np.unique(v[present], return_inverse=True)
+            n = np.stack([np.bincount(code[cells[b][1][present]], minlength=len(u)) for b in others[k]]).astype(np.int32)
+            cut = np.r_[0, np.searchsorted(u, bounds[k], "right"), len(u)]
+            for bucket, (i, j) in enumerate(zip(cut[:-1], cut[1:])):
+                if j > i:
+                    out.append((key[0].as_py(), k, bucket, u[i:j].tobytes(), np.ascontiguousarray(n[:, i:j]).tobytes()))
+        return _parts(out)
     return run
 
 
+def _rank_bucket(below: list[np.ndarray]):
+    """Average ranks of the values of one column and bucket, back to the blocks they came
+    from; ``below`` has the rows in lower buckets by column, ranking and bucket."""
+    def run(key, table):
+        k, bucket = key[0].as_py(), key[1].as_py()
+        values = [np.frombuffer(x, np.float64) for x in table.column("data").to_pylist()]
+        counts = [np.frombuffer(x, np.int32).reshape(-1, len(v)) for x, v in zip(table.column("n").to_pylist(), values)]
+        u, code = np.unique(np.concatenate(values), return_inverse=True)
+        at = np.split(code, np.cumsum([len(v) for v in values])[:-1])
+        ranks = []
+        for r in range(len(below[k])):
+            n = np.zeros(len(u))
+            for c, i in zip(counts, at):
+                n[i] += c[r]                               # a block's values are distinct
+            ranks.append(below[k][r][bucket] + n.cumsum() - n + (n + 1) / 2.0)
+        ranks = np.stack(ranks)
+        return _parts([(block, k, bucket, np.ascontiguousarray(ranks[:, i]).tobytes(), b"")
+                       for block, i in zip(table.column("block").to_pylist(), at)])
+    return run
+
+
+def _rank_grams(p: int, others: list[list[int]], numbers: list[list[int]], centres: np.ndarray, need: np.ndarray):
+    """Per block: sums over the rows with both rankings of each pair in ``need`` (two rows of numbers)."""
+    def run(key, table):
+        parts = {}
+        for place, bucket, data, n in zip(*(table.column(c).to_pylist() for c in ("place", "bucket", "data", "n"))):
+            parts.setdefault(place, {})[bucket] = (data, n)
+        codes, begins = (np.frombuffer(x, t) for x, t in zip(parts[-1][0], (np.int32, np.int64)))
+        codes = codes.reshape(p, -1)
+        rows = codes.shape[1]
+        x, m = np.zeros((rows, len(centres))), np.zeros((rows, len(centres)))
+        for k in range(p):
+            if k not in parts:                              # no values in this block
+                continue
+            ranks = np.concatenate([np.frombuffer(parts[k][b][0], np.float64).reshape(len(others[k]), -1)
+                                    for b in sorted(parts[k])], axis=1)
+            for r, (b, number) in enumerate(zip(others[k], numbers[k])):
+                at = np.flatnonzero((codes[k] > 0) & (codes[b] > 0))
+                x[at, number], m[at, number] = ranks[r, codes[k, at] - 1] - centres[number], 1.0
+        if len(begins) < rows:                              # an id that comes twice has its greatest rank
+            x = np.maximum.reduceat(np.where(m > 0, x, -np.inf), begins, axis=0)
+            m = np.maximum.reduceat(m, begins, axis=0)
+            x = np.where(m > 0, x, 0.0)
+        acc = (m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x)
+        i, j = need
+        return pa.table({"i": i.astype(np.int32), "j": j.astype(np.int32),
+                         **{name: a[i, j] for name, a in zip(("n", "sx", "sy", "sxx", "syy", "sxy"), acc)}})
+    return run
+
+
+def _value_bounds(base: DataFrame, p: int, buckets: int) -> list[np.ndarray]:
+    """Ascending values that cut each column into about ``buckets`` equal buckets."""
+    if buckets <= 1:
+        return [np.zeros(0)] * p
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    row = base.agg(*[F.percentile_approx(f"c{k}", probs, max(1000, 10 * buckets)).alias(f"c{k}") for k in range(p)]).first()
+    return [np.unique(np.array(row[k] or [], float) + 0.0) for k in range(p)]
+
+
+def _rows_below(base: DataFrame, p: int, others: list[list[int]], bounds: list[np.ndarray]) -> list[np.ndarray]:
+    """By column: rows in lower buckets, for each ranking and bucket."""
+    def run(batches):
+        acc = [np.zeros((len(others[k]), len(bounds[k]) + 1), np.int64) for k in range(p)]
+        for batch in batches:
+            cells = [_cells(pa.table(batch.columns, batch.schema.names), k) for k in range(p)]
+            for k, (v, present) in enumerate(cells):
+                bucket = np.searchsorted(bounds[k], v, "left")
+                for r, b in enumerate(others[k]):
+                    acc[k][r] += np.bincount(bucket[present & cells[b][1]], minlength=acc[k].shape[1])
+        yield pa.RecordBatch.from_pydict({"place": np.arange(p, dtype=np.int32), "n": [a.tobytes() for a in acc]})
+
+    total = [np.zeros((len(others[k]), len(bounds[k]) + 1), np.int64) for k in range(p)]
+    if any(len(b) for b in bounds):
+        for r in base.drop("__rid").mapInArrow(run, "place int, n binary").toLocalIterator():
+            total[r["place"]] += np.frombuffer(r["n"], np.int64).reshape(total[r["place"]].shape)
+    return [t.cumsum(axis=1) - t for t in total]
+
+
 def spearman_matrix(df: DataFrame, columns: list[str], id_col: str) -> DataFrame:
     """Pairwise-complete Spearman r for all ordered column pairs (col_a, col_b, r).
 
     For each pair, ranks are those of the rows where both values are present (pandas
     semantics). Columns that are present in the same rows share them, so a column is
-    ranked once per set of rows it meets (``rankings``), not once per pair: average ranks
-    come from the bucketed prefix counts grouped by ranking, and r from Gram blocks of
-    the rank columns, centred, summed by pair.
-    ``id_col`` must be unique: it brings each row's ranks together again.
+    ranked once per set of rows it meets (``rankings``), not once per pair. Blocks of rows
+    send each column's distinct values, by buckets, to be ranked over all blocks; r comes
+    from Gram blocks of the rank columns, centred, summed by pair.
+    ``id_col`` must be unique: rows that repeat an id count once, with their greatest ranks.
     """
     p = len(columns)
     xs = {c: significant(F.col(f"`{c}`").cast("double")) for c in columns}
@@ -238,18 +349,19 @@ def spearman_matrix(df: DataFrame, columns: list[str], id_col: str) -> DataFrame
     of = {}
     for (a, b), k in number.items():
         of.setdefault(k, (a, b))
-    cells = [F.when(F.col(f"c{b}").isNotNull(), F.col(f"c{a}")) for a, b in (of[k] for k in range(len(of)))]
-    long = base.select("__rid", F.posexplode(F.array(*cells)).alias("k", "v")).filter(F.col("v").isNotNull())
-    cb = cumulative_below(long, "v", {"n": F.lit(1)}, ["k"], buckets_per_group(df, len(of)))
-    ranked = long.join(cb.select("k", "v", (F.col("below_n") + (F.col("n") + 1) / 2.0).alias("rk")), ["k", "v"])
-    # an id that comes twice has its greatest rank
-    rows = (ranked.groupBy("__rid", "k").agg(F.max("rk").alias("rk"))
-            .groupBy("__rid").agg(F.collect_list(F.struct("k", "rk")).alias("r"))
-            .select(F.col("r.k").alias("k"), F.col("r.rk").alias("rk")))
+    others = [[b for k, (a, b) in sorted(of.items()) if a == c] for c in range(p)]
+    numbers = [[k for k, (a, b) in sorted(of.items()) if a == c] for c in range(p)]
+    n_rows = int(present.max(initial=0))
+    bounds = _value_bounds(base, p, -(-n_rows // BUCKET_ROWS))
+    below = _rows_below(base, p, others, bounds)
     pairs = [(a, b) for a in range(p) for b in range(a, p)]
     need = np.array([(number[a, b], number[b, a]) for a, b in pairs]).T.reshape(2, -1)
     centres = np.array([(present[of[k]] + 1) / 2.0 for k in range(len(of))])
-    sums = (rows.mapInPandas(_rank_grams(len(of), centres, np.unique(need, axis=1)), _RANK_PAIRS)
+    blocks = base.withColumn("__block", F.pmod(F.xxhash64("__rid"), F.lit(max(1, -(-n_rows // BLOCK_ROWS))))).groupBy("__block")
+    ranked = (blocks.applyInArrow(_block_values(p, others, bounds), _BLOCK_PART)
+              .groupBy("place", "bucket").applyInArrow(_rank_bucket(below), _BLOCK_PART))
+    sums = (blocks.applyInArrow(_block_codes(p), _BLOCK_PART).unionByName(ranked).groupBy("block")
+            .applyInArrow(_rank_grams(p, others, numbers, centres, np.unique(need, axis=1)), _RANK_PAIRS)
             .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]))
     vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
     vy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")

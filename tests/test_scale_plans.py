@@ -165,3 +165,36 @@ def test_a_fit_keeps_one_copy_of_its_rows(spark, monkeypatch):
     monkeypatch.setattr(frame, "persist", lambda self, *a: kept.append(self.columns) or real(self, *a))
     ml.fit_model(df, names, ml.logistic_spec(5), "label")
     assert kept == [["label_d", "features", "weight"]]
+
+
+def test_spearman_matrix_moves_blocks_not_cells(spark, monkeypatch):
+    df, data, names = _wide(spark)
+    assert "posexplode" not in _plan(corr.spearman_matrix(df, names, "id"))
+    monkeypatch.setattr(corr, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(corr, "BUCKET_ROWS", 50)               # five buckets a column
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in corr.spearman_matrix(df, names, "id").collect()}
+    for x, y in (("c0", "c1"), ("c3", "c11"), ("c7", "c7")):
+        assert abs(got[x, y] - _spearman(data, names.index(x) + 1, names.index(y) + 1)) < 1e-9
+
+
+def test_spearman_matrix_of_repeated_and_missing_ids(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(None if i < 4 else i // 2, *[None if rng.random() < 0.2 else float(rng.randint(-5, 5)) for _ in range(2)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+
+    def ranks(c, o):
+        v = [r[c] for r in rows if r[1] is not None and r[2] is not None]
+        return {(k, x): sum(z < x for z in v) + (v.count(x) + 1) / 2 for k, x in enumerate(v)}
+
+    both = [r for r in rows if r[1] is not None and r[2] is not None]
+    ra, rb = ranks(1, 2), ranks(2, 1)
+    best = {}
+    for k, r in enumerate(both):
+        a, b = best.get(r[0], (0, 0))
+        best[r[0]] = (max(a, ra[k, r[1]]), max(b, rb[k, r[2]]))
+    x, y = zip(*best.values())
+    want = statistics.correlation(x, y)
+    for size in (10_000, 30):
+        monkeypatch.setattr(corr, "BLOCK_ROWS", size)
+        got = {(r["col_a"], r["col_b"]): r["r"] for r in corr.spearman_matrix(df, ["a", "b"], "id").collect()}
+        assert abs(got["a", "b"] - want) < 1e-9 and got["a", "b"] == got["b", "a"]
